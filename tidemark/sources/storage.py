@@ -44,3 +44,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+
+
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
