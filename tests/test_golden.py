@@ -231,13 +231,22 @@ def test_warn_keeps_rows(spark, tmp_path):
     assert store.read("data_quality_log").filter("status = 'FAILED_WARN'").count() == 2
 
 
-def test_append_is_idempotent_per_run(spark, tmp_path):
+def test_append_survives_a_crash_before_the_watermark(spark, tmp_path, monkeypatch):
     store = seed(spark, tmp_path, rules=[], mode="append")
     land(tmp_path / "landing", "batch_1.json", BATCH_1)
-    run_incremental(spark, store, PID, run_id="r1")
-    store.advance_watermark(PID, None)  # as if the run had died before it advanced
-    run_incremental(spark, store, PID, run_id="r1")
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "advance_watermark", crash)
+        with pytest.raises(OSError):
+            run_incremental(spark, store, PID, run_id="r1")
+    run_incremental(spark, store, PID, run_id="r2")  # same start: replaces what r1 appended
     assert sales(spark, tmp_path) == sorted(full(BATCH_1), key=repr)
+    land(tmp_path / "landing", "batch_2.json", BATCH_2)
+    run_incremental(spark, store, PID, run_id="r3")
+    assert sales(spark, tmp_path) == sorted(full(BATCH_1 + BATCH_2), key=repr)
 
 
 def test_lookback_rereads_and_newer_than_protects(spark, tmp_path):

@@ -153,8 +153,8 @@ def merge_into(
             same = [F.col(f"old.{c}").eqNullSafe(F.col(f"hit.{c}")) for c in parts]
             old = target.alias("old").join(F.broadcast(touched).alias("hit"), same, "left_semi")
             merged = merge_upsert(old, source, keys, scratch, **options)
-            # the partitions are overwritten in place, so nothing may still be read from them
-            table.replace_partitions(scratch.table(merged), batch_id)
+            # old files go only when the job commits, after everything has been read
+            table.replace_partitions(merged, batch_id)
             return
     table.overwrite(merge_upsert(target, source, keys, scratch, **options), batch_id, parts)
 

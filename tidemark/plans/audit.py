@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -94,9 +95,13 @@ class RunLog:
         error: str | None = None,
     ) -> None:
         run = self.ctx.run_id
-        self.store.append("audit_pipeline_steps", self.steps, run)
-        self.store.append("audit_data_reconciliation", self.reconciliations, run)
-        self.store.append("data_quality_log", self.quality, run)
+        logs = {
+            "audit_pipeline_steps": self.steps,
+            "audit_data_reconciliation": self.reconciliations,
+            "data_quality_log": self.quality,
+        }
+        with ThreadPoolExecutor(len(logs)) as pool:
+            list(pool.map(lambda name: self.store.append(name, logs[name], run), logs))
         last = self._execution(
             execution_end=datetime.now(),
             watermark_end=watermark_end,

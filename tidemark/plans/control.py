@@ -32,9 +32,7 @@ class ControlStore:
     def initialize(self) -> None:
         """Create the tables that are missing, empty; leave the others alone."""
         for name, schema in {**CONTROL_SCHEMAS, **AUDIT_SCHEMAS}.items():
-            table = self.table(name)
-            if not table.exists():
-                table.overwrite(self.spark.createDataFrame([], schema), "init")
+            self.table(name).create(schema)
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
@@ -119,11 +117,10 @@ class ControlStore:
         return WatermarkState(**found[0].asDict()) if found else None
 
     def put_watermark(self, state: WatermarkState, now: datetime | None = None) -> None:
-        previous = self.watermark(state.pipeline_id)
+        """Append a state. One derived from an earlier state never sorts before it."""
         now = now or datetime.now()
-        if previous is not None and previous.updated_at >= now:
-            # keep the log ordered when states follow each other within one clock tick
-            now = previous.updated_at + timedelta(microseconds=1)
+        if state.updated_at is not None and state.updated_at >= now:
+            now = state.updated_at + timedelta(microseconds=1)
         row = asdict(replace(state, updated_at=now))
         self.append("watermark_control", [row], f"{state.pipeline_id}-{uuid.uuid4()}")
 

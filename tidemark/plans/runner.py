@@ -130,7 +130,12 @@ def apply_actions(
 
 
 def load_batch(
-    clean: DataFrame, target: Table, run_id: str, scratch: Scratch, options: LoadOptions, count: int
+    clean: DataFrame,
+    target: Table,
+    segment: str,
+    scratch: Scratch,
+    options: LoadOptions,
+    count: int,
 ) -> tuple[int, int]:
     """Write the clean rows; returns (inserted, updated) source rows."""
     table = VersionedTable(clean.sparkSession, target.storage_path)
@@ -153,7 +158,7 @@ def load_batch(
         clean,
         target.storage_path,
         target.write_mode,
-        batch_id=run_id,
+        batch_id=segment,
         merge_keys=keys,
         partition_cols=list(target.partition_cols),
         **merge,
@@ -203,6 +208,7 @@ class Job:
     log: RunLog
     scratch: Scratch
     options: LoadOptions
+    segment: str | None = None  # name of the rows in an appended table, the run id by default
 
     @contextmanager
     def guard(self):
@@ -267,6 +273,8 @@ def extract(job: Job) -> DataFrame:
         schema=options.schema,
         options=options.read_options,
     )
+    if job.column in df.columns and (job.state is not None or options.track_new):
+        job.segment = window_name(job.bounds)
     df = select_increment(
         df,
         job.column,
@@ -277,6 +285,15 @@ def extract(job: Job) -> DataFrame:
     return transformed(job, stamp_rows(job, df))
 
 
+def window_name(bounds: Bounds) -> str:
+    """Segment of a window. A run that starts where an earlier one did, because that one crashed
+    before it advanced the watermark, reads the same rows and more: it replaces its segment."""
+    start = bounds.start.isoformat() if bounds.start else "begin"
+    if bounds.is_backfill:
+        return f"backfill-{start}-{bounds.end.isoformat() if bounds.end else 'open'}"
+    return f"from-{start}"
+
+
 def stamp_rows(job: Job, df: DataFrame) -> DataFrame:
     from_table = job.source.file_format.lower() == "table"
     return stamp(df, job.ctx.run_id, job.ctx.execution_time, keep_file=from_table)
@@ -313,7 +330,12 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
 
     with log.step("target_load") as step:
         inserted, updated = load_batch(
-            clean_rows(batch.tagged), job.target, ctx.run_id, job.scratch, job.options, batch.clean
+            clean_rows(batch.tagged),
+            job.target,
+            job.segment or ctx.run_id,
+            job.scratch,
+            job.options,
+            batch.clean,
         )
         step["records"] = batch.clean
 

@@ -72,6 +72,19 @@ class VersionedTable:
         return reader.parquet(*segments).select(*schema.names)
 
     # -- writes -----------------------------------------------------------------------------
+    def _begin(self, schema: T.StructType, partition_cols: list[str]) -> str:
+        """Folder of the next version, its layout noted; it does not count before a segment does."""
+        version = f"{self.path}/v={self.version + 1:08d}"
+        layout = {"schema": _nullable(schema).jsonValue(), "partition_cols": partition_cols}
+        storage.write_text(self.spark, f"{version}/_layout.json", json.dumps(layout))
+        return version
+
+    def create(self, schema: T.StructType, partition_cols: list[str] | None = None) -> None:
+        """An empty table, unless there is one already."""
+        if not self.exists():
+            version = self._begin(schema, partition_cols or [])
+            storage.write_text(self.spark, f"{self._segment(version, 'init')}/_SUCCESS", "")
+
     def _write(self, df: DataFrame, path: str, partition_cols: list[str], dynamic=False) -> None:
         if partition_cols:
             # AQE splits the hot partitions and packs the small ones
@@ -93,9 +106,7 @@ class VersionedTable:
         current = self._committed()[0]
         if partition_cols is None:
             partition_cols = self._layout(current)[1] if current else []
-        version = f"{self.path}/v={self.version + 1:08d}"
-        layout = {"schema": _nullable(df.schema).jsonValue(), "partition_cols": partition_cols}
-        storage.write_text(self.spark, f"{version}/_layout.json", json.dumps(layout))
+        version = self._begin(df.schema, partition_cols)
         self._write(df, self._segment(version, batch_id), partition_cols)
 
     def append(
