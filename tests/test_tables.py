@@ -106,6 +106,22 @@ def test_merge_moves_a_key_between_partitions(spark, tmp_path):
     assert rows(table.read()) == [(1, "b", 5.0)]
 
 
+@pytest.mark.parametrize("newer", [False, True])
+def test_merge_by_a_key_that_is_not_the_partition(spark, tmp_path, newer):
+    path = str(tmp_path / "t")
+    old = [(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0), (4, "c", 9.0), (5, "c", 5.0), (6, None, 6.0)]
+    write_table(frame(spark, *old), path, "merge", batch_id="b1", partition_cols=["p"])
+    untouched = storage.glob(spark, f"{path}/v=*/seg=*/p=b/*.parquet")
+    source = frame(spark, (1, "d", 7.0), (4, "d", 8.0), (6, None, 7.0), (7, "e", 7.0))
+    options = {"newer_than": "v"} if newer else {}
+    table = write_table(source, path, "merge", batch_id="b2", merge_keys=["k"], **options)
+    four = (4, "c", 9.0) if newer else (4, "d", 8.0)
+    expected = [(1, "d", 7.0), (2, "a", 2.0), (3, "b", 3.0), four, (5, "c", 5.0), (6, None, 7.0)]
+    assert rows(table.read()) == sorted([*expected, (7, "e", 7.0)], key=repr)
+    assert table.version == 1
+    assert storage.glob(spark, f"{path}/v=*/seg=*/p=b/*.parquet") == untouched
+
+
 def test_refused_loads(spark, tmp_path):
     path = str(tmp_path / "t")
     one = frame(spark, (1, "a", 1.0))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.keys import dedup_latest, repeated_keys
 from tidemark.operators.skew import fits_broadcast, lookup_join
 from tidemark.scratch import Scratch, measure
-from tidemark.sources.tables import MAX_TOUCHED_PARTITIONS, VersionedTable, align
+from tidemark.sources.tables import VersionedTable, align
 
+# Partitions listed on the driver when only some are rewritten; above it the whole version is.
+MAX_TOUCHED_PARTITIONS = 10_000
 _NEW = "__new"
 _SEEN = "__seen"
 
@@ -104,7 +106,33 @@ def merge_upsert(
     - ``null_keys``: "insert" or "reject" source rows with a null key.
     - ``matched``: the result of ``matched_keys``, when the caller has it already.
     """
-    scratch = scratch or Scratch(target.sparkSession)
+    kept, inserts, _ = _merge_parts(
+        target,
+        source,
+        keys,
+        scratch or Scratch(target.sparkSession),
+        on_duplicate=on_duplicate,
+        latest_by=latest_by,
+        newer_than=newer_than,
+        null_keys=null_keys,
+        matched=matched,
+    )
+    return kept.unionByName(inserts)
+
+
+def _merge_parts(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    scratch: Scratch,
+    *,
+    on_duplicate: str = "matched",
+    latest_by: list[str] | None = None,
+    newer_than: str | None = None,
+    null_keys: str = "insert",
+    matched: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Target rows after the update, rows to add, and whether the target rows stayed in place."""
     source = align(source, target.schema)
     if null_keys == "reject" and source.filter(~_has_keys(keys)).take(1):
         raise ValueError(f"merge source has null values in the keys {keys}")
@@ -113,12 +141,17 @@ def merge_upsert(
     size = measure(matched)
     source = _one_row_per_key(source, matched, keys, on_duplicate, latest_by)
     if size[0] == 0:
-        return target.unionByName(source)
+        return target, source, True
 
     inserts = lookup_join(source, matched, keys, "left_anti", size=size)
-    updates = lookup_join(source, matched, keys, "left_semi", size=size)
+    if fits_broadcast(target.sparkSession, size):
+        updates = lookup_join(source, matched, keys, "left_semi", size=size)
+        updates_size = measure(updates)
+    else:
+        # rows with other keys meet no target row anyhow: shuffling for them once is enough
+        updates, updates_size = source.filter(_has_keys(keys)), None
     lookup = updates.select(*keys, F.struct(*target.columns).alias(_NEW))
-    met = lookup_join(target, lookup, keys, "left", size=measure(updates))
+    met = lookup_join(target, lookup, keys, "left", size=updates_size)
     take = F.col(_NEW).isNotNull()
     if newer_than is not None:
         new, old = F.col(f"{_NEW}.{newer_than}"), F.col(newer_than)
@@ -127,7 +160,40 @@ def merge_upsert(
         F.col(c) if c in keys else F.when(take, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c)
         for c in target.columns
     ]
-    return met.select(*kept_or_new).unionByName(inserts)
+    return met.select(*kept_or_new), inserts, fits_broadcast(target.sparkSession, updates_size)
+
+
+def touched_partitions(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    parts: list[str],
+    matched: DataFrame,
+    scratch: Scratch,
+) -> list[int] | None:
+    """Hashes of the partitions that a merge changes: those the source rows go to, and those that
+    hold their old versions, which may be others. None when there are too many to list, or when a
+    partition would lose its last row, which an overwrite of partitions cannot express."""
+    mark = F.xxhash64(*parts).alias("p")
+    gaining = scratch.table(source.select(mark).distinct())
+    if gaining.count() > MAX_TOUCHED_PARTITIONS:
+        return None
+    touched = {r["p"] for r in gaining.collect()}
+    if set(parts) <= set(keys):
+        return sorted(touched)
+    seen = matched.withColumn(_SEEN, F.lit(True))
+    held = lookup_join(target.select(*{*keys, *parts}), seen, keys, "left", size=measure(matched))
+    losing = held.groupBy(mark).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(_SEEN).isNotNull()).alias("n_old")
+    )
+    losing = scratch.table(losing.filter("n_old > 0"))
+    if losing.count() > MAX_TOUCHED_PARTITIONS:
+        return None
+    for row in losing.collect():
+        if row["n"] == row["n_old"] and row["p"] not in touched:
+            return None
+    touched |= {r["p"] for r in losing.collect()}
+    return sorted(touched) if len(touched) <= MAX_TOUCHED_PARTITIONS else None
 
 
 def merge_into(
@@ -136,27 +202,34 @@ def merge_into(
     keys: list[str],
     batch_id: str,
     scratch: Scratch | None = None,
+    *,
+    matched: DataFrame | None = None,
     **options,
 ) -> None:
-    """Merge ``source`` into a stored table.
-
-    Where every partition column is a merge key, a row can only meet rows of its own partition: only
-    the partitions present in the source are read and replaced. Otherwise the whole table is
-    rewritten as a new version.
-    """
+    """Merge ``source`` into a stored table. Of a partitioned table only the partitions that change
+    are read and replaced; otherwise the whole table is rewritten as a new version."""
     scratch = scratch or Scratch(table.spark)
     target, parts = table.read(), table.partition_cols
     source = align(source, table.schema)
-    if parts and set(parts) <= set(keys) and len(table._require()[1]) == 1:
-        touched = scratch.table(source.select(*parts).distinct())
-        if touched.count() <= MAX_TOUCHED_PARTITIONS:
-            same = [F.col(f"old.{c}").eqNullSafe(F.col(f"hit.{c}")) for c in parts]
-            old = target.alias("old").join(F.broadcast(touched).alias("hit"), same, "left_semi")
-            merged = merge_upsert(old, source, keys, scratch, **options)
-            # old files go only when the job commits, after everything has been read
-            table.replace_partitions(merged, batch_id)
-            return
-    table.overwrite(merge_upsert(target, source, keys, scratch, **options), batch_id, parts)
+    if matched is None:
+        matched = matched_keys(target, source, keys, scratch)
+    options["matched"] = matched
+    touched = None
+    if parts and table.segment_count == 1:
+        touched = touched_partitions(target, source, keys, parts, matched, scratch)
+    if touched is not None:
+        # a filter on partition columns only: the scan lists no other partitions
+        target = target.filter(F.xxhash64(*parts).isin(touched))
+    kept, inserts, in_place = _merge_parts(target, source, keys, scratch, **options)
+    if in_place and parts:
+        # rows read from a partition go back to it: only the added ones need to be gathered
+        inserts = inserts.hint("rebalance", *parts)
+    merged = kept.unionByName(inserts)
+    if touched is not None:
+        # old files go only when the job commits, after everything has been read
+        table.replace_partitions(merged, batch_id, clustered=in_place)
+    else:
+        table.overwrite(merged, batch_id, parts, clustered=in_place)
 
 
 def update_where(df: DataFrame, condition: str | Column, values: dict[str, Column]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import LAYERS, ColumnSpec, ConfigError, Pipeline, Rule, Table, WatermarkState
-from tidemark.operators.reports import active_rules, latest_state
+from tidemark.operators.reports import latest_state
 from tidemark.operators.upsert import update_where
 from tidemark.schemas import AUDIT_SCHEMAS, CONTROL_SCHEMAS
 from tidemark.sources.tables import VersionedTable
@@ -96,8 +96,9 @@ class ControlStore:
 
     def rules(self, pipeline_id: str) -> list[Rule]:
         """Active rules of all tables of the pipeline, by rule id."""
-        tables = self.read("table_config").filter(F.col("pipeline_id") == pipeline_id)
-        found = active_rules(self.read("dq_rules"), tables).orderBy("rule_id").collect()
+        owned = [t.table_id for t in self.tables(pipeline_id)]
+        wanted = F.col("is_active") & F.col("table_id").isin(owned)
+        found = self.read("dq_rules").filter(wanted).orderBy("rule_id").collect()
         return [
             Rule(
                 r["rule_id"],

@@ -28,7 +28,8 @@ from tidemark.plans.audit import RunLog
 from tidemark.plans.control import ControlStore
 from tidemark.plans.load import write_table
 from tidemark.schemas import BATCH_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
-from tidemark.scratch import Scratch, measure
+from tidemark.scratch import Scratch, enough_partitions, measure
+from tidemark.sources import storage
 from tidemark.sources.files import read_source
 from tidemark.sources.tables import VersionedTable
 
@@ -46,6 +47,7 @@ class LoadOptions:
     on_duplicate: str = "matched"
     newer_than: str | None = None
     null_keys: str = "insert"
+    keep_versions: int | None = 2  # of a rewritten target; older ones are deleted after a success
 
 
 @dataclass(frozen=True)
@@ -188,7 +190,10 @@ def run_incremental(
         with job.log.step("extract") as step:
             staged = job.scratch.table(extract(job))
             step["records"] = n_read = staged.count()
-        return process(job, staged, n_read)
+        stored = storage.size(spark, job.scratch.path)
+        stored += job.table.stored_bytes
+        with enough_partitions(spark, stored):
+            return process(job, staged, n_read)
 
 
 @dataclass
@@ -210,6 +215,10 @@ class Job:
     options: LoadOptions
     segment: str | None = None  # name of the rows in an appended table, the run id by default
 
+    @property
+    def table(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.target.storage_path)
+
     @contextmanager
     def guard(self):
         """Close the run as FAILED on an error, and drop its staged rows in any case."""
@@ -346,6 +355,8 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
 
     mark = advance(job, batch)
     log.close("SUCCESS", mark, n_read, batch.clean)
+    if job.options.keep_versions is not None:
+        job.table.expire(job.options.keep_versions)
     return RunResult(
         ctx.run_id,
         "SUCCESS",

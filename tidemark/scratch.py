@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ class Scratch:
         self.spark = spark
         self.path = f"{(root or shared_dir(spark)).rstrip('/')}/tidemark-{uuid.uuid4()}"
         self._n = 0
+        storage.make_temporary(spark, self.path)
 
     def table(self, df: DataFrame) -> DataFrame:
         self._n += 1
@@ -60,3 +62,22 @@ def measure(df: DataFrame) -> tuple[int, int]:
             size += 16
     row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
     return row[0], row[1]
+
+
+# Shuffle partitions are planned for this many stored (compressed) bytes each.
+STORED_BYTES_PER_PARTITION = 64 << 20
+
+
+@contextmanager
+def enough_partitions(spark: SparkSession, stored_bytes: int):
+    """Raise ``spark.sql.shuffle.partitions`` to fit the data at hand, so that a shuffle of it does
+    not spill; AQE merges what turns out too small. Never lowers the setting."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = -(-stored_bytes // STORED_BYTES_PER_PARTITION)
+    if wanted > int(before):
+        spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

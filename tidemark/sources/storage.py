@@ -49,3 +49,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def is_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def make_temporary(spark: SparkSession, path: str) -> None:
+    """Create a folder that goes away with the driver."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path``, 0 where there is nothing."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0

@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.skew import lookup_join
+from tidemark.scratch import measure
 from tidemark.sources import storage
 
-# Partition tuples held on the driver when partitions are replaced; above it the version is rewritten.
-MAX_TOUCHED_PARTITIONS = 10_000
-
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
@@ -50,6 +49,16 @@ class VersionedTable:
         saved = json.loads(storage.read_text(self.spark, f"{version}/_layout.json"))
         return T.StructType.fromJson(saved["schema"]), saved["partition_cols"]
 
+    @property
+    def segment_count(self) -> int:
+        return len(self._committed()[1])
+
+    @property
+    def stored_bytes(self) -> int:
+        """Size of the current version on disk."""
+        version = self._committed()[0]
+        return storage.size(self.spark, version) if version else 0
+
     @property
     def schema(self) -> T.StructType:
         return self._layout(self._require()[0])[0]
@@ -85,8 +94,15 @@ class VersionedTable:
             version = self._begin(schema, partition_cols or [])
             storage.write_text(self.spark, f"{self._segment(version, 'init')}/_SUCCESS", "")
 
-    def _write(self, df: DataFrame, path: str, partition_cols: list[str], dynamic=False) -> None:
-        if partition_cols:
+    def _write(
+        self,
+        df: DataFrame,
+        path: str,
+        partition_cols: list[str],
+        dynamic: bool = False,
+        clustered: bool = False,
+    ) -> None:
+        if partition_cols and not clustered:
             # AQE splits the hot partitions and packs the small ones
             df = df.hint("rebalance", *partition_cols)
         writer = df.write.mode("overwrite").option(
@@ -100,14 +116,22 @@ class VersionedTable:
         return f"{version}/seg={quote(batch_id, safe='')}"
 
     def overwrite(
-        self, df: DataFrame, batch_id: str, partition_cols: list[str] | None = None
+        self,
+        df: DataFrame,
+        batch_id: str,
+        partition_cols: list[str] | None = None,
+        *,
+        clustered: bool = False,
     ) -> None:
-        """Publish ``df`` as the next version. It may be derived from the current one."""
+        """Publish ``df`` as the next version. It may be derived from the current one. ``clustered``
+        says that its rows lie together by partition already."""
         current = self._committed()[0]
         if partition_cols is None:
             partition_cols = self._layout(current)[1] if current else []
         version = self._begin(df.schema, partition_cols)
-        self._write(df, self._segment(version, batch_id), partition_cols)
+        self._write(
+            df, self._segment(version, batch_id), partition_cols, clustered=clustered
+        )
 
     def append(
         self,
@@ -128,7 +152,9 @@ class VersionedTable:
         df = align(df, schema, fill_missing=allow_new_columns)
         self._write(df, self._segment(version, batch_id), parts)
 
-    def replace_partitions(self, df: DataFrame, batch_id: str) -> None:
+    def replace_partitions(
+        self, df: DataFrame, batch_id: str, *, clustered: bool = False
+    ) -> None:
         """Replace the partitions that occur in ``df`` and leave all others alone."""
         version, segments = self._require()
         schema, parts = self._layout(version)
@@ -136,14 +162,12 @@ class VersionedTable:
             raise ValueError(f"table {self.path} has no partition columns")
         df = align(df, schema)
         if len(segments) == 1:
-            self._write(df, segments[0], parts, dynamic=True)
+            self._write(df, segments[0], parts, dynamic=True, clustered=clustered)
             return
         # appended batches may hold rows of the same partitions: publish a new version instead
         touched = df.select(*parts).distinct()
-        if touched.limit(MAX_TOUCHED_PARTITIONS + 1).count() <= MAX_TOUCHED_PARTITIONS:
-            touched = F.broadcast(touched)
-        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in parts]
-        kept = self.read().alias("old").join(touched.alias("new"), same, "left_anti")
+        size = measure(touched)
+        kept = lookup_join(self.read(), touched, parts, "left_anti", size=size, null_safe=True)
         self.overwrite(kept.unionByName(df), batch_id, parts)
 
     def compact(self, batch_id: str) -> None:
