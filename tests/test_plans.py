@@ -1,0 +1,122 @@
+"""Shapes of physical plans that matter at scale."""
+
+from __future__ import annotations
+
+import re
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_golden import BATCH_1, BATCH_2, PID, land, seed
+from tidemark.operators import quality, upsert
+from tidemark.operators.keys import repeated_keys
+from tidemark.operators.skew import hot_key_hashes
+from tidemark.plans import runner
+from tidemark.scratch import Scratch, enough_partitions, measure, shared_dir
+from tidemark.sources.tables import VersionedTable
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_schemas(text: str) -> list[str]:
+    return re.findall(r"ReadSchema: (struct<.*?>)", text)
+
+
+@pytest.fixture(scope="module")
+def big(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("big") / "t")
+    cols = {"k": F.col("id") % 700, "day": (F.col("id") % 5).cast("string")}
+    cols["text"] = F.sha1(F.col("id").cast("string"))
+    spark.range(2000).withColumns(cols).drop("id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_repeated_keys_read_key_columns_and_combine_first(big):
+    text = plan(repeated_keys(big, ["k"]))
+    assert read_schemas(text) == ["struct<k:bigint>"]
+    assert text.index("partial_count") > text.index("Exchange")  # printed from the top down
+
+
+def test_merge_leaves_the_target_in_place(spark, big, scratch):
+    source = scratch.table(big.filter("k < 9").dropDuplicates(["k"]))
+    merged = upsert.merge_upsert(big, source, ["k"], scratch)
+    text = plan(merged)
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") >= 2
+
+
+def test_merge_lists_only_changed_partitions(spark, tmp_path, scratch):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    rows = [(i, f"d{i % 6}", 1.0) for i in range(60)]
+    table.overwrite(spark.createDataFrame(rows, "k int, day string, v double"), "b1", ["day"])
+    source = spark.createDataFrame([(0, "d0", 2.0), (61, "d1", 2.0)], "k int, day string, v double")
+    known = upsert.matched_keys(table.read(), source, ["k"], scratch)
+    touched = upsert.touched_partitions(table.read(), source, ["k"], ["day"], known, scratch)
+    assert len(touched) == 2
+    near = table.read().filter(F.xxhash64("day").isin(touched))
+    assert re.search(r"PartitionFilters: \[.*xxhash64\(day", plan(near))
+    assert {r["day"] for r in near.select("day").collect()} == {"d0", "d1"}
+
+
+def test_hot_rows_are_not_shuffled(spark, scratch, conf):
+    conf(spark__tidemark__broadcastBytes=0, spark__tidemark__hotRows=100)
+    conf(spark__sql__autoBroadcastJoinThreshold=-1)
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 90)
+    df = scratch.table(spark.range(3000).select(key.alias("k"), "id"))
+    assert len(hot_key_hashes(df, ["k"])) == 1
+    tagged = quality.tag_violations(df, [quality.Rule("u", "k", "UNIQUE")], scratch)
+    assert tagged.filter("failed_rule = 'u'").count() == 3000
+    one = spark.range(90).withColumnRenamed("id", "k").withColumn("id", F.lit(0).cast("long"))
+    text = plan(upsert.merge_upsert(df, one, ["k"], scratch))
+    assert "Union" in text and "SortMergeJoin" in text
+
+
+def test_all_rules_in_one_aggregate(big):
+    rules = [quality.Rule(f"r{i}", "k", "RANGE", f"k <> {i}") for i in range(20)]
+    text = plan(quality.rule_outcomes(quality.tag_violations(big, rules), rules))
+    assert len(read_schemas(text)) == 1 and text.count("Exchange") == 1
+
+
+def test_the_source_is_read_once(spark, tmp_path, monkeypatch):
+    store = seed(spark, tmp_path)
+    land(tmp_path / "landing", "all.json", BATCH_1 + BATCH_2)
+    process = runner.process
+
+    def gone(job, staged, n):
+        shutil.rmtree(tmp_path / "landing")
+        return process(job, staged, n)
+
+    monkeypatch.setattr(runner, "process", gone)
+    result = runner.run_incremental(spark, store, PID)
+    assert (result.records_read, result.status) == (7, "SUCCESS")
+
+
+def test_scratch_is_in_the_shared_folder_and_goes_away(spark):
+    from tidemark.sources import storage
+
+    scratch = Scratch(spark)
+    assert scratch.path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch.path.startswith(shared_dir(spark))
+    kept = scratch.table(spark.range(5))
+    assert kept.count() == 5 and "ExistingRDD" not in plan(kept)
+    scratch.drop()
+    assert not storage.exists(spark, scratch.path)
+
+
+def test_measured_size_bounds_the_text(spark):
+    df = spark.createDataFrame([("x" * 1000, [1, 2], None), (None, None, 3)], "s string, a array<int>, i int")
+    n, size = measure(df)
+    assert n == 2 and 1000 < size < 3000
+    assert measure(df.limit(0)) == (0, 0)
+
+
+def test_partitions_follow_the_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with enough_partitions(spark, 100 << 30):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 1600
+    with enough_partitions(spark, 0):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
