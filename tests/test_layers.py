@@ -10,7 +10,7 @@ from tests.test_golden import BATCH_1, BATCH_2, PID, at, full, land, sales, seed
 from tidemark.model import ColumnSpec, ConfigError
 from tidemark.operators import conformance, quality, reports
 from tidemark.plans.layers import NotReady, conformed_latest, rollup, run_layers
-from tidemark.plans.runner import LoadOptions
+from tidemark.plans.runner import LoadOptions, run_incremental
 from tidemark.sources.tables import VersionedTable
 from tidemark.streaming.ingest import ingest_available
 
@@ -128,6 +128,42 @@ def test_conformance(spark, scratch):
     ]
 
 
+@pytest.mark.parametrize("stage", [True, False])
+def test_declared_columns_are_enforced(spark, tmp_path, stage):
+    store = seed(spark, tmp_path, rules=[("price", "unit_price", "RANGE", "unit_price > 0")])
+
+    def declare(table_id, *columns):
+        return [
+            {
+                "column_id": f"{table_id}_{i}",
+                "table_id": table_id,
+                "column_name": c,
+                "data_type": t,
+                "is_nullable": c != "sale_id",
+                "is_primary_key": c == "sale_id",
+            }
+            for i, (c, t) in enumerate(columns)
+        ]
+
+    read_as = [c.split() for c in LANDING.split(", ")]
+    kept_as = [("sale_id", "string"), ("product", "string"), ("unit_price", "double"),
+               ("quantity", "int"), ("last_updated_at", "timestamp_ntz")]
+    store.replace("column_config", declare("src", *read_as) + declare("tgt", *kept_as))
+    odd = [("S006", "Cable", 5.0, 1 << 40, "11:40:00"), (None, "Cable", 5.0, 1, "11:41:00")]
+    land(tmp_path / "landing", "a.json", BATCH_1 + BATCH_2[1:] + odd)
+    result = run_incremental(
+        spark, store, PID, options=LoadOptions(enforce_columns=True, stage=stage)
+    )
+    failures = {k: n for k, n in result.rule_failures.items() if n}
+    assert failures == {"quantity_castable": 1, "sale_id_not_null": 1, "primary_key": 2, "price": 1}
+    assert (result.records_read, result.records_clean) == (8, 3)
+    table = VersionedTable(spark, str(tmp_path / "bronze")).read()
+    kinds = dict(table.dtypes)
+    assert (kinds["quantity"], kinds["last_updated_at"]) == ("int", "timestamp_ntz")
+    held = store.quarantine(PID).read().filter("failed_rule = 'quantity_castable'")
+    assert [r["quantity"] for r in held.collect()] == [1 << 40]  # as it came
+
+
 def test_store_lookups(spark, tmp_path):
     store = seed(spark, tmp_path)
     assert store.pipeline(PID).pipeline_name == "Sales"
@@ -148,6 +184,25 @@ def test_store_lookups(spark, tmp_path):
     assert (state.backfill_status, state.backfill_start) == ("COMPLETED", at("10:00:00"))
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_survive_another_session_zone(spark, tmp_path, conf, zone):
+    conf(spark__sql__session__timeZone=zone)
+    store = seed(spark, tmp_path)
+    store.advance_watermark(PID, at("10:05:00"))
+    assert store.watermark(PID).last_watermark_value == at("10:05:00")
+    land(tmp_path / "landing", "batch_1.json", BATCH_1)
+    result = run_incremental(spark, store, PID)
+    assert (result.records_read, result.watermark) == (1, at("10:10:00"))
+    assert store.watermark(PID).last_watermark_value == at("10:10:00")
+
+
+def test_required_control_values(spark, tmp_path):
+    store = seed(spark, tmp_path)
+    with pytest.raises(Exception, match="(?i)null"):
+        store.replace("pipeline_config", [{"pipeline_id": "x"}])
+    assert store.pipeline(PID).pipeline_id == PID
+
+
 def test_dependency_readiness(spark):
     deps = spark.createDataFrame(
         [("g", "a", True), ("g", "b", True), ("h", "a", True), ("h", "b", False), ("i", "c", True)],
@@ -177,8 +232,6 @@ def test_landing_csv_with_header(spark, tmp_path):
     lines = ["sale_id,product,unit_price,quantity,last_updated_at"]
     lines += [",".join(map(str, r)) for r in full(BATCH_1)]
     (folder / "a.csv").write_text("\n".join(lines))
-    from tidemark.plans.runner import run_incremental
-
     options = LoadOptions(schema=LANDING, read_options={"header": "true"})
     assert run_incremental(spark, store, PID, options=options).records_read == 3
     assert json.dumps(sales(spark, tmp_path)) == json.dumps(full(BATCH_1))

@@ -33,9 +33,19 @@ def conform(
     return df.select(*out)
 
 
-def conformance_rules(columns: Sequence[ColumnSpec], action: str = "QUARANTINE") -> list[Rule]:
-    """Nullability and primary key as quality rules."""
-    rules = [
+def conformance_rules(
+    columns: Sequence[ColumnSpec], action: str = "QUARANTINE", *, castable: bool = False
+) -> list[Rule]:
+    """Nullability and primary key as quality rules, preceded on request by rules that catch values
+    ``conform`` would turn into nulls."""
+    rules = []
+    if castable:
+        for c in columns:
+            held = f"`{c.column_name}` IS NULL OR "
+            cast = f"try_cast(`{c.column_name}` AS {c.data_type}) IS NOT NULL"
+            name = f"{c.column_name}_castable"
+            rules.append(Rule(name, c.column_name, "EXPRESSION", held + cast, action))
+    rules += [
         Rule(f"{c.column_name}_not_null", c.column_name, "NOT_NULL", "", action)
         for c in columns
         if not c.is_nullable or c.is_primary_key

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.model import Rule
+from tidemark.model import ConfigError, Rule
 from tidemark.operators.keys import dedup_latest, repeated_keys
 from tidemark.operators.skew import MAX_HOT_KEYS, fits_broadcast, hot_rows, lookup_join
 from tidemark.schemas import EXECUTION_ID, FAILED_RULE
@@ -68,6 +68,8 @@ def tag_violations(
 ) -> DataFrame:
     """Add ``failed_rule`` (first failed QUARANTINE rule or null) and ``warned_rules`` (WARN and
     FAIL_PIPELINE rules that a row violates while no earlier QUARANTINE rule has removed it)."""
+    if len({r.rule_id for r in rules}) < len(rules):
+        raise ConfigError("rule ids repeat")
     scratch = scratch or Scratch(df.sparkSession)
     tagged = df.withColumn(_AT, F.lit(None).cast("int"))
     pending: list[Column] = []

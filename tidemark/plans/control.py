@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import asdict, replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import LAYERS, ColumnSpec, ConfigError, Pipeline, Rule, Table, WatermarkState
 from tidemark.operators.reports import latest_state
@@ -16,6 +19,19 @@ from tidemark.schemas import AUDIT_SCHEMAS, CONTROL_SCHEMAS
 from tidemark.sources.tables import VersionedTable
 
 
+_ARROW = {
+    T.StringType(): pa.string(),
+    T.LongType(): pa.int64(),
+    T.BooleanType(): pa.bool_(),
+    T.TimestampType(): pa.timestamp("us", tz="UTC"),
+    T.ArrayType(T.StringType()): pa.list_(pa.string()),
+}
+
+
+def _instant(value):
+    return value.astimezone(timezone.utc) if isinstance(value, datetime) else value
+
+
 class ControlStore:
     """The control and audit tables under one root folder."""
 
@@ -27,7 +43,7 @@ class ControlStore:
         return VersionedTable(self.spark, f"{self.root}/{kind}/{name}")
 
     def quarantine(self, pipeline_id: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/quarantine/{pipeline_id}")
+        return VersionedTable(self.spark, f"{self.root}/quarantine/{quote(pipeline_id, safe='')}")
 
     def initialize(self) -> None:
         """Create the tables that are missing, empty; leave the others alone."""
@@ -38,8 +54,12 @@ class ControlStore:
         return self.table(name).read()
 
     def rows(self, name: str, rows: list[dict]) -> DataFrame:
+        """A few typed rows as a local relation, which needs no Python workers. Naive times are
+        taken in the zone of this process, as Spark hands them out."""
         schema = {**CONTROL_SCHEMAS, **AUDIT_SCHEMAS}[name]
-        return self.spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+        columns = {f.name: [_instant(r.get(f.name)) for r in rows] for f in schema.fields}
+        arrays = [pa.array(columns[f.name], _ARROW[f.dataType]) for f in schema.fields]
+        return self.spark.createDataFrame(pa.Table.from_arrays(arrays, schema.names), schema)
 
     def replace(self, name: str, rows: list[dict]) -> None:
         self.table(name).overwrite(self.rows(name, rows), f"seed-{uuid.uuid4()}")
@@ -80,7 +100,10 @@ class ControlStore:
 
     def source_and_target(self, pipeline_id: str) -> tuple[Table, Table]:
         """The lowest layer is the source, the next one the target."""
-        tables = sorted(self.tables(pipeline_id), key=lambda t: LAYERS.index(t.layer))
+        return self.ends(pipeline_id, self.tables(pipeline_id))
+
+    def ends(self, pipeline_id: str, tables: list[Table]) -> tuple[Table, Table]:
+        tables = sorted(tables, key=lambda t: LAYERS.index(t.layer))
         source = tables[0] if tables else None
         target = next((t for t in tables if t.layer != source.layer), None)
         if target is None:
@@ -96,8 +119,10 @@ class ControlStore:
 
     def rules(self, pipeline_id: str) -> list[Rule]:
         """Active rules of all tables of the pipeline, by rule id."""
-        owned = [t.table_id for t in self.tables(pipeline_id)]
-        wanted = F.col("is_active") & F.col("table_id").isin(owned)
+        return self.rules_of(self.tables(pipeline_id))
+
+    def rules_of(self, tables: list[Table]) -> list[Rule]:
+        wanted = F.col("is_active") & F.col("table_id").isin([t.table_id for t in tables])
         found = self.read("dq_rules").filter(wanted).orderBy("rule_id").collect()
         return [
             Rule(

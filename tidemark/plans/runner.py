@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import event_time
-from tidemark.model import QualityHalt, Rule, RunContext, Table, WatermarkState
+from tidemark.model import ColumnSpec, QualityHalt, Rule, RunContext, Table, WatermarkState
+from tidemark.operators.conformance import conform, conformance_rules
 from tidemark.operators.increment import Bounds, resolve_bounds, select_increment
 from tidemark.operators.lineage import stamp
 from tidemark.operators.quality import (
@@ -30,7 +31,7 @@ from tidemark.plans.load import write_table
 from tidemark.schemas import BATCH_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
 from tidemark.scratch import Scratch, enough_partitions, measure
 from tidemark.sources import storage
-from tidemark.sources.files import read_source
+from tidemark.sources.files import ROW_TEXT_FORMATS, read_source
 from tidemark.sources.tables import VersionedTable
 
 
@@ -47,6 +48,8 @@ class LoadOptions:
     on_duplicate: str = "matched"
     newer_than: str | None = None
     null_keys: str = "insert"
+    enforce_columns: bool = False  # check and cast to the declared columns of the target
+    stage: bool = True  # False reads an unchanging source again instead of copying its new rows
     keep_versions: int | None = 2  # of a rewritten target; older ones are deleted after a success
 
 
@@ -188,7 +191,9 @@ def run_incremental(
         return RunResult(None, "SKIPPED")
     with job.guard():
         with job.log.step("extract") as step:
-            staged = job.scratch.table(extract(job))
+            staged = extract(job)
+            if options.stage:
+                staged = job.scratch.table(staged)
             step["records"] = n_read = staged.count()
         stored = storage.size(spark, job.scratch.path)
         stored += job.table.stored_bytes
@@ -206,6 +211,7 @@ class Job:
     source: Table
     target: Table
     rules: list[Rule]
+    columns: list[ColumnSpec]
     state: WatermarkState | None
     bounds: Bounds
     column: str
@@ -246,7 +252,13 @@ def open_job(
     pipeline = store.pipeline(pipeline_id)
     if not pipeline.is_active:
         return None
-    source, target = store.source_and_target(pipeline_id)
+    tables = store.tables(pipeline_id)
+    source, target = store.ends(pipeline_id, tables)
+    rules = store.rules_of(tables)
+    columns: list[ColumnSpec] = []
+    if options.enforce_columns:
+        columns = store.columns(target.table_id)
+        rules = conformance_rules(columns, castable=True) + rules
     state = store.watermark(pipeline_id)
     bounds = resolve_bounds(state, now)
     ids = {"run_id": run_id} if run_id else {}
@@ -261,7 +273,8 @@ def open_job(
         pipeline_id,
         source,
         target,
-        store.rules(pipeline_id),
+        rules,
+        columns,
         state,
         bounds,
         state.watermark_column if state else watermark_col,
@@ -275,11 +288,16 @@ def open_job(
 def extract(job: Job) -> DataFrame:
     """The new rows of the source, stamped and transformed."""
     options = job.options
+    schema = options.schema
+    if schema is None and job.source.file_format.lower() in ROW_TEXT_FORMATS:
+        # declared columns of the source spare the pass that infers a schema
+        declared = job.store.columns(job.source.table_id)
+        schema = ", ".join(f"`{c.column_name}` {c.data_type}" for c in declared) or None
     df = read_source(
         job.spark,
         job.source.storage_path,
         job.source.file_format,
-        schema=options.schema,
+        schema=schema,
         options=options.read_options,
     )
     if job.column in df.columns and (job.state is not None or options.track_new):
@@ -321,6 +339,10 @@ def transformed(job: Job, df: DataFrame) -> DataFrame:
     return out.withColumns({c: v for c, v in stamps.items() if c not in out.columns})
 
 
+def conformed(job: Job, clean: DataFrame) -> DataFrame:
+    return conform(clean, job.columns, keep_extra=True) if job.columns else clean
+
+
 def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
     """Check, load, reconcile and advance on staged rows, and close the run."""
     store, log, bounds, ctx = job.store, job.log, job.bounds, job.ctx
@@ -339,7 +361,7 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
 
     with log.step("target_load") as step:
         inserted, updated = load_batch(
-            clean_rows(batch.tagged),
+            conformed(job, clean_rows(batch.tagged)),
             job.target,
             job.segment or ctx.run_id,
             job.scratch,
