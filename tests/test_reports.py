@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from tests.conftest import rows
+from tests.test_quality import PATHS
+from tidemark.operators import reports
+
+T0 = datetime(2024, 1, 1, 10)
+
+
+def minutes(n):
+    return T0 + timedelta(minutes=n)
+
+
+@pytest.fixture
+def log(spark):
+    data = [
+        ("r1", "p", minutes(0), None, None, "RUNNING"),
+        ("r1", "p", minutes(0), minutes(5), minutes(-1), "SUCCESS"),
+        ("r2", "p", minutes(10), None, None, "RUNNING"),
+        ("r2", "p", minutes(10), minutes(11), None, "FAILED"),
+        ("r3", "q", minutes(20), None, None, "RUNNING"),
+        ("r4", "q", minutes(58), None, None, "RUNNING"),
+    ]
+    return spark.createDataFrame(
+        data,
+        "run_id string, pipeline_id string, execution_start timestamp, execution_end timestamp, "
+        "watermark_end timestamp, status string",
+    )
+
+
+def test_run_state(log):
+    runs = reports.latest_runs(log)
+    assert runs.columns == log.columns
+    assert rows(runs.select("run_id", "status")) == [
+        ("r1", "SUCCESS"),
+        ("r2", "FAILED"),
+        ("r3", "RUNNING"),
+        ("r4", "RUNNING"),
+    ]
+    assert rows(reports.last_success(runs)) == [("p", "r1", minutes(0), minutes(-1))]
+    late = reports.sla_breaches(runs, minutes(60), 30 * 60)
+    assert rows(late.select("run_id", "breach", "open_seconds")) == [
+        ("r2", "FAILED", None),
+        ("r3", "OVERDUE", 40 * 60),
+    ]
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_readiness_under_a_hot_parent(spark, conf, log, path):
+    conf(**path)
+    deps = [(f"d{i}", "p" if i % 2 else "q", i % 7 > 0) for i in range(40)]
+    deps += [("d0", "p", True), ("x", "never", True), (None, "p", True)]
+    df = spark.createDataFrame(deps, "pipeline_id string, parent_pipeline_id string, is_active boolean")
+    runs = reports.latest_runs(log.filter("run_id <> 'r2'"))  # p succeeded, q is running
+    expected = {}
+    for name, parent, active in deps:
+        if active:
+            expected.setdefault(name, []).append(parent == "p")
+    assert rows(reports.dependency_ready(df, runs)) == sorted(
+        ((k, all(v), len(v), v.count(False)) for k, v in expected.items()), key=repr
+    )
+
+
+def test_rules_and_tables(spark):
+    rules = spark.createDataFrame(
+        [("a", "t1", True), ("b", "t1", False), ("c", "t2", True), ("d", "none", True)],
+        "rule_id string, table_id string, is_active boolean",
+    )
+    tables = spark.createDataFrame(
+        [("t1", "p", "gold", "/g"), ("t2", "p", "landing", "/l"), ("t3", "p", "bronze", "/b"),
+         ("t4", "q", "landing", "/x")],
+        "table_id string, pipeline_id string, layer string, storage_path string",
+    ).selectExpr("*", "'parquet' AS file_format", "'merge' AS write_mode")
+    got = reports.active_rules(rules, tables).select("rule_id", "pipeline_id")
+    assert rows(got) == [("a", "p"), ("c", "p")]
+    pipelines = spark.createDataFrame([("p",), ("q",), ("r",)], "pipeline_id string")
+    ends = reports.source_and_target(pipelines, tables)
+    assert rows(ends.select("pipeline_id", "source_path", "target_layer", "target_path")) == [
+        ("p", "/l", "bronze", "/b"),
+        ("q", "/x", None, None),
+        ("r", None, None, None),
+    ]
+
+
+def test_reconciliation(spark):
+    counts = spark.createDataFrame(
+        [("p", 10, 5, 3, 2), ("q", 10, 5, 3, 1), ("p", 1, 1, 0, 0)],
+        "pipeline_id string, source_count long, target_inserted_count long, "
+        "target_updated_count long, quarantine_count long",
+    )
+    done = reports.reconcile(counts)
+    gap = reports.discrepancies(done).select("pipeline_id", "discrepancy_count")
+    assert rows(gap) == [("q", 1)]
+    totals = reports.running_totals(done).select("pipeline_id", "n_runs", "source_count")
+    assert rows(totals) == [("p", 2, 11), ("q", 1, 10)]
+
+
+def test_steps(spark):
+    steps = spark.createDataFrame(
+        [
+            ("s1", "r1", "extract", minutes(0), minutes(1), "SUCCESS", 5),
+            ("s2", "r1", "load", minutes(1), minutes(4), "FAILED", 0),
+            ("s3", "r2", "extract", minutes(2), minutes(5), "SUCCESS", 7),
+        ],
+        "step_run_id string, run_id string, step_name string, start_time timestamp, "
+        "end_time timestamp, status string, records_processed long",
+    )
+    profile = reports.step_profile(steps).select(
+        "step_name", "n_steps", "n_failed", "total_seconds", "max_seconds", "p50_seconds"
+    )
+    assert rows(profile) == [("extract", 2, 0, 240, 180, 60), ("load", 1, 1, 180, 180, 180)]
+    assert [r[0] for r in reports.steps_in_order(steps).collect()] == ["s1", "s2", "s3"]

@@ -6,11 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.times import seconds_between
 from tidemark.operators.keys import dedup_latest
 from tidemark.operators.skew import lookup_join
+from tidemark.scratch import Scratch, measure
 
 
 def latest_runs(executions: DataFrame) -> DataFrame:
@@ -117,10 +117,14 @@ def steps_in_order(steps: DataFrame) -> DataFrame:
     return steps.orderBy("start_time", "end_time", "step_run_id")
 
 
-def dependency_ready(dependencies: DataFrame, runs: DataFrame) -> DataFrame:
+def dependency_ready(
+    dependencies: DataFrame, runs: DataFrame, scratch: Scratch | None = None
+) -> DataFrame:
     """Per downstream pipeline: are all parents of its active dependencies ready, that is, did the
-    latest run of each succeed? A parent that never ran is not ready."""
-    latest = (
+    latest run of each succeed? A parent that never ran is not ready. The latest runs are written
+    down once, so that their size can be measured before the join."""
+    scratch = scratch or Scratch(runs.sparkSession)
+    latest = scratch.table(
         runs.groupBy("pipeline_id")
         .agg(F.max(F.struct("execution_start", "run_id", "status"))["status"].alias("status"))
         .withColumnRenamed("pipeline_id", "parent_pipeline_id")
@@ -128,7 +132,7 @@ def dependency_ready(dependencies: DataFrame, runs: DataFrame) -> DataFrame:
     active = dependencies.filter("is_active").select("pipeline_id", "parent_pipeline_id")
     ok = F.coalesce(F.col("status") == "SUCCESS", F.lit(False))
     return (
-        lookup_join(active, latest, ["parent_pipeline_id"], "left")
+        lookup_join(active, latest, ["parent_pipeline_id"], "left", size=measure(latest))
         .groupBy("pipeline_id")
         .agg(
             F.bool_and(ok).alias("is_ready"),
@@ -141,7 +145,7 @@ def dependency_ready(dependencies: DataFrame, runs: DataFrame) -> DataFrame:
 def active_rules(rules: DataFrame, tables: DataFrame) -> DataFrame:
     """Active rules with the pipeline of their table; rules without a table drop out."""
     owner = tables.select("table_id", "pipeline_id")
-    return lookup_join(rules.filter("is_active"), owner, ["table_id"], "inner")
+    return lookup_join(rules.filter("is_active"), owner, ["table_id"], "inner", size=measure(owner))
 
 
 def source_and_target(pipelines: DataFrame, tables: DataFrame) -> DataFrame:
