@@ -14,7 +14,7 @@ os.environ["TZ"] = "UTC"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
+    builder = (
         SparkSession.builder.master("local[*]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
@@ -22,8 +22,11 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .getOrCreate()
     )
+    # such as TEST_CONF="spark.tidemark.broadcastBytes=0 spark.tidemark.hotRows=1000"
+    for option in os.environ.get("TEST_CONF", "").split():
+        builder = builder.config(*option.split("=", 1))
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -43,7 +43,7 @@ def test_append_replaces_its_own_batch_only(spark, tmp_path):
     table.append(frame(spark, (2, "b", 2.0)), "run/2")
     table.append(frame(spark, (3, "c", 3.0)), "run/2")
     assert rows(table.read()) == [(1, "a", 1.0), (3, "c", 3.0)]
-    table.compact("compact")
+    table.compact()
     assert rows(table.read()) == [(1, "a", 1.0), (3, "c", 3.0)]
 
 
@@ -148,9 +148,27 @@ def test_new_columns_on_request(spark, tmp_path):
     wider = frame(spark, (2, "b", 2.0)).withColumn("x", F.lit("new"))
     table.append(wider, "b2", allow_new_columns=True)
     table.append(frame(spark, (3, "c", 3.0)), "b3", allow_new_columns=True)
+    table.append(wider, "b2", allow_new_columns=True)  # again: replaces itself and nothing else
     assert rows(table.read()) == [(1, "a", 1.0, None), (2, "b", 2.0, "new"), (3, "c", 3.0, None)]
 
 
+def test_a_repeated_batch_never_replaces_a_rewrite(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(frame(spark, (1, "a", 1.0)), path, "append", batch_id="b1")
+    write_table(frame(spark, (2, "b", 2.0)), path, "overwrite", batch_id="b2")
+    table = write_table(frame(spark, (3, "c", 3.0)), path, "append", batch_id="b2")
+    assert rows(table.read()) == [(2, "b", 2.0), (3, "c", 3.0)]
+
+
+def test_narrower_numbers_are_widened(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, 2.5)], "k long, v double"), "b1")
+    table.append(spark.createDataFrame([(2, 3)], "v int, k int"), "b2")
+    assert rows(table.read()) == [(1, 2.5), (3, 2.0)]
+    with pytest.raises(ValueError, match="table has"):
+        table.append(spark.createDataFrame([("3", 2.5)], "k string, v double"), "b3")
+
+
 def test_file_formats(spark, tmp_path):
     one = frame(spark, (1, "a", 1.0))
     one.write.option("header", True).csv(str(tmp_path / "csv"))

@@ -20,10 +20,10 @@ def write_table(
 ) -> VersionedTable:
     """Load ``df`` by mode. A table that does not exist yet takes the frame as it is."""
     table = VersionedTable(df.sparkSession, path)
-    if not table.exists():
+    if mode == "append":
+        table.append(df, batch_id, partition_cols)
+    elif not table.exists():
         table.overwrite(df, batch_id, partition_cols or [])
-    elif mode == "append":
-        table.append(df, batch_id)
     elif mode == "overwrite":
         table.overwrite(df, batch_id, partition_cols)
     elif mode == "replace_partitions":

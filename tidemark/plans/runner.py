@@ -376,9 +376,9 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
     log.reconcile(n_read, inserted, updated, batch.quarantined, note)
 
     mark = advance(job, batch)
-    log.close("SUCCESS", mark, n_read, batch.clean)
     if job.options.keep_versions is not None:
         job.table.expire(job.options.keep_versions)
+    log.close("SUCCESS", mark, n_read, batch.clean)
     return RunResult(
         ctx.run_id,
         "SUCCESS",
@@ -393,14 +393,16 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
 
 
 def advance(job: Job, batch: Batch) -> datetime | None:
-    """Move the control state on. A batch without a usable time keeps the old watermark: it never
-    jumps to the clock. A backfill completes and leaves the watermark alone."""
+    """Move the control state on. A batch without a usable time, or with late rows only, keeps the
+    old watermark: it never jumps to the clock and never moves back. A backfill completes and leaves
+    the watermark alone."""
     state, bounds, store = job.state, job.bounds, job.store
     top = batch.read_top if job.options.watermark_basis == "read" else batch.clean_top
     if bounds.is_backfill:
         store.set_backfill(job.pipeline_id, "COMPLETED")
         return top or bounds.end
-    mark = top or (state.last_watermark_value if state else None)
+    known = [t for t in (top, state.last_watermark_value if state else None) if t is not None]
+    mark = max(known, default=None)
     if state is not None:
         store.advance_watermark(job.pipeline_id, mark)
     elif job.options.track_new and mark is not None:

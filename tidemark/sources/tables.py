@@ -9,6 +9,7 @@ duplicate rows. One writer per table at a time; there is no transaction log.
 from __future__ import annotations
 
 import json
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,9 +129,10 @@ class VersionedTable:
         current = self._committed()[0]
         if partition_cols is None:
             partition_cols = self._layout(current)[1] if current else []
+        # named apart from appended batches: a repeated append must never replace the whole table
         version = self._begin(df.schema, partition_cols)
         self._write(
-            df, self._segment(version, batch_id), partition_cols, clustered=clustered
+            df, self._segment(version, f"base-{batch_id}"), partition_cols, clustered=clustered
         )
 
     def append(
@@ -144,11 +146,14 @@ class VersionedTable:
         """Add one batch. The same ``batch_id`` again replaces what it wrote before."""
         version, _ = self._committed()
         if version is None:
-            return self.overwrite(df, batch_id, partition_cols)
+            version = self._begin(df.schema, partition_cols or [])
         schema, parts = self._layout(version)
-        if set(df.columns) - set(schema.names) and allow_new_columns:
-            merged = self.read().unionByName(df, allowMissingColumns=True)
-            return self.overwrite(merged, batch_id, parts)
+        added = [f for f in df.schema.fields if f.name not in schema.names]
+        if added and allow_new_columns:
+            wider = {f.name: F.lit(None).cast(f.dataType) for f in added}
+            self.overwrite(self.read().withColumns(wider), str(uuid.uuid4()), parts)
+            version, _ = self._committed()
+            schema, parts = self._layout(version)
         df = align(df, schema, fill_missing=allow_new_columns)
         self._write(df, self._segment(version, batch_id), parts)
 
@@ -170,9 +175,10 @@ class VersionedTable:
         kept = lookup_join(self.read(), touched, parts, "left_anti", size=size, null_safe=True)
         self.overwrite(kept.unionByName(df), batch_id, parts)
 
-    def compact(self, batch_id: str) -> None:
-        """Rewrite the current version as one segment."""
-        self.overwrite(self.read(), batch_id)
+    def compact(self) -> None:
+        """Rewrite the current version as one segment. Not while a run may still be repeated: its
+        batch is no longer apart then."""
+        self.overwrite(self.read(), str(uuid.uuid4()))
 
     def expire(self, keep: int = 2) -> None:
         """Delete all but the ``keep`` newest versions."""
@@ -182,8 +188,19 @@ class VersionedTable:
                 storage.delete(self.spark, path)
 
 
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _widens(have: T.DataType, want: T.DataType) -> bool:
+    have, want = have.simpleString(), want.simpleString()
+    if have not in _NUMBERS or want not in _NUMBERS:
+        return False
+    return _NUMBERS.index(have) < _NUMBERS.index(want)
+
+
 def align(df: DataFrame, schema: T.StructType, *, fill_missing: bool = False) -> DataFrame:
-    """``df`` in the column order of ``schema``; other columns or other types are refused."""
+    """``df`` in the column order of ``schema``. Narrower numbers are widened; other columns and other
+    types are refused."""
     missing = [n for n in schema.names if n not in df.columns]
     extra = [c for c in df.columns if c not in schema.names]
     if extra or (missing and not fill_missing):
@@ -194,6 +211,9 @@ def align(df: DataFrame, schema: T.StructType, *, fill_missing: bool = False) ->
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         have = df.schema[f.name].dataType
+        if _widens(have, f.dataType):
+            out.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
+            continue
         if have.simpleString() != f.dataType.simpleString():
             raise ValueError(
                 f"column '{f.name}' is {have.simpleString()}, table has {f.dataType.simpleString()}"
