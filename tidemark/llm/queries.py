@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, token_files
+from tidemark.llm import line_rules, packing, simhash, token_files
 from tidemark.llm.tables import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,37 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 
 
+SQL["op2_line_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host
+           FROM documents),
+m AS (SELECT rid, doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+        list_filter(list_transform(string_split(regexp_replace(lower(t), '[0-9]', '0', 'g'), chr(10)),
+          x -> trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), x -> x <> '') AS ns
+      FROM d),
+windows AS (SELECT rid, i, list_slice(ws, i, i + 4) AS g FROM (
+              SELECT rid, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS i FROM m)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM windows) WHERE c > 1),
+repeated AS (SELECT rid, sum(least(5, coalesce(next - i, 5))) AS words FROM (
+               SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS next FROM twice) GROUP BY rid),
+ln AS (SELECT rid, host, t, unnest(ns) AS line FROM m),
+counted AS (SELECT host, line, count(DISTINCT t) AS holding FROM ln GROUP BY ALL),
+texts AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host),
+frequent AS (SELECT c.host, c.line FROM counted c JOIN texts USING (host)
+             WHERE holding > 20 AND holding > texts * 0.05),
+removed AS (SELECT rid, sum(len(string_split(line, ' '))) AS words FROM ln JOIN frequent USING (host, line)
+            GROUP BY rid),
+judged AS (SELECT m.*, len(ws) AS n, coalesce(repeated.words, 0) AS again, coalesce(removed.words, 0) AS gone
+           FROM m LEFT JOIN repeated USING (rid) LEFT JOIN removed USING (rid)),
+flagged AS (SELECT *, n < 10 OR 100 * again > 20 * n AS base_failed, n - gone < n * 0.5 AS depleted FROM judged)
+SELECT doc_id, n::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+       length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+       (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, again::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept, gone::BIGINT AS words_removed, depleted
+FROM flagged
+"""
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -28,9 +59,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, CAPACITY)
 
 
+@query
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of the quality rules for all documents."""
+    return line_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token-id files and read back from them."""
     folder = new_folder(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path(TOKENIZER))
     return token_files.read_tokens(spark, folder)
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
