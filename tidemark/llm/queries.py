@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules, packing, simhash, token_files
+from tidemark.llm import line_rules, packing, repeats, simhash, token_files
 from tidemark.llm.tables import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,9 +20,9 @@ SQL["op2_line_rules"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host
            FROM documents),
 m AS (SELECT rid, doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
         list_filter(list_transform(string_split(regexp_replace(lower(t), '[0-9]', '0', 'g'), chr(10)),
-          x -> trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), x -> x <> '') AS ns
+          lambda x: trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), lambda x: x <> '') AS ns
       FROM d),
 windows AS (SELECT rid, i, list_slice(ws, i, i + 4) AS g FROM (
               SELECT rid, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS i FROM m)),
@@ -78,3 +78,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+@query
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that belong to a repeated string of 400 bytes, and what is left."""
+    return repeats.digests(table(spark, sf_dir, "documents"), 400, keep_first=False)
