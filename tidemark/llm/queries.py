@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules, packing, repeats, simhash, token_files
+from tidemark.llm import line_rules, packing, repeats, simhash, templates, token_files, warc
 from tidemark.llm.tables import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,19 @@ FROM flagged
 """
 
 
+SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS keeper FROM p)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1)), 'string_agg', '')
+         AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM k
+"""
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -84,3 +97,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that belong to a repeated string of 400 bytes, and what is left."""
     return repeats.digests(table(spark, sf_dir, "documents"), 400, keep_first=False)
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, equal payloads once, and read back from the archives."""
+    folder = new_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archives(spark, folder).filter("record_type IS NOT NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return templates.extract(table(spark, sf_dir, "pages"))
