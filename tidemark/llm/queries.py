@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import line_rules, packing, repeats, simhash, templates, token_files, warc
+from tidemark.llm import decontaminate, line_rules, packing, repeats, severity, simhash, templates, token_files, warc
 from tidemark.llm.tables import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +113,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return templates.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold a passage of a benchmark item, with the item and the place."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents and whether they count as toxic."""
+    docs = table(spark, sf_dir, "documents")
+    graded = severity.grade(docs.select("doc_id", "text"), severity.fit(docs, table(spark, sf_dir, "labels")))
+    return graded.select("doc_id", "p_toxic", "expected_severity", (F.col("p_toxic") >= 0.5).alias("toxic"))
