@@ -27,7 +27,7 @@ from tidemark.scratch import Scratch
 
 FEW_SEGMENTS = 2_000  # different segments of an anchor that are put in suffix order together
 _CHUNK = 2 << 20
-_BLOCK = 8 << 20
+_BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 NO_ID = -(1 << 63)
 
