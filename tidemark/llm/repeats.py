@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.scratch import Scratch
 
 FEW_SEGMENTS = 2_000  # different segments of an anchor that are put in suffix order together
+FILTER_KEYS = 1 << 20  # 64-bit hashes that are broadcast to keep texts out of a shuffle, 16 MB
 _CHUNK = 2 << 20
 _BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -181,6 +182,11 @@ def _spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
 _FETCHED = "anchor long, owner long, at long, first long, bytes binary"
 
 
+def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A shuffled join, split where a key is hot: both sides grow with the corpus."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _once(texts: DataFrame) -> DataFrame:
     """at, key and text; rows that repeat all of it within a task go only once, so that none is hot."""
 
@@ -198,6 +204,15 @@ def _once(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(once, "at long, key binary, text binary")
 
 
+def _among(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``texts`` without those that ``wanted`` (at, key) lacks, so that they need not be shuffled, if
+    the hashes of what is wanted are few enough to be sent to all tasks. Hashes may let one pass."""
+    hashes = wanted.select(F.xxhash64("at", "key").alias("h")).distinct()
+    if hashes.count() > FILTER_KEYS:
+        return texts
+    return texts.withColumn("h", F.xxhash64("at", "key")).join(F.broadcast(hashes), "h", "left_semi").drop("h")
+
+
 def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Texts of wanted segments (owner, at, key, list of anchor, first, last)."""
 
@@ -212,7 +227,7 @@ def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     [pa.array(v, t) for v, t in zip(some, [pa.int64()] * 4 + [pa.binary()])],
                     names=["anchor", "owner", "at", "first", "bytes"])
 
-    joined = _once(texts).join(wanted, ["at", "key"])
+    joined = _join(_among(_once(texts), wanted), wanted, ["at", "key"])
     return joined.select("text", "owner", "at", "parts").mapInArrow(cut, _FETCHED)
 
 
@@ -346,11 +361,11 @@ def repeated_spans(
     repeated = scratch.table(
         parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     )
-    live = scratch.table(parts.join(repeated, "anchor"))
+    live = scratch.table(_join(parts, repeated, ["anchor"]))
     place = F.struct("at", "owner", "first", "last")
     kinds = scratch.table(live.groupBy("anchor", "same").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")))
     # equal segments: all their windows repeat
-    again = live.join(kinds.filter("n > 1"), ["anchor", "same"])
+    again = _join(live, kinds.filter("n > 1"), ["anchor", "same"])
     if keep_first:
         again = again.filter(place != F.col("least"))
     begin, end = F.col("first").cast("long").alias("begin"), (F.col("last") + length).cast("long").alias("end")
@@ -358,11 +373,11 @@ def repeated_spans(
     # different segments of one anchor: some of their windows may be equal
     mixed = scratch.table(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"))
     most = mixed.agg(F.max("kinds")).first()[0] or 0
-    compared = kinds.join(mixed, "anchor").select("anchor", "kinds", "least.*")
+    compared = _join(kinds, mixed, ["anchor"]).select("anchor", "kinds", "least.*")
 
     def fetched(some: DataFrame) -> DataFrame:
         listed = some.groupBy("owner").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("parts"))
-        return _fetch(texts, listed.join(owners.select("owner", "at", "key"), "owner"), length)
+        return _fetch(texts, scratch.table(_join(listed, owners.select("owner", "at", "key"), ["owner"])), length)
 
     if most:
         few = fetched(compared.filter(F.col("kinds") <= FEW_SEGMENTS))
@@ -372,13 +387,13 @@ def repeated_spans(
         spans = spans.union(_window_spans(many, length, keep_first, scratch))
     by_owner = spans.groupBy("owner").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     found = scratch.table(
-        by_owner.join(owners.select("owner", "at", "key", "copies"), "owner")
+        _join(by_owner, owners.select("owner", "at", "key", "copies"), ["owner"])
         .select("at", "key", "copies", "spans")
         .mapInArrow(_merged, "at long, key binary, copies long, spans array<struct<begin:long,end:long>>")
     )
     copied = owners.filter("copies > 1").select("key", F.col("at").alias("first_at"))
     copy = F.col("at") != F.col("first_at") if keep_first else F.lit(True)
-    judged = rows.select("at", "key", "size").join(copied, "key", "left").select(
+    judged = _join(rows.select("at", "key", "size"), copied, ["key"], "left").select(
         F.when(F.col("at") != NO_ID, F.col("at")).alias("doc_id"), "key", "size",
         (F.col("first_at").isNotNull() & copy).alias("copy"))
     return found, judged
@@ -416,7 +431,7 @@ def _cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["at", "key", "n_removed", "n_spans", "kept_sha256", "left"])
 
-    joined = _once(_texts(docs)).join(found, ["at", "key"]).select("at", "key", "text", "spans")
+    joined = _join(_among(_once(_texts(docs)), found), found, ["at", "key"]).select("at", "key", "text", "spans")
     return joined.mapInArrow(clean, "at long, key binary, n_removed long, n_spans long, kept_sha256 string, left string")
 
 
@@ -430,7 +445,7 @@ def digests(docs: DataFrame, length: int = 400, keep_first: bool = False, scratc
     at = F.coalesce("doc_id", F.lit(NO_ID)).alias("at")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     zero = F.lit(0).cast("long")
-    return judged.withColumn("at", at).join(cleaned, ["at", "key"], "left").select(
+    return _join(judged.withColumn("at", at), cleaned, ["at", "key"], "left").select(
         "doc_id", F.col("size").alias("n_bytes"),
         F.when(F.col("copy"), F.col("size")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
         F.when(F.col("copy"), F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
@@ -449,9 +464,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, least_left: int = 1, scra
     changed = scratch.table(left.union(gone).select("at", "key", F.col("left").alias("_left")))
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     key = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    joined = docs.withColumn("_at", at).withColumn("_key", key).join(
-        changed.withColumnsRenamed({"at": "_at", "key": "_key"}), ["_at", "_key"], "left"
-    )
+    joined = _join(
+        docs.withColumn("_at", at).withColumn("_key", key),
+        changed.withColumnsRenamed({"at": "_at", "key": "_key"}), ["_at", "_key"], "left",
+    )
     changes = F.col("_left").isNotNull()
     kept = joined.filter(~changes | (F.octet_length("_left") >= least_left))
     out = {"text": F.coalesce("_left", "text")}
