@@ -8,7 +8,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_rules, packing, repeats, severity, simhash, templates, token_files, warc
+from tidemark.llm import (
+    decontaminate,
+    line_rules,
+    packing,
+    pseudo_likelihood,
+    repeats,
+    severity,
+    simhash,
+    templates,
+    token_files,
+    warc,
+)
 from tidemark.llm.tables import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +138,9 @@ def op10_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     graded = severity.grade(docs.select("doc_id", "text"), severity.fit(docs, table(spark, sf_dir, "labels")))
     return graded.select("doc_id", "p_toxic", "expected_severity", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
