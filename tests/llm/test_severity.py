@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from tidemark.llm import severity
+from tidemark.llm.severity import SeverityModel
+
+DOCS = "doc_id long, text string, toxic string, p_toxic string, features string"
+
+
+def corpus(n, seed=1):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    bad = ["idiot", "scumbag", "filthyone", "filthytwo", "filthythree"]
+    docs, labels = [], []
+    for i in range(n):
+        text = rng.choices(words, k=rng.randint(0, 80))
+        toxic = i % 5 == 0
+        for _ in range(rng.choice([1, 2, 5, 12]) if toxic else 0):
+            text.insert(rng.randrange(len(text) + 1), rng.choice(bad))
+        docs.append((i, " ".join(text).upper() if i % 7 == 0 else " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    return (spark.createDataFrame([(*d, "x", "y", "z") for d in docs], DOCS).repartition(3),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_held_out_documents(spark):
+    docs, labels = corpus(900)
+    rows, known = frames(spark, docs, labels)
+    model = severity.fit(rows, known.filter("doc_id < 500"))
+    assert all(w >= 0 for w in model.weights.values()) and (np.diff(model.thresholds) > 0).all()
+    got = {r.doc_id: r for r in severity.grade(rows, model).collect()}
+    rest = [r for i, r in got.items() if i >= 500]
+    assert np.mean([(r.p_toxic >= 0.5) == (r.doc_id % 5 == 0) for r in rest]) > 0.97
+    few = [r.expected_severity for r in rest if 0 < sum(r.text.lower().count(b) for b in ("idiot", "scumbag", "filthy")) <= 2]
+    many = [r.expected_severity for r in rest if sum(r.text.lower().count(b) for b in ("idiot", "scumbag", "filthy")) >= 8]
+    assert np.mean(many) > np.mean(few) + 0.5
+    assert got[5].toxic == "x" and severity.grade(rows, model).columns == ["doc_id", "text", "toxic", "features", "p_toxic", "expected_severity"]
+
+
+def test_gradient_against_differences():
+    """The fitted parameters are a minimum of the penalised likelihood in every free direction."""
+    rng = np.random.default_rng(0)
+    n, f = 300, 4
+    x = (rng.random((n, f)) < 0.4) * rng.integers(1, 4, (n, f))
+    grades = np.clip((x @ [2.0, 1.0, 0.5, 0.1] + rng.logistic(size=n)) // 1.5, 0, 3).astype(int)
+    r, c = np.nonzero(x)
+    w, cuts = severity.fit_thresholds(r, c, x[r, c].astype(float), grades, f, steps=3000)
+
+    def loss(w, cuts):
+        p = 1 / (1 + np.exp(-(cuts[None, :] - (x @ w)[:, None])))
+        full = np.hstack([np.zeros((n, 1)), p, np.ones((n, 1))])
+        return -np.log(full[np.arange(n), grades + 1] - full[np.arange(n), grades]).mean() + 0.02 / n / 2 * w @ w
+
+    best = loss(w, cuts)
+    for k in range(f):
+        for step in (-0.05, 0.05):
+            if w[k] + step >= 0:
+                moved = w.copy()
+                moved[k] += step
+                assert loss(moved, cuts) >= best - 1e-6
+    for k in range(3):
+        for step in (-0.05, 0.05):
+            moved = cuts.copy()
+            moved[k] += step
+            if (np.diff(moved) > 0).all():
+                assert loss(w, moved) >= best - 1e-6
+
+
+def test_score_against_the_formula():
+    model = SeverityModel({"bad": 2.0, "fil*": 0.0, "filt*": 1.5}, np.array([1.0, 2.0, 4.0]))
+    texts = ["bad Bad filthy filter filt", None, "", "nothing here", "bad," * 50_000]
+    eta = [2 * np.log2(3) + 1.5 * np.log2(3), 0, 0, 0, 2 * np.log2(50_001)]
+    assert np.allclose(model.score(texts), 1 / (1 + np.exp(np.array([[1.0, 2.0, 4.0]]) - np.array(eta)[:, None])))
+
+
+def test_missing_labels_and_edges(spark):
+    docs, labels = corpus(40)
+    rows, known = frames(spark, docs + [(None, None), (None, "idiot"), (0, docs[0][1])], labels)
+    for some in (known.limit(0), known.filter("toxic = 0"), known.filter("toxic = 1")):
+        graded = severity.grade(rows, severity.fit(rows, some)).collect()
+        assert len(graded) == 43 and all(r.p_toxic == 0 for r in graded)
+    extra = known.union(spark.createDataFrame([(None, 1, 1), (3, None, None), (5, 1, 1)], known.schema))
+    model = severity.fit(rows, extra, max_labelled=30)
+    assert severity.grade(rows, model).count() == 43
+    assert severity.grade(rows.limit(0), model).collect() == []

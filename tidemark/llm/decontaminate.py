@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import free_name
+
 Q = 12
 WINDOW, STRIDE = 128, 64
 EDITS = 0.07
@@ -195,6 +197,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no window of a benchmark item; columns and order of columns stay."""
     spark = docs.sparkSession
     names = docs.columns
+    text = free_name(docs, "normalised")
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 
@@ -206,5 +209,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 rest = pa.RecordBatch.from_arrays(batch.columns[:-1], names=names)
                 yield rest.filter(pa.array(clean))
 
-        docs = docs.select(*names, normalised(F.col("text")).alias("_normalised")).mapInArrow(keep, docs.schema)
+        docs = docs.select(*names, normalised(F.col("text")).alias(text)).mapInArrow(keep, docs.schema)
     return docs

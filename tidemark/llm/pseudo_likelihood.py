@@ -231,7 +231,7 @@ def score(buckets: DataFrame, network: WindowNetwork) -> DataFrame:
                 part = slice(at, at + _TOKENS)
                 each[part] = net.log_probabilities(ids[part], around[:, part])
             of = np.repeat(np.arange(len(sizes)), sizes)
-            total = np.bincount(of, weights=each, minlength=len(sizes))
+            total = np.bincount(of, weights=each, minlength=len(sizes)).astype(float)
             mean = pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(total), mean],

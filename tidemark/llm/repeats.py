@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import free_name
 from tidemark.scratch import Scratch
 
 FEW_SEGMENTS = 2_000  # different segments of an anchor that are put in suffix order together
@@ -461,16 +462,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, least_left: int = 1, scra
     found, judged = repeated_spans(docs, length, True, scratch)
     left = _cleaned(docs, found).select("at", "key", "left").dropDuplicates(["at", "key"])
     gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key", F.lit("").alias("left")).distinct()
-    changed = scratch.table(left.union(gone).select("at", "key", F.col("left").alias("_left")))
-    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    key = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    joined = _join(
-        docs.withColumn("_at", at).withColumn("_key", key),
-        changed.withColumnsRenamed({"at": "_at", "key": "_key"}), ["_at", "_key"], "left",
-    )
-    changes = F.col("_left").isNotNull()
-    kept = joined.filter(~changes | (F.octet_length("_left") >= least_left))
-    out = {"text": F.coalesce("_left", "text")}
+    at, key, rest = (free_name(docs, n) for n in ("at", "key", "left"))
+    changed = scratch.table(left.union(gone).toDF(at, key, rest))
+    places = {at: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+              key: F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))}
+    joined = _join(docs.withColumns(places), changed, [at, key], "left")
+    changes = F.col(rest).isNotNull()
+    kept = joined.filter(~changes | (F.octet_length(rest) >= least_left))
+    out = {"text": F.coalesce(rest, "text")}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(changes, F.length("_left")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return kept.withColumns(out).select(*docs.columns)
+        out["n_chars"] = F.when(changes, F.length(rest)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[out[c].alias(c) if c in out else c for c in docs.columns])

@@ -23,3 +23,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI, in the driver or in a task."""
     return fs.FileSystem.from_uri(uri)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of it with underscores before it that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
