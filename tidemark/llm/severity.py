@@ -25,6 +25,7 @@ from tidemark.scratch import Scratch
 
 BEGINNING = 4
 THRESHOLDS = 3
+_ROWS = 200
 _WORD = re.compile(r"\w+")
 
 
@@ -118,15 +119,17 @@ def fit(
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("f", pa.string()), ("n", pa.int32())]))
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            found = [features_of(t) for t in texts]
-            copies = pa.array([signature((t or "").lower().split()) for t in texts], pa.int64())
-            kind = pa.list_(pa.struct([("f", pa.string()), ("n", pa.int32())]))
-            lists = pa.array([[{"f": f, "n": n} for f, n in c.items()] for c in found], kind)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), copies, lists], names=["doc_id", "toxic", "copy", "features"]
-            )
+            for at in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(at, _ROWS)
+                texts = some.column(2).to_pylist()
+                lists = [[{"f": f, "n": n} for f, n in features_of(t).items()] for t in texts]
+                copies = [signature((t or "").lower().split()) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.array(copies, pa.int64()), pa.array(lists, kind)],
+                    names=["doc_id", "toxic", "copy", "features"],
+                )
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")  # max_labelled rows
     read = scratch.table(

@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Limit Arrow batches of the session to ``rows``, because each row holds a whole text; a lower limit
+    stays. It bounds the memory of Python workers and of the buffers that feed them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """URI of a fresh folder below the shared folder, for files that tasks write themselves."""
     root = shared_dir(spark)
