@@ -24,7 +24,7 @@ from tidemark.scratch import Scratch
 
 BINS = 128
 _ROWS = 2_000
-_PIECES_PER_BUCKET = 50_000
+_PIECES_PER_BUCKET = 5_000
 
 
 def cut_pieces(
