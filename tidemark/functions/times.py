@@ -8,17 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The accepted renderings of an event time; a fraction of a second is optional.
-TIME_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-)
+# A text that names its zone: Z, an offset or a region at its end, after a time of day.
+ZONED = r":\d{2}(\.\d+)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_wall_clock(instant: Column) -> Column:
+    """An instant as a wall-clock time in UTC, whatever the session's zone."""
+    micros = F.unix_micros(instant)
+    whole = F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)"))
+    return F.lit(_EPOCH).cast("timestamp_ntz") + whole
 
 
 def parse_time(text: Column) -> Column:
-    """Timestamp of a text column; NULL, never an error, where no format fits."""
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS))
+    """Wall-clock time of a text column, as a cast reads it: date and time separated by a space or T,
+    seconds, minutes and fractions optional. A text with a zone or offset is an instant and gives its
+    wall clock in UTC. NULL, never an error, where nothing fits."""
+    return F.when(text.rlike(ZONED), utc_wall_clock(text.try_cast("timestamp"))).otherwise(
+        text.try_cast("timestamp_ntz")
+    )
+
+
+def readable_sql(df: DataFrame, column: str) -> str:
+    """SQL predicate that holds for rows whose time is present and readable."""
+    name = f"`{column}`"
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return f"{name} IS NOT NULL"
+    zoned = ZONED.replace("\\", "\\\\")
+    return f"CASE WHEN {name} RLIKE '{zoned}' THEN try_cast({name} AS timestamp) IS NOT NULL ELSE try_cast({name} AS timestamp_ntz) IS NOT NULL END"
 
 
 def event_time(df: DataFrame, column: str) -> Column:
@@ -26,7 +43,7 @@ def event_time(df: DataFrame, column: str) -> Column:
     text is read as wall-clock time."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
-        return parse_time(F.col(column)).cast("timestamp_ntz")
+        return parse_time(F.col(column))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.col(column)
     raise TypeError(f"watermark column '{column}' is {kind.simpleString()}, not a time or text")

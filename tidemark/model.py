@@ -76,7 +76,6 @@ class Rule:
     rule_type: str
     expression: str = ""
     action_on_fail: str = "QUARANTINE"
-    priority: int = 0
 
     def __post_init__(self):
         object.__setattr__(self, "rule_type", self.rule_type.upper())

@@ -33,18 +33,32 @@ def conform(
     return df.select(*out)
 
 
+def lossless_sql(name: str, to: str, have: T.DataType | None) -> str:
+    """SQL predicate: a value that is not null casts to the declared type and, unless it is text, back
+    to itself, so that no fraction, time of day or digit is lost."""
+    cast = f"try_cast(`{name}` AS {to})"
+    if have is None or isinstance(have, T.StringType) or have == declared_type(to):
+        return f"{cast} IS NOT NULL"
+    return f"{cast} IS NOT NULL AND try_cast({cast} AS {have.simpleString()}) <=> `{name}`"
+
+
 def conformance_rules(
-    columns: Sequence[ColumnSpec], action: str = "QUARANTINE", *, castable: bool = False
+    columns: Sequence[ColumnSpec],
+    action: str = "QUARANTINE",
+    *,
+    castable: bool = False,
+    have: dict[str, T.DataType] | None = None,
 ) -> list[Rule]:
     """Nullability and primary key as quality rules, preceded on request by rules that catch values
-    ``conform`` would turn into nulls."""
+    ``conform`` would turn into nulls or, given the types at hand (``have``), alter."""
     rules = []
     if castable:
         for c in columns:
-            held = f"`{c.column_name}` IS NULL OR "
-            cast = f"try_cast(`{c.column_name}` AS {c.data_type}) IS NOT NULL"
-            name = f"{c.column_name}_castable"
-            rules.append(Rule(name, c.column_name, "EXPRESSION", held + cast, action))
+            if have is not None and c.column_name not in have:
+                continue
+            cast = lossless_sql(c.column_name, c.data_type, (have or {}).get(c.column_name))
+            test = f"`{c.column_name}` IS NULL OR ({cast})"
+            rules.append(Rule(f"{c.column_name}_castable", c.column_name, "EXPRESSION", test, action))
     rules += [
         Rule(f"{c.column_name}_not_null", c.column_name, "NOT_NULL", "", action)
         for c in columns
@@ -70,7 +84,7 @@ def conformance_report(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFram
         value = F.col(name)
         checks.append((name, "present", nothing))
         checks.append((name, "type", nothing if have[name] == kind else everything))
-        lost = value.isNotNull() & value.try_cast(kind).isNull()
+        lost = value.isNotNull() & ~F.expr(lossless_sql(name, c.data_type, have[name]))
         checks.append((name, "castable", F.count_if(lost)))
         if not c.is_nullable:
             checks.append((name, "not_null", F.count_if(value.isNull())))

@@ -66,9 +66,11 @@ def select_increment(
     end: datetime | None = None,
     *,
     on_missing: str = "full",
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Rows inside the window. A frame without the column is loaded in full, or rejected with
-    ``on_missing="error"``. Rows whose time is null or unreadable fall outside any bound."""
+    ``on_missing="error"``. Rows whose time is null or unreadable fall outside any bound;
+    ``keep_unreadable`` adds them, for a caller that deals with them."""
     if column is None or column not in df.columns:
         if column is not None:
             if on_missing == "error":
@@ -77,7 +79,8 @@ def select_increment(
         return df
     if start is None and end is None:
         return df
-    return df.filter(in_window(df, column, start, end))
+    test = in_window(df, column, start, end)
+    return df.filter(test | event_time(df, column).isNull() if keep_unreadable else test)
 
 
 def window_profile(

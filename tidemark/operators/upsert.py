@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import dedup_latest, repeated_keys
 from tidemark.operators.skew import fits_broadcast, lookup_join
-from tidemark.scratch import Scratch, measure
+from tidemark.scratch import Scratch, measure, observed
 from tidemark.sources.tables import VersionedTable, align
 
-# Partitions listed on the driver when only some are rewritten; above it the whole version is.
-MAX_TOUCHED_PARTITIONS = 10_000
 _NEW = "__new"
 _SEEN = "__seen"
 
@@ -131,6 +131,7 @@ def _merge_parts(
     newer_than: str | None = None,
     null_keys: str = "insert",
     matched: DataFrame | None = None,
+    observe: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame, bool]:
     """Target rows after the update, rows to add, and whether the target rows stayed in place."""
     source = align(source, target.schema)
@@ -156,6 +157,10 @@ def _merge_parts(
     if newer_than is not None:
         new, old = F.col(f"{_NEW}.{newer_than}"), F.col(newer_than)
         take = take & F.coalesce(new >= old, old.isNull())
+    if observe is not None:
+        met = met.observe(
+            observe, F.count_if(take).alias("taken"), F.count_if(F.col(_NEW).isNotNull()).alias("met")
+        )
     kept_or_new = [
         F.col(c) if c in keys else F.when(take, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c)
         for c in target.columns
@@ -170,30 +175,41 @@ def touched_partitions(
     parts: list[str],
     matched: DataFrame,
     scratch: Scratch,
-) -> list[int] | None:
-    """Hashes of the partitions that a merge changes: those the source rows go to, and those that
-    hold their old versions, which may be others. None when there are too many to list, or when a
-    partition would lose its last row, which an overwrite of partitions cannot express."""
-    mark = F.xxhash64(*parts).alias("p")
-    gaining = scratch.table(source.select(mark).distinct())
-    if gaining.count() > MAX_TOUCHED_PARTITIONS:
-        return None
-    touched = {r["p"] for r in gaining.collect()}
+) -> DataFrame:
+    """The partitions that a merge changes: those the source rows go to, and those that hold their
+    old versions, which may be others. A table, however many there are."""
+    gaining = source.select(*parts).distinct()
     if set(parts) <= set(keys):
-        return sorted(touched)
-    seen = matched.withColumn(_SEEN, F.lit(True))
-    held = lookup_join(target.select(*{*keys, *parts}), seen, keys, "left", size=measure(matched))
-    losing = held.groupBy(mark).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(_SEEN).isNotNull()).alias("n_old")
-    )
-    losing = scratch.table(losing.filter("n_old > 0"))
-    if losing.count() > MAX_TOUCHED_PARTITIONS:
-        return None
-    for row in losing.collect():
-        if row["n"] == row["n_old"] and row["p"] not in touched:
-            return None
-    touched |= {r["p"] for r in losing.collect()}
-    return sorted(touched) if len(touched) <= MAX_TOUCHED_PARTITIONS else None
+        return scratch.table(gaining.withColumn(_SEEN, F.lit(1)))
+    held = lookup_join(target.select(*{*keys, *parts}), matched, keys, "left_semi", size=measure(matched))
+    losing = held.select(*parts).distinct()
+    return scratch.table(gaining.union(losing).distinct().withColumn(_SEEN, F.lit(1)))
+
+
+def in_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of the touched partitions. The join on partition columns alone prunes the scan to these (an
+    equality join does, a null-safe one would not; partitions of nulls are filtered instead)."""
+    size = measure(touched)
+    known = F.lit(True)
+    for p in parts:
+        known = known & F.col(p).isNotNull()
+    # the comparison tells the optimizer that the small side is worth pruning by
+    whole = touched.filter(known & (F.col(_SEEN) > 0)).select(*parts)
+    found = lookup_join(target, whole, parts, "left_semi", size=size)
+    nulls = touched.filter(~known).select(*parts)
+    if nulls.take(1):
+        rest = lookup_join(target.filter(~known), nulls, parts, "left_semi", size=size, null_safe=True)
+        found = found.unionByName(rest)
+    return found
+
+
+@dataclass(frozen=True)
+class Written:
+    """Source rows that a load stored, counted while or after they were written."""
+
+    inserted: int = 0
+    updated: int = 0
+    skipped: int = 0  # met a newer target row
 
 
 def merge_into(
@@ -205,9 +221,12 @@ def merge_into(
     *,
     matched: DataFrame | None = None,
     **options,
-) -> None:
+) -> Written:
     """Merge ``source`` into a stored table. Of a partitioned table only the partitions that change
-    are read and replaced; otherwise the whole table is rewritten as a new version."""
+    are read and replaced; otherwise the whole table is rewritten as a new version.
+
+    ``updated`` and ``skipped`` count target rows that took, or were newer than, their source row.
+    """
     scratch = scratch or Scratch(table.spark)
     target, parts = table.read(), table.partition_cols
     source = align(source, table.schema)
@@ -215,21 +234,22 @@ def merge_into(
         matched = matched_keys(target, source, keys, scratch)
     options["matched"] = matched
     touched = None
-    if parts and table.segment_count == 1:
+    if parts:
         touched = touched_partitions(target, source, keys, parts, matched, scratch)
-    if touched is not None:
-        # a filter on partition columns only: the scan lists no other partitions
-        target = target.filter(F.xxhash64(*parts).isin(touched))
-    kept, inserts, in_place = _merge_parts(target, source, keys, scratch, **options)
+        target = in_partitions(target, touched, parts)
+    added, met = Observation(), Observation()
+    kept, inserts, in_place = _merge_parts(target, source, keys, scratch, observe=met, **options)
+    inserts = inserts.observe(added, F.count(F.lit(1)).alias("n"))
     if in_place and parts:
         # rows read from a partition go back to it: only the added ones need to be gathered
         inserts = inserts.hint("rebalance", *parts)
     merged = kept.unionByName(inserts)
-    if touched is not None:
-        # old files go only when the job commits, after everything has been read
-        table.replace_partitions(merged, batch_id, clustered=in_place)
+    if parts:
+        table.replace_partitions(merged, batch_id, touched=touched, clustered=in_place)
     else:
         table.overwrite(merged, batch_id, parts, clustered=in_place)
+    seen = {"taken": 0, "met": 0} if kept is target else observed(met, ["taken", "met"])
+    return Written(observed(added, ["n"])["n"], seen["taken"], seen["met"] - seen["taken"])
 
 
 def update_where(df: DataFrame, condition: str | Column, values: dict[str, Column]) -> DataFrame:

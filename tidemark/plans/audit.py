@@ -48,7 +48,7 @@ class RunLog:
         try:
             yield note
         except Exception as error:
-            entry.update(status="FAILED", error_details=str(error)[:4000])
+            entry.update(status="FAILED", error_details=str(error))
             raise
         finally:
             entry.update(end_time=datetime.now(), records_processed=note["records"])
@@ -67,9 +67,17 @@ class RunLog:
         )
 
     def reconcile(
-        self, source: int, inserted: int, updated: int, quarantined: int, notes: str = ""
+        self,
+        source: int,
+        inserted: int,
+        updated: int,
+        quarantined: int,
+        notes: str = "",
+        skipped: int = 0,
     ) -> int:
-        gap = source - (inserted + updated + quarantined)
+        """Note the counts; returns the rows they do not account for. Rows skipped on purpose, as older
+        than what is stored, are accounted for in the notes."""
+        gap = source - (inserted + updated + quarantined + skipped)
         self.reconciliations.append(
             {
                 "reconciliation_id": str(uuid.uuid4()),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.upsert import merge_into
+from tidemark.operators.upsert import Written, merge_into
 from tidemark.sources.tables import VersionedTable
 
 
@@ -18,20 +18,23 @@ def write_table(
     partition_cols: list[str] | None = None,
     **merge_options,
 ) -> VersionedTable:
-    """Load ``df`` by mode. A table that does not exist yet takes the frame as it is."""
+    """Load ``df`` by mode; ``written`` of the returned table says what was stored. A table that does not
+    exist yet takes the frame as it is."""
     table = VersionedTable(df.sparkSession, path)
     if mode == "append":
-        table.append(df, batch_id, partition_cols)
+        n = table.append(df, batch_id, partition_cols)
     elif not table.exists():
-        table.overwrite(df, batch_id, partition_cols or [])
+        n = table.overwrite(df, batch_id, partition_cols or [])
     elif mode == "overwrite":
-        table.overwrite(df, batch_id, partition_cols)
+        n = table.overwrite(df, batch_id, partition_cols)
     elif mode == "replace_partitions":
-        table.replace_partitions(df, batch_id)
+        n = table.replace_partitions(df, batch_id)
     elif mode == "merge":
         if not merge_keys:
             raise ValueError("merge mode needs merge keys")
-        merge_into(table, df, merge_keys, batch_id, **merge_options)
+        table.written = merge_into(table, df, merge_keys, batch_id, **merge_options)
+        return table
     else:
         raise ValueError(f"unsupported write mode '{mode}'")
+    table.written = Written(inserted=n)
     return table

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import event_time
+from tidemark.functions.times import event_time, readable_sql
 from tidemark.model import ColumnSpec, QualityHalt, Rule, RunContext, Table, WatermarkState
 from tidemark.operators.conformance import conform, conformance_rules
 from tidemark.operators.increment import Bounds, resolve_bounds, select_increment
@@ -23,18 +23,20 @@ from tidemark.operators.quality import (
     quarantine_rows,
     tag_violations,
 )
-from tidemark.operators.skew import lookup_join
-from tidemark.operators.upsert import matched_keys
+from tidemark.operators.upsert import Written, matched_keys
 from tidemark.plans.audit import RunLog
 from tidemark.plans.control import ControlStore
 from tidemark.plans.load import write_table
 from tidemark.schemas import BATCH_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
-from tidemark.scratch import Scratch, enough_partitions, measure
+from tidemark.scratch import Scratch, enough_partitions, observed
 from tidemark.sources import storage
-from tidemark.sources.files import ROW_TEXT_FORMATS, read_source
+from tidemark.sources.files import ROW_TEXT_FORMATS, csv_schema, read_source
 from tidemark.sources.tables import VersionedTable
 
 
+READABLE = "watermark_readable"  # built-in rule: the row's time is present and readable
+
+
 @dataclass(frozen=True)
 class LoadOptions:
     """What a run may be told beyond the control tables."""
@@ -50,6 +52,7 @@ class LoadOptions:
     null_keys: str = "insert"
     enforce_columns: bool = False  # check and cast to the declared columns of the target
     stage: bool = True  # False reads an unchanging source again instead of copying its new rows
+    rule_order: Sequence[str] = ()  # ids of the rules that come first, in order; the others by id
     keep_versions: int | None = 2  # of a rewritten target; older ones are deleted after a success
 
 
@@ -62,10 +65,15 @@ class RunResult:
     quarantined: int = 0
     inserted: int = 0
     updated: int = 0
+    skipped: int = 0  # older than the row the target holds, or than another of the batch
     watermark: datetime | None = None
     rule_failures: dict[str, int] = field(default_factory=dict)
 
 
+class Discrepancy(RuntimeError):
+    """Rows that were read are neither stored nor quarantined. The watermark stays where it was."""
+
+
 @dataclass
 class Batch:
     """Staged rows of one run with their tags and counts."""
@@ -106,16 +114,19 @@ def check_batch(
 
 def apply_actions(
     batch: Batch, rules: Sequence[Rule], store: ControlStore, pipeline_id: str, log: RunLog
-) -> None:
+) -> int:
     """Log every rule, quarantine failed rows, and stop at a FAIL_PIPELINE rule that caught any.
-    Rows of the rules before that one are still quarantined; nothing of it or after it is."""
+    Rows of the rules before that one are still quarantined; nothing of it or after it is. Returns the
+    rows counted while they were written."""
     table = store.quarantine(pipeline_id)
+    written = 0
     halt: Rule | None = None
     held: list[str] = []
     for rule in rules:
         failed = batch.failures[rule.rule_id]
         if failed == 0:
-            log.rule(rule.rule_id, 0, "PASSED")
+            if rule.rule_id != READABLE:
+                log.rule(rule.rule_id, 0, "PASSED")
             continue
         path = None
         if rule.action_on_fail == "QUARANTINE":
@@ -126,12 +137,13 @@ def apply_actions(
             halt = rule
             break
     if held:
-        rows = quarantine_rows(batch.tagged, log.ctx.run_id)
+        rows = without_casts(quarantine_rows(batch.tagged, log.ctx.run_id))
         if halt is not None:
             rows = rows.filter(F.col(FAILED_RULE).isin(held))
-        table.append(rows, log.ctx.run_id, [FAILED_RULE], allow_new_columns=True)
+        written = table.append(rows, log.ctx.run_id, [FAILED_RULE], allow_new_columns=True)
     if halt is not None:
         raise QualityHalt(halt.rule_id, batch.failures[halt.rule_id])
+    return written
 
 
 def load_batch(
@@ -141,16 +153,17 @@ def load_batch(
     scratch: Scratch,
     options: LoadOptions,
     count: int,
-) -> tuple[int, int]:
-    """Write the clean rows; returns (inserted, updated) source rows."""
+) -> Written:
+    """Write the clean rows; returns what was stored, from counts taken by the write itself. A row is
+    updated when its key met a target row, and skipped when that was newer or the batch holds a later
+    row of the key."""
     table = VersionedTable(clean.sparkSession, target.storage_path)
-    keys, updated = list(target.merge_keys), 0
+    keys = list(target.merge_keys)
     merge: dict = {}
+    met = None
     if target.write_mode == "merge" and keys and table.exists():
         known = matched_keys(table.read(), clean, keys, scratch)
-        size = measure(known)
-        if size[0]:
-            updated = lookup_join(clean, known, keys, "left_semi", size=size).count()
+        met = known.count()
         merge = {
             "scratch": scratch,
             "matched": known,
@@ -159,7 +172,7 @@ def load_batch(
             "newer_than": options.newer_than,
             "null_keys": options.null_keys,
         }
-    write_table(
+    table = write_table(
         clean,
         target.storage_path,
         target.write_mode,
@@ -168,7 +181,16 @@ def load_batch(
         partition_cols=list(target.partition_cols),
         **merge,
     )
-    return count - updated, updated
+    stored = getattr(table, "written", None) or Written()
+    if met is None or options.on_duplicate == "trust":
+        return stored
+    # a key that the target repeats updates several rows, but it is one row of the source
+    updated = min(stored.updated, met)
+    skipped = min(stored.skipped, met - updated)
+    if options.on_duplicate == "latest":
+        keyed = clean.select(*keys).dropna()
+        skipped += keyed.count() - keyed.distinct().count()
+    return Written(stored.inserted, updated, skipped)
 
 
 def run_incremental(
@@ -193,14 +215,23 @@ def run_incremental(
         with job.log.step("extract") as step:
             staged = extract(job)
             if options.stage:
-                staged = job.scratch.table(staged)
-            step["records"] = n_read = staged.count()
+                staged, n_read = counted_table(job.scratch, staged)
+            else:
+                n_read = staged.count()
+            step["records"] = n_read
         stored = storage.size(spark, job.scratch.path)
         stored += job.table.stored_bytes
         with enough_partitions(spark, stored):
             return process(job, staged, n_read)
 
 
+def counted_table(scratch: Scratch, df: DataFrame) -> tuple[DataFrame, int]:
+    """A scratch table and its rows, counted while they are written."""
+    seen = Observation()
+    table = scratch.table(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return table, observed(seen, ["n"])["n"]
+
+
 @dataclass
 class Job:
     """Everything one run needs."""
@@ -231,7 +262,7 @@ class Job:
         try:
             yield
         except Exception as error:
-            self.log.close("FAILED", error=str(error)[:4000])
+            self.log.close("FAILED", error=str(error))
             raise
         finally:
             self.scratch.drop()
@@ -254,17 +285,15 @@ def open_job(
         return None
     tables = store.tables(pipeline_id)
     source, target = store.ends(pipeline_id, tables)
-    rules = store.rules_of(tables)
-    columns: list[ColumnSpec] = []
-    if options.enforce_columns:
-        columns = store.columns(target.table_id)
-        rules = conformance_rules(columns, castable=True) + rules
+    rules = in_order(store.rules_of(tables), options.rule_order)
+    columns = store.columns(target.table_id) if options.enforce_columns else []
     state = store.watermark(pipeline_id)
     bounds = resolve_bounds(state, now)
     ids = {"run_id": run_id} if run_id else {}
     ctx = RunContext(
         pipeline.pipeline_name, environment, execution_time=now, watermark=bounds.start, **ids
     )
+    scratch = Scratch(spark)  # fails, if it does, before the run is noted as running
     log = RunLog(store, pipeline_id, ctx)
     log.open()
     return Job(
@@ -280,11 +309,44 @@ def open_job(
         state.watermark_column if state else watermark_col,
         ctx,
         log,
-        Scratch(spark),
+        scratch,
         options,
     )
 
 
+def in_order(rules: list[Rule], first: Sequence[str]) -> list[Rule]:
+    """Rules by the given order of their ids, those it does not name after them by id. The order decides
+    which rule a row with several failures counts for."""
+    place = {rule_id: k for k, rule_id in enumerate(first)}
+    return sorted(rules, key=lambda r: (place.get(r.rule_id, len(place)), r.rule_id))
+
+
+CAST = "__cast_"
+
+
+def without_casts(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(CAST)])
+
+
+def prepared(job: Job, staged: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    """Staged rows and the rules of the run. Before the configured rules stand those for rows whose
+    time cannot be read and, with enforced columns, for declared types, nulls and the key; the key is
+    checked on cast values, in columns beside the original ones."""
+    rules: list[Rule] = []
+    if job.column in staged.columns and (job.bounds.start or job.bounds.end):
+        rules.append(Rule(READABLE, job.column, "EXPRESSION", readable_sql(staged, job.column)))
+    if job.columns:
+        have = {f.name: f.dataType for f in staged.schema.fields}
+        for rule in conformance_rules(job.columns, castable=True, have=have):
+            if rule.rule_type == "UNIQUE":
+                kinds = {c.column_name: c.data_type for c in job.columns}
+                casts = {f"{CAST}{c}": F.col(f"`{c}`").try_cast(kinds[c]) for c in rule.columns if c in have}
+                staged = staged.withColumns(casts)
+                rule = replace(rule, column_name=",".join(f"{CAST}{c}" if c in have else c for c in rule.columns))
+            rules.append(rule)
+    return staged, rules + job.rules
+
+
 def extract(job: Job) -> DataFrame:
     """The new rows of the source, stamped and transformed."""
     options = job.options
@@ -292,7 +354,12 @@ def extract(job: Job) -> DataFrame:
     if schema is None and job.source.file_format.lower() in ROW_TEXT_FORMATS:
         # declared columns of the source spare the pass that infers a schema
         declared = job.store.columns(job.source.table_id)
-        schema = ", ".join(f"`{c.column_name}` {c.data_type}" for c in declared) or None
+        if declared and job.source.file_format.lower() == "csv":
+            schema = csv_schema(
+                job.spark, job.source.storage_path, options.read_options, {c.column_name: c.data_type for c in declared}
+            )
+        elif declared:
+            schema = ", ".join(f"`{c.column_name}` {c.data_type}" for c in declared)
     df = read_source(
         job.spark,
         job.source.storage_path,
@@ -301,24 +368,24 @@ def extract(job: Job) -> DataFrame:
         options=options.read_options,
     )
     if job.column in df.columns and (job.state is not None or options.track_new):
-        job.segment = window_name(job.bounds)
+        job.segment = window_name(job)
     df = select_increment(
         df,
         job.column,
         job.bounds.start,
         job.bounds.end,
         on_missing=options.on_missing_watermark,
+        keep_unreadable=True,  # to be quarantined and counted
     )
     return transformed(job, stamp_rows(job, df))
 
 
-def window_name(bounds: Bounds) -> str:
-    """Segment of a window. A run that starts where an earlier one did, because that one crashed
-    before it advanced the watermark, reads the same rows and more: it replaces its segment."""
-    start = bounds.start.isoformat() if bounds.start else "begin"
-    if bounds.is_backfill:
-        return f"backfill-{start}-{bounds.end.isoformat() if bounds.end else 'open'}"
-    return f"from-{start}"
+def window_name(job: Job) -> str:
+    """Segment of a run: its pipeline and the watermark state it started from. A run that crashed before
+    it wrote a new state is repeated from the same one and replaces its segment; a run that
+    finished has always written one, so the next run never shares its name."""
+    state = job.state.updated_at.isoformat() if job.state and job.state.updated_at else "begin"
+    return f"{job.pipeline_id}-from-{state}"
 
 
 def stamp_rows(job: Job, df: DataFrame) -> DataFrame:
@@ -355,40 +422,49 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
         return RunResult(ctx.run_id, "SUCCESS", watermark=mark)
 
     with log.step("dq_checks") as step:
-        batch = check_batch(staged, job.rules, job.scratch, job.column)
-        apply_actions(batch, job.rules, store, job.pipeline_id, log)
+        staged, rules = prepared(job, staged)
+        batch = check_batch(staged, rules, job.scratch, job.column)
+        quarantined = apply_actions(batch, rules, store, job.pipeline_id, log)
         step["records"] = batch.clean
 
     with log.step("target_load") as step:
-        inserted, updated = load_batch(
-            conformed(job, clean_rows(batch.tagged)),
+        stored = load_batch(
+            conformed(job, without_casts(clean_rows(batch.tagged))),
             job.target,
             job.segment or ctx.run_id,
             job.scratch,
             job.options,
             batch.clean,
         )
-        step["records"] = batch.clean
+        step["records"] = stored.inserted + stored.updated
 
-    note = f"{n_read} rows read: {inserted} inserted, {updated} updated, {batch.quarantined} held."
+    note = (
+        f"{n_read} rows read: {stored.inserted} inserted, {stored.updated} updated,"
+        f" {quarantined} held."
+    )
+    if stored.skipped:
+        note += f" {stored.skipped} skipped as older."
     if bounds.is_backfill:
         note += " Backfill."
-    log.reconcile(n_read, inserted, updated, batch.quarantined, note)
+    gap = log.reconcile(n_read, stored.inserted, stored.updated, quarantined, note, stored.skipped)
+    if gap:
+        raise Discrepancy(f"{gap} of {n_read} rows read are neither stored nor quarantined")
 
     mark = advance(job, batch)
     if job.options.keep_versions is not None:
         job.table.expire(job.options.keep_versions)
-    log.close("SUCCESS", mark, n_read, batch.clean)
+    log.close("SUCCESS", mark, n_read, stored.inserted + stored.updated)
     return RunResult(
         ctx.run_id,
         "SUCCESS",
         n_read,
         batch.clean,
-        batch.quarantined,
-        inserted,
-        updated,
+        quarantined,
+        stored.inserted,
+        stored.updated,
+        stored.skipped,
         mark,
-        batch.failures,
+        {k: n for k, n in batch.failures.items() if n or k != READABLE},
     )
 
 
@@ -405,7 +481,7 @@ def advance(job: Job, batch: Batch) -> datetime | None:
     mark = max(known, default=None)
     if state is not None:
         store.advance_watermark(job.pipeline_id, mark)
-    elif job.options.track_new and mark is not None:
+    elif job.options.track_new and job.segment is not None:  # also without a mark: see window_name
         store.put_watermark(
             WatermarkState(
                 f"{job.pipeline_id}_watermark",

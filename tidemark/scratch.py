@@ -10,7 +10,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,15 @@ class Scratch:
         storage.delete(self.spark, self.path)
 
 
+def observed(observation: Observation, names: list[str]) -> dict[str, int]:
+    """Counts of an observation whose action has ended; zeros where the optimizer found the observed
+    frame empty and left it out of the plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:  # a row without values
+        return dict.fromkeys(names, 0)
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Exact row count and an upper estimate of the in-memory bytes, in one pass."""
     size = F.lit(16)

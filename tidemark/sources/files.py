@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.model import ConfigError
 from tidemark.sources.tables import VersionedTable
 
 FILE_FORMATS = ("csv", "json", "parquet")
@@ -30,4 +31,17 @@ def read_source(
     reader = spark.read.format(kind).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
+        if kind == "csv":  # a file with other columns, or in another order, fails
+            reader = reader.option("enforceSchema", (options or {}).get("enforceSchema", "false"))
     return reader.load(path)
+
+
+def csv_schema(
+    spark: SparkSession, path: str, options: dict[str, str] | None, declared: dict[str, str]
+) -> T.StructType:
+    """Schema of CSV files from declared column types, in the order of their header; columns that are
+    not declared are text. Without a header there is no telling which column is which."""
+    if str({k.lower(): v for k, v in (options or {}).items()}.get("header", "false")).lower() != "true":
+        raise ConfigError(f"CSV files in {path} have no header: give their schema in order")
+    names = spark.read.options(**{**(options or {}), "inferSchema": "false"}).csv(path).columns
+    return T.StructType([T.StructField(n, T.DataType.fromDDL(declared.get(n, "string"))) for n in names])

@@ -62,3 +62,12 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes stored under ``path``, 0 where there is nothing."""
     fs, p = _fs(spark, path)
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder to a place that is free."""
+    fs, p = _fs(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"could not move {path} to {to}")

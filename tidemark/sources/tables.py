@@ -4,6 +4,10 @@ Layout: ``<table>/v=<n>/seg=<batch>/[<partition>=<value>/]*.parquet``. A segment
 own commit has left its ``_SUCCESS`` file, a version once its first segment counts, and readers take
 the highest version that counts. Writing a batch again replaces its segment, so retries never
 duplicate rows. One writer per table at a time; there is no transaction log.
+
+Partitions are replaced by a swap: the new ones are written beside the segments, a note says which
+folders they replace, then the old folders go, the new ones move in and the note is removed. Whoever
+opens the table next finishes a swap that was cut short.
 """
 
 from __future__ import annotations
@@ -12,14 +16,17 @@ import json
 import uuid
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.skew import lookup_join
-from tidemark.scratch import measure
+from tidemark.scratch import measure, observed
 from tidemark.sources import storage
 
+MERGED = "base-merged"  # segment of partitions that were replaced
+_SWAP = "_swap.json"
+
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
@@ -28,9 +35,12 @@ def _nullable(schema: T.StructType) -> T.StructType:
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.written = None  # counts of the load that returned this object
 
     # -- state ------------------------------------------------------------------------------
     def _committed(self) -> tuple[str | None, list[str]]:
+        for note in storage.glob(self.spark, f"{self.path}/v=*/{_SWAP}"):
+            self._finish_swap(note.rsplit("/", 1)[0])
         done = storage.glob(self.spark, f"{self.path}/v=*/seg=*/_SUCCESS")
         segments = [d.rsplit("/", 1)[0] for d in done]
         if not segments:
@@ -85,9 +95,12 @@ class VersionedTable:
     def _begin(self, schema: T.StructType, partition_cols: list[str]) -> str:
         """Folder of the next version, its layout noted; it does not count before a segment does."""
         version = f"{self.path}/v={self.version + 1:08d}"
+        self._put_layout(version, schema, partition_cols)
+        return version
+
+    def _put_layout(self, version: str, schema: T.StructType, partition_cols: list[str]) -> None:
         layout = {"schema": _nullable(schema).jsonValue(), "partition_cols": partition_cols}
         storage.write_text(self.spark, f"{version}/_layout.json", json.dumps(layout))
-        return version
 
     def create(self, schema: T.StructType, partition_cols: list[str] | None = None) -> None:
         """An empty table, unless there is one already."""
@@ -100,18 +113,24 @@ class VersionedTable:
         df: DataFrame,
         path: str,
         partition_cols: list[str],
-        dynamic: bool = False,
         clustered: bool = False,
-    ) -> None:
+    ) -> int:
+        """Write a segment; returns the rows counted while they were written."""
         if partition_cols and not clustered:
             # AQE splits the hot partitions and packs the small ones
             df = df.hint("rebalance", *partition_cols)
-        writer = df.write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic" if dynamic else "static"
-        )
+        written = Observation()
+        counted = df.observe(written, F.count(F.lit(1)).alias("n"))
+        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.parquet(path)
+        if not storage.exists(self.spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(
+                "no _SUCCESS file after the write: tables need"
+                " mapreduce.fileoutputcommitter.marksuccessfuljobs"
+            )
+        return observed(written, ["n"])["n"]
 
     def _segment(self, version: str, batch_id: str) -> str:
         return f"{version}/seg={quote(batch_id, safe='')}"
@@ -123,15 +142,15 @@ class VersionedTable:
         partition_cols: list[str] | None = None,
         *,
         clustered: bool = False,
-    ) -> None:
-        """Publish ``df`` as the next version. It may be derived from the current one. ``clustered``
-        says that its rows lie together by partition already."""
+    ) -> int:
+        """Publish ``df`` as the next version; returns its rows. It may be derived from the current one.
+        ``clustered`` says that its rows lie together by partition already."""
         current = self._committed()[0]
         if partition_cols is None:
             partition_cols = self._layout(current)[1] if current else []
         # named apart from appended batches: a repeated append must never replace the whole table
         version = self._begin(df.schema, partition_cols)
-        self._write(
+        return self._write(
             df, self._segment(version, f"base-{batch_id}"), partition_cols, clustered=clustered
         )
 
@@ -142,38 +161,71 @@ class VersionedTable:
         partition_cols: list[str] | None = None,
         *,
         allow_new_columns: bool = False,
-    ) -> None:
-        """Add one batch. The same ``batch_id`` again replaces what it wrote before."""
+    ) -> int:
+        """Add one batch and return its rows. The same ``batch_id`` again replaces what it wrote before.
+        ``allow_new_columns`` widens the table's layout; a column whose type has changed is then kept
+        as text in a column of its own, ``<name>_as_text``."""
         version, _ = self._committed()
         if version is None:
             version = self._begin(df.schema, partition_cols or [])
         schema, parts = self._layout(version)
-        added = [f for f in df.schema.fields if f.name not in schema.names]
-        if added and allow_new_columns:
-            wider = {f.name: F.lit(None).cast(f.dataType) for f in added}
-            self.overwrite(self.read().withColumns(wider), str(uuid.uuid4()), parts)
-            version, _ = self._committed()
-            schema, parts = self._layout(version)
+        if allow_new_columns:
+            df = _drifted(df, schema)
+            added = [f for f in df.schema.fields if f.name not in schema.names]
+            if added:  # files without a column read as nulls: only the layout has to change
+                schema = T.StructType([*schema.fields, *_nullable(T.StructType(added)).fields])
+                self._put_layout(version, schema, parts)
         df = align(df, schema, fill_missing=allow_new_columns)
-        self._write(df, self._segment(version, batch_id), parts)
+        return self._write(df, self._segment(version, batch_id), parts)
 
     def replace_partitions(
-        self, df: DataFrame, batch_id: str, *, clustered: bool = False
-    ) -> None:
-        """Replace the partitions that occur in ``df`` and leave all others alone."""
+        self,
+        df: DataFrame,
+        batch_id: str,
+        *,
+        touched: DataFrame | None = None,
+        clustered: bool = False,
+    ) -> int:
+        """Replace the partitions that occur in ``df``, and those in ``touched`` (the partition columns),
+        and leave all others alone; returns the rows written. ``df`` may read the table itself."""
         version, segments = self._require()
         schema, parts = self._layout(version)
         if not parts:
             raise ValueError(f"table {self.path} has no partition columns")
         df = align(df, schema)
-        if len(segments) == 1:
-            self._write(df, segments[0], parts, dynamic=True, clustered=clustered)
-            return
-        # appended batches may hold rows of the same partitions: publish a new version instead
-        touched = df.select(*parts).distinct()
-        size = measure(touched)
-        kept = lookup_join(self.read(), touched, parts, "left_anti", size=size, null_safe=True)
-        self.overwrite(kept.unionByName(df), batch_id, parts)
+        pending = f"{version}/_pending-{quote(batch_id, safe='')}-{uuid.uuid4()}"
+        n = self._write(df, pending, parts, clustered=clustered)
+        gained = self.spark.read.schema(schema).option("basePath", pending).parquet(pending)
+        changed = gained.select(*parts).distinct()
+        if touched is not None:
+            changed = changed.union(touched.select(*parts)).distinct()
+        size = measure(changed)
+        reader = self.spark.read.schema(schema).option("basePath", version)
+        held = reader.parquet(*segments).select(*parts, F.col("_metadata.file_path").alias("_file"))
+        old = lookup_join(held, changed, parts, "left_semi", size=size, null_safe=True)
+        folders = old.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct()
+        note = {"pending": pending, "depth": len(parts), "old": [r.d for r in folders.collect()], "moving": False}
+        storage.write_text(self.spark, f"{version}/{_SWAP}", json.dumps(note))
+        self._finish_swap(version)
+        return n
+
+    def _finish_swap(self, version: str) -> None:
+        """Carry out the noted swap from wherever it stands; doing any part of it again is harmless."""
+        path = f"{version}/{_SWAP}"
+        note = json.loads(storage.read_text(self.spark, path))
+        if not note["moving"]:
+            for folder in note["old"]:
+                storage.delete(self.spark, folder)
+            note["moving"] = True  # from here on the old places are free for the new folders
+            storage.write_text(self.spark, path, json.dumps(note))
+        merged = self._segment(version, MERGED)
+        pattern = "/".join(["*=*"] * note["depth"])
+        for folder in storage.glob(self.spark, f"{note['pending']}/{pattern}"):
+            inner = "/".join(folder.rsplit("/", note["depth"])[1:])
+            storage.move(self.spark, folder, f"{merged}/{inner}")
+        storage.write_text(self.spark, f"{merged}/_SUCCESS", "")
+        storage.delete(self.spark, note["pending"])
+        storage.delete(self.spark, path)
 
     def compact(self) -> None:
         """Rewrite the current version as one segment. Not while a run may still be repeated: its
@@ -188,14 +240,32 @@ class VersionedTable:
                 storage.delete(self.spark, path)
 
 
-_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+# Types whose every value another type holds exactly.
+_EXACT = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"),
+    "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+}
 
 
 def _widens(have: T.DataType, want: T.DataType) -> bool:
-    have, want = have.simpleString(), want.simpleString()
-    if have not in _NUMBERS or want not in _NUMBERS:
-        return False
-    return _NUMBERS.index(have) < _NUMBERS.index(want)
+    return want.simpleString() in _EXACT.get(have.simpleString(), ())
+
+
+def _drifted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with each column that neither has nor widens to the table's type as null there and as text
+    in a column beside it."""
+    for f in schema.fields:
+        if f.name not in df.columns:
+            continue
+        have = df.schema[f.name].dataType
+        if have.simpleString() == f.dataType.simpleString() or _widens(have, f.dataType):
+            continue
+        value = F.col(f"`{f.name}`")
+        text = value.cast("string") if isinstance(have, T.AtomicType) else F.to_json(F.struct(value))
+        df = df.withColumn(f"{f.name}_as_text", text).withColumn(f.name, F.lit(None).cast(f.dataType))
+    return df
 
 
 def align(df: DataFrame, schema: T.StructType, *, fill_missing: bool = False) -> DataFrame:

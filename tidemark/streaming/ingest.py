@@ -1,11 +1,13 @@
 """The same load fed by a file stream: each micro-batch is one run.
 
 The stream's checkpoint, not the watermark control row, decides which files are new. A micro-batch
-that is retried after a crash carries the same run id and so replaces what it wrote before.
+that is retried after a crash carries the same run id and so replaces what it wrote before. The id of
+the stream is kept in its checkpoint: a new checkpoint, whose epochs start again, is another stream.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from urllib.parse import quote
 
@@ -16,8 +18,23 @@ from pyspark.sql import types as T
 from tidemark.operators.increment import Bounds
 from tidemark.operators.lineage import stamp
 from tidemark.plans.control import ControlStore
-from tidemark.plans.runner import LoadOptions, RunResult, open_job, process, transformed
+from tidemark.plans.runner import (
+    LoadOptions,
+    RunResult,
+    counted_table,
+    open_job,
+    process,
+    transformed,
+)
 from tidemark.schemas import BATCH_ID, LOADED_AT
+from tidemark.sources import storage
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    path = f"{checkpoint.rstrip('/')}/stream_id"
+    if not storage.exists(spark, path):
+        storage.write_text(spark, path, uuid.uuid4().hex[:12])
+    return storage.read_text(spark, path)
 
 
 def ingest_available(
@@ -44,10 +61,11 @@ def ingest_available(
     # the file name is known to the scan only; time and batch are stamped per micro-batch
     stream = stamp(reader.load(source.storage_path), "").drop(LOADED_AT, BATCH_ID)
     results: list[RunResult] = []
+    stream_id = _stream_id(spark, checkpoint)
 
     def load(rows: DataFrame, epoch: int) -> None:
         now = datetime.now()
-        run_id = f"{quote(pipeline_id, safe='')}-stream-{epoch}"
+        run_id = f"{quote(pipeline_id, safe='')}-stream-{stream_id}-{epoch}"
         column = "last_updated_at"
         job = open_job(
             rows.sparkSession, store, pipeline_id, now, run_id, environment, column, options
@@ -58,8 +76,8 @@ def ingest_available(
                 stamped = rows.withColumns(
                     {LOADED_AT: F.lit(now).cast("timestamp"), BATCH_ID: F.lit(run_id)}
                 )
-                staged = job.scratch.table(transformed(job, stamped))
-                step["records"] = n_read = staged.count()
+                staged, n_read = counted_table(job.scratch, transformed(job, stamped))
+                step["records"] = n_read
             results.append(process(job, staged, n_read))
 
     query = (
