@@ -429,6 +429,26 @@ SQL: dict[str, str] = {
         FROM win JOIN good ON (a IS NULL OR ts > a) AND ts <= b GROUP BY run_id, a, m""",
     "stream_load": f"""WITH {_EVENT_TAGGED} SELECT event_id, ts, user_id, event_type, value,
         'events-stream-0' AS batch_id FROM good WHERE ok""",
+    "stream_restart": f"""WITH {_EVENT_TAGGED}, twice AS (SELECT unnest([1, 2]) AS k)
+        SELECT event_id, ts, user_id, event_type, value, 'events-stream-0' AS batch_id
+        FROM good, twice WHERE ok""",
+    "append_two_pipelines": """SELECT event_id, ts, user_id, event_type, value,
+        CASE WHEN event_type IN ('view', 'click') THEN 'run-1' ELSE 'run-2' END AS batch_id
+        FROM events WHERE ts <= TIMESTAMP '2024-02-01'""",
+    "time_renderings": """SELECT event_id, CASE event_id % 8
+        WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+        WHEN 2 THEN date_trunc('minute', ts) WHEN 3 THEN ts WHEN 4 THEN date_trunc('day', ts)
+        WHEN 5 THEN date_trunc('second', ts) + INTERVAL 330 MINUTE END::TIMESTAMP AS moment FROM events""",
+    "schema_enforced_load": """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey,
+        CAST(l_linenumber AS BIGINT) AS l_linenumber,
+        CAST(l_quantity AS DOUBLE) + CASE WHEN l_linenumber % 3 = 0 THEN 0.5 ELSE 0 END AS l_quantity,
+        l_linenumber % 3 = 0 AS held FROM lineitem""",
+    "halted_run": """WITH t AS (SELECT *, coalesce(event_type IN ('view', 'click', 'purchase'), false) AS known
+          FROM events WHERE ts <= TIMESTAMP '2024-02-01')
+        SELECT 'run-1' AS run_id, 'a_type' AS rule_id, count(*) FILTER (NOT known) AS failed_records,
+          CASE WHEN count(*) FILTER (NOT known) > 0 THEN 'FAILED_QUARANTINED' ELSE 'PASSED' END AS status FROM t
+        UNION ALL SELECT 'run-1', 'b_value', count(*) FILTER (known AND NOT coalesce(value < 90, false)),
+          'FAILED_HALTED' FROM t""",
     "silver_layer": f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
         CAST(l_shipdate AS DATE) AS l_shipdate, CAST(l_suppkey AS VARCHAR) AS l_suppkey,
         l_returnflag FROM (SELECT *, row_number() OVER (PARTITION BY {_PAIR}

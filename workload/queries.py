@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.model import ColumnSpec, Rule, WatermarkState
+from tidemark.functions import parse_time
+from tidemark.model import ColumnSpec, QualityHalt, Rule, WatermarkState
 from tidemark.operators import conformance, increment, lineage, quality, reports, upsert
 from tidemark.operators.keys import dedup_latest
 from tidemark.plans.control import ControlStore
@@ -629,9 +630,94 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_available(
         spark, store, "events", schema=data.EVENTS, checkpoint=checkpoint, options=options
     )
+    return _without_stream_id(target.read().select(*EVENT))
+
+
+def _without_stream_id(rows: DataFrame) -> DataFrame:
+    """Batch ids without the random id of the stream's checkpoint."""
+    return rows.withColumn("batch_id", F.regexp_replace("batch_id", "-[0-9a-f]{12}-", "-"))
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts over with a new checkpoint appends again and replaces nothing."""
+    store, target = _store(spark, sf_dir, "append", {}, EVENT_RULES)
+    options = LoadOptions()
+    if not storage.is_dir(spark, data.path(sf_dir, "events")):
+        store.update("table_config", "layer = 'landing'", {"storage_path": F.lit(sf_dir)})
+        options = LoadOptions(read_options={"pathGlobFilter": "events.parquet"})
+    for k in (1, 2):
+        ingest_available(
+            spark, store, "events", schema=data.EVENTS, checkpoint=f"{store.root}/stream-{k}", options=options
+        )
+    return _without_stream_id(target.read().select(*EVENT))
+
+
+@query
+def append_two_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pipelines share the events by type and append to one table."""
+    store, target = _store(spark, sf_dir, "append", {}, [])
+    more = [{**r.asDict(), "pipeline_id": "rest", "table_id": f"{r.table_id}-rest"} for r in store.read("table_config").collect()]
+    store.append("table_config", more, "rest")
+    pipeline = store.read("pipeline_config").first().asDict()
+    store.append("pipeline_config", [{**pipeline, "pipeline_id": "rest"}], "rest")
+    store.put_watermark(WatermarkState("w2", "rest", "tgt-rest", "ts"), datetime(2024, 1, 1))
+    seen = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
+    for run_id, pipeline_id, mine in (("run-1", "events", seen), ("run-2", "rest", ~seen)):
+        options = LoadOptions(transform=lambda df, mine=mine: df.filter(mine))
+        run_incremental(spark, store, pipeline_id, now=datetime(2024, 2, 1), run_id=run_id, options=options)
     return target.read().select(*EVENT)
 
 
+@query
+def time_renderings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times written in eight ways and read back as wall-clock times."""
+    patterns = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "yyyy-MM-dd HH:mm",
+                "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss'-05:30'", "'at noon'")
+    way = F.col("event_id") % (len(patterns) + 1)
+    seen = F.coalesce(*(F.when(way == k, F.date_format("ts", p)) for k, p in enumerate(patterns)))
+    times = table(spark, sf_dir, "events").select("event_id", seen.alias("seen"))
+    return times.select("event_id", parse_time(F.col("seen")).alias("moment"))
+
+
+@query
+def schema_enforced_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that casts to declared types and holds back rows that a cast would alter."""
+    store, target = _store(spark, sf_dir, "append", {}, [])
+    store.update("table_config", "layer = 'landing'", {"storage_path": F.lit(data.path(sf_dir, "lineitem"))})
+    declared = {"l_orderkey": "bigint", "l_linenumber": "bigint", "l_quantity": "bigint"}
+    store.replace("column_config", [
+        {"column_id": str(k), "table_id": "tgt", "column_name": c, "data_type": d, "is_nullable": True, "is_primary_key": False}
+        for k, (c, d) in enumerate(declared.items())])
+    half = F.when(F.col("l_linenumber") % 3 == 0, 0.5).otherwise(0.0)
+
+    def lines(df: DataFrame) -> DataFrame:
+        return df.select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("double") + half).alias("l_quantity"))
+
+    options = LoadOptions(transform=lines, enforce_columns=True)
+    run_incremental(spark, store, "events", now=datetime(2024, 2, 1), run_id="run-1", options=options)
+    held = store.quarantine("events").read().select("l_orderkey", "l_linenumber", "l_quantity", F.lit(True).alias("held"))
+    kept = target.read().select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"), F.lit(False).alias("held"))
+    return kept.unionByName(held.withColumn("l_linenumber", F.col("l_linenumber").cast("bigint")))
+
+
+@query
+def halted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of a run that a FAIL_PIPELINE rule stopped."""
+    rules = [
+        Rule("a_type", "event_type", "REGEX", "^(view|click|purchase)$"),
+        Rule("b_value", "value", "RANGE", "value < 90", "FAIL_PIPELINE"),
+        Rule("c_user", "user_id", "NOT_NULL"),
+    ]
+    store, _ = _store(spark, sf_dir, "append", {}, rules)
+    try:
+        run_incremental(spark, store, "events", now=datetime(2024, 2, 1), run_id="run-1")
+    except QualityHalt:
+        pass
+    runs = store.read("audit_pipeline_execution").filter("status = 'FAILED'").select("run_id")
+    return store.read("data_quality_log").join(runs, "run_id").select("run_id", "rule_id", "failed_records", "status")
+
+
 @query
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared types and one latest row per key."""
