@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_golden import BATCH_1, BATCH_2, PID, land, seed
-from tidemark.operators import quality, upsert
+from tidemark.operators import quality, skew, upsert
 from tidemark.operators.keys import repeated_keys
 from tidemark.operators.skew import hot_key_hashes
 from tidemark.plans import runner
@@ -120,3 +120,16 @@ def test_partitions_follow_the_size(spark):
     with enough_partitions(spark, 0):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_wide_rows_of_hot_keys_are_salted(spark, scratch, conf, monkeypatch, how):
+    conf(spark__tidemark__broadcastBytes=0, spark__tidemark__hotRows=100)
+    monkeypatch.setattr(skew, "HOT_BYTES", 0)
+    big = scratch.table(spark.range(900).select((F.col("id") % 3 * (F.col("id") % 7)).alias("k"), "id"))
+    lookup = spark.createDataFrame([(0, "a"), (2, "b"), (50, "c")], "k long, v string")
+    assert hot_key_hashes(big, ["k"])
+    for null_safe in (False, True):
+        got = skew.lookup_join(big, lookup, ["k"], how, null_safe=null_safe)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(lookup, "k", how).collect())) if how != "left" else True
+        assert got.count() == big.join(lookup, "k", how).count()

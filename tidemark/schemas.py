@@ -4,121 +4,100 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-    "strings": T.ArrayType(T.StringType()),
+# Columns of each table as name, type, nullable.
+CONTROL_SCHEMAS = {
+    "pipeline_config": T.StructType()
+    .add("pipeline_id", "string", False)
+    .add("pipeline_name", "string", False)
+    .add("description", "string", True)
+    .add("schedule_cron", "string", True)
+    .add("is_active", "boolean", False)
+    .add("created_at", "timestamp", False),
+    "table_config": T.StructType()
+    .add("table_id", "string", False)
+    .add("pipeline_id", "string", False)
+    .add("layer", "string", False)
+    .add("table_name", "string", False)
+    .add("storage_path", "string", False)
+    .add("file_format", "string", False)
+    .add("write_mode", "string", False)
+    .add("partition_cols", T.ArrayType(T.StringType()), True)
+    .add("merge_keys", T.ArrayType(T.StringType()), True),
+    "column_config": T.StructType()
+    .add("column_id", "string", False)
+    .add("table_id", "string", False)
+    .add("column_name", "string", False)
+    .add("data_type", "string", False)
+    .add("is_nullable", "boolean", False)
+    .add("is_primary_key", "boolean", False)
+    .add("description", "string", True),
+    "dq_rules": T.StructType()
+    .add("rule_id", "string", False)
+    .add("table_id", "string", False)
+    .add("column_name", "string", False)
+    .add("rule_type", "string", False)
+    .add("expression", "string", False)
+    .add("action_on_fail", "string", False)
+    .add("is_active", "boolean", False),
+    "pipeline_dependencies": T.StructType()
+    .add("dependency_id", "string", False)
+    .add("pipeline_id", "string", False)
+    .add("parent_pipeline_id", "string", False)
+    .add("is_active", "boolean", False),
+    "watermark_control": T.StructType()
+    .add("watermark_id", "string", False)
+    .add("pipeline_id", "string", False)
+    .add("table_id", "string", False)
+    .add("watermark_column", "string", False)
+    .add("last_watermark_value", "timestamp", True)
+    .add("lookback_minutes", "long", False)
+    .add("backfill_status", "string", False)
+    .add("backfill_start", "timestamp", True)
+    .add("backfill_end", "timestamp", True)
+    .add("updated_at", "timestamp", False),
 }
 
-# Table -> "column type", a trailing "!" marks NOT NULL.
-_CONTROL = {
-    "pipeline_config": """
-        pipeline_id string!
-        pipeline_name string!
-        description string
-        schedule_cron string
-        is_active boolean!
-        created_at timestamp!""",
-    "table_config": """
-        table_id string!
-        pipeline_id string!
-        layer string!
-        table_name string!
-        storage_path string!
-        file_format string!
-        write_mode string!
-        partition_cols strings
-        merge_keys strings""",
-    "column_config": """
-        column_id string!
-        table_id string!
-        column_name string!
-        data_type string!
-        is_nullable boolean!
-        is_primary_key boolean!
-        description string""",
-    "dq_rules": """
-        rule_id string!
-        table_id string!
-        column_name string!
-        rule_type string!
-        expression string!
-        action_on_fail string!
-        is_active boolean!""",
-    "pipeline_dependencies": """
-        dependency_id string!
-        pipeline_id string!
-        parent_pipeline_id string!
-        is_active boolean!""",
-    "watermark_control": """
-        watermark_id string!
-        pipeline_id string!
-        table_id string!
-        watermark_column string!
-        last_watermark_value timestamp
-        lookback_minutes long!
-        backfill_status string!
-        backfill_start timestamp
-        backfill_end timestamp
-        updated_at timestamp!""",
+AUDIT_SCHEMAS = {
+    "audit_pipeline_execution": T.StructType()
+    .add("run_id", "string", False)
+    .add("pipeline_id", "string", False)
+    .add("execution_start", "timestamp", False)
+    .add("execution_end", "timestamp", True)
+    .add("watermark_start", "timestamp", True)
+    .add("watermark_end", "timestamp", True)
+    .add("records_read", "long", True)
+    .add("records_written", "long", True)
+    .add("status", "string", False)
+    .add("error_message", "string", True),
+    "audit_pipeline_steps": T.StructType()
+    .add("step_run_id", "string", False)
+    .add("run_id", "string", False)
+    .add("step_name", "string", False)
+    .add("start_time", "timestamp", False)
+    .add("end_time", "timestamp", False)
+    .add("status", "string", False)
+    .add("records_processed", "long", True)
+    .add("error_details", "string", True),
+    "audit_data_reconciliation": T.StructType()
+    .add("reconciliation_id", "string", False)
+    .add("run_id", "string", False)
+    .add("pipeline_id", "string", False)
+    .add("source_count", "long", False)
+    .add("target_inserted_count", "long", False)
+    .add("target_updated_count", "long", False)
+    .add("quarantine_count", "long", False)
+    .add("discrepancy_count", "long", False)
+    .add("reconciliation_status", "string", False)
+    .add("notes", "string", True),
+    "data_quality_log": T.StructType()
+    .add("log_id", "string", False)
+    .add("run_id", "string", False)
+    .add("rule_id", "string", False)
+    .add("failed_records", "long", False)
+    .add("quarantine_path", "string", True)
+    .add("status", "string", False),
 }
 
-_AUDIT = {
-    "audit_pipeline_execution": """
-        run_id string!
-        pipeline_id string!
-        execution_start timestamp!
-        execution_end timestamp
-        watermark_start timestamp
-        watermark_end timestamp
-        records_read long
-        records_written long
-        status string!
-        error_message string""",
-    "audit_pipeline_steps": """
-        step_run_id string!
-        run_id string!
-        step_name string!
-        start_time timestamp!
-        end_time timestamp!
-        status string!
-        records_processed long
-        error_details string""",
-    "audit_data_reconciliation": """
-        reconciliation_id string!
-        run_id string!
-        pipeline_id string!
-        source_count long!
-        target_inserted_count long!
-        target_updated_count long!
-        quarantine_count long!
-        discrepancy_count long!
-        reconciliation_status string!
-        notes string""",
-    "data_quality_log": """
-        log_id string!
-        run_id string!
-        rule_id string!
-        failed_records long!
-        quarantine_path string
-        status string!""",
-}
-
-
-def _struct(text: str) -> T.StructType:
-    out = T.StructType()
-    for line in text.split("\n"):
-        if line.strip():
-            name, kind = line.split()
-            out = out.add(name, _TYPES[kind.rstrip("!")], not kind.endswith("!"))
-    return out
-
-
-CONTROL_SCHEMAS = {name: _struct(text) for name, text in _CONTROL.items()}
-AUDIT_SCHEMAS = {name: _struct(text) for name, text in _AUDIT.items()}
-
 # Columns every ingested row carries.
 LOADED_AT = "ingestion_timestamp"
 SOURCE_FILE = "source_file_name"
