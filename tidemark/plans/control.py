@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, replace
 from datetime import datetime, timedelta, timezone
 from urllib.parse import quote
@@ -47,8 +48,9 @@ class ControlStore:
 
     def initialize(self) -> None:
         """Create the tables that are missing, empty; leave the others alone."""
-        for name, schema in {**CONTROL_SCHEMAS, **AUDIT_SCHEMAS}.items():
-            self.table(name).create(schema)
+        schemas = {**CONTROL_SCHEMAS, **AUDIT_SCHEMAS}
+        with ThreadPoolExecutor(len(schemas)) as pool:  # each lists a folder of its own
+            list(pool.map(lambda name: self.table(name).create(schemas[name]), schemas))
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()

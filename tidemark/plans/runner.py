@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
@@ -283,11 +284,14 @@ def open_job(
     pipeline = store.pipeline(pipeline_id)
     if not pipeline.is_active:
         return None
-    tables = store.tables(pipeline_id)
-    source, target = store.ends(pipeline_id, tables)
-    rules = in_order(store.rules_of(tables), options.rule_order)
-    columns = store.columns(target.table_id) if options.enforce_columns else []
-    state = store.watermark(pipeline_id)
+    with ThreadPoolExecutor(2) as pool:  # small lookups that do not depend on each other
+        watermark = pool.submit(store.watermark, pipeline_id)
+        tables = store.tables(pipeline_id)
+        source, target = store.ends(pipeline_id, tables)
+        found = pool.submit(store.rules_of, tables)
+        columns = store.columns(target.table_id) if options.enforce_columns else []
+        rules = in_order(found.result(), options.rule_order)
+        state = watermark.result()
     bounds = resolve_bounds(state, now)
     ids = {"run_id": run_id} if run_id else {}
     ctx = RunContext(
