@@ -1,11 +1,15 @@
 """Exact token ids at the speed of a dictionary.
 
 A tokenizer whose pre-tokens never span white space gives a text the concatenated ids of its
-white-space separated words, so each different word is encoded once per Python worker.
+white-space separated words, so each different word is encoded once per Python worker. This one also
+lower-cases, and takes a full stop or comma between an ASCII letter or digit and white space as a
+pre-token of its own; so texts are lower-cased and such marks set apart first, which leaves fewer
+different words. Texts with the opening of a special token are only split.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -14,6 +18,14 @@ from tokenizers import Tokenizer
 
 _WORDS_PER_CALL = 20_000
 _SLICE_BYTES = 4 << 20
+_MARK = re.compile(rb"[.,](?<=[a-z0-9][.,])(?=[ \t\n\r\x0b\x0c]|\Z)")
+
+
+def split_words(text: bytes) -> list[bytes]:
+    """Words of a text whose ids, one after another, are those of the text."""
+    if b"<|" in text:
+        return text.split()
+    return _MARK.sub(rb" \g<0>", text.lower()).split()
 
 
 class Encoder:
@@ -23,7 +35,7 @@ class Encoder:
     memory and cannot change a result. Words over 64 bytes are not remembered.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._remembered = remembered
@@ -66,7 +78,7 @@ class Encoder:
         some: list[list[bytes]] = []
         size = 0
         for text in texts:
-            some.append(text.split() if text else [])
+            some.append(split_words(text) if text else [])
             size += len(text or b"")
             if size >= _SLICE_BYTES:
                 yield from self._slice(some)
