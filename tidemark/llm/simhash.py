@@ -123,11 +123,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, scratch: Scratch | None =
     return hashed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component, all columns kept; of rows equal
-    in doc_id and text, one. Rows with a null doc_id stay as they are."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    firsts = near_duplicates(docs, scratch=scratch).filter("doc_id = component_id").select("doc_id").distinct()
+def keep_firsts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the component_id that ``named`` gives them, all columns kept; of
+    rows equal in doc_id and text, one. Rows with a null doc_id stay as they are."""
+    firsts = named.filter("doc_id = component_id").select("doc_id").distinct()
     known = docs.filter("doc_id IS NOT NULL").join(firsts, "doc_id", "left_semi")
     once = known.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
     return once.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def keep_one(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, as ``keep_firsts`` keeps them."""
+    return keep_firsts(docs, near_duplicates(docs, scratch=scratch))
