@@ -15,6 +15,7 @@ hash instead, which needs no group in one task.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -454,16 +455,10 @@ def digests(docs: DataFrame, length: int = 400, keep_first: bool = False, scratc
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, least_left: int = 1, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with later copies of repeated strings cut out of ``text``, the first one kept; rows of
-    which fewer than ``least_left`` bytes are left through that go. A character that a string covers in
-    part stays. Columns are those of ``docs``; ``n_chars`` follows the text where there is one."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    found, judged = repeated_spans(docs, length, True, scratch)
-    left = _cleaned(docs, found).select("at", "key", "left").dropDuplicates(["at", "key"])
-    gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key", F.lit("").alias("left")).distinct()
+def _replaced(docs: DataFrame, changes: DataFrame, least_left: int) -> DataFrame:
+    """``docs`` with the texts of ``changes`` (at, SHA-256 of the text, what is left of it)."""
     at, key, rest = (free_name(docs, n) for n in ("at", "key", "left"))
-    changed = scratch.table(left.union(gone).toDF(at, key, rest))
+    changed = changes.toDF(at, key, rest)
     places = {at: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
               key: F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))}
     joined = _join(docs.withColumns(places), changed, [at, key], "left")
@@ -473,3 +468,81 @@ def remove_repeats(docs: DataFrame, length: int = 400, least_left: int = 1, scra
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(changes, F.length(rest)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return kept.select(*[out[c].alias(c) if c in out else c for c in docs.columns])
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, least_left: int = 1, scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` with later copies of repeated strings cut out of ``text``, the first one kept; rows of
+    which fewer than ``least_left`` bytes are left through that go. A character that a string covers in
+    part stays. Columns are those of ``docs``; ``n_chars`` follows the text where there is one."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    found, judged = repeated_spans(docs, length, True, scratch)
+    left = _cleaned(docs, found).select("at", "key", "left").dropDuplicates(["at", "key"])
+    gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key", F.lit("").alias("left")).distinct()
+    return _replaced(docs, scratch.table(left.union(gone)), least_left)
+
+
+CODE = 4  # bytes of a word's code
+
+
+def _codes(text: bytes | None) -> bytes:
+    """The words of a text (split at ASCII white space) as hashes of four bytes each."""
+    digest = xxhash.xxh32_intdigest
+    return np.array([digest(w) for w in (text or b"").split()], dtype="<u4").tobytes()
+
+
+def _coded(docs: DataFrame) -> DataFrame:
+    """doc_id and ``text`` as codes of the words."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [_codes(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "text"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    return texts.mapInArrow(code, "doc_id long, text binary")
+
+
+_WORD = re.compile(rb"\S+")
+
+
+def cut_words(text: bytes, spans: list[dict]) -> bytes:
+    """The text without the words of the spans (in bytes of codes; words covered in part stay) and the
+    white space after them."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    out, at = [], 0
+    for s in spans:
+        first, last = -(-s["begin"] // CODE), s["end"] // CODE
+        if first < last:
+            out.append(text[at : words[first][0]])
+            at = words[last][0] if last < len(words) else words[last - 1][1]
+    out = b"".join(out + [text[at:]])
+    return out if out.split() else b""
+
+
+def remove_repeated_words(docs: DataFrame, words: int = 51, least_left: int = 1, scratch: Scratch | None = None) -> DataFrame:
+    """As ``remove_repeats``, for runs of ``words`` words that repeat, however long their words are and
+    whatever white space is between them."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    length = words * CODE
+    found, judged = repeated_spans(_coded(docs), length, True, scratch)
+    gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key")
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.lit(-1).cast("long").alias("end")))
+    changed = scratch.table(
+        found.select("at", "key", "spans").union(gone.withColumn("spans", everything)).dropDuplicates(["at", "key"])
+    )
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [hashlib.sha256(_codes(t)).digest() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1)], names=["at", "key", "text"])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            left = ["" if x[0]["end"] < 0 else cut_words(t, x).decode() for t, x in zip(texts, spans)]
+            keys = [hashlib.sha256(t).digest() for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(keys, pa.binary()), pa.array(left, pa.string())], names=["at", "key", "left"])
+
+    texts = _among(_texts(docs).mapInArrow(keyed, "at long, key binary, text binary"), changed)
+    left = _join(texts, changed, ["at", "key"]).select("at", "text", "spans").mapInArrow(clean, "at long, key binary, left string")
+    return _replaced(docs, scratch.table(left.dropDuplicates(["at", "key"])), least_left)
