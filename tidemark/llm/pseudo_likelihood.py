@@ -6,8 +6,7 @@ of which the corpus's most frequent have an id of their own and the rest share s
 as two digits, the first (a class of ids of similar frequency) from the neighbours and the second from the
 neighbours and the first, so that no output is wider than 64.
 
-Counts come from all words, training targets from every eighth word of every document (``every``). Each
-partition trains from the same start, and the average of the results, weighted by targets, is the
+Counts come from all words, and every word of every document is a training target. Each partition trains from the same start, and the average of the results, weighted by targets, is the
 model: what is gathered grows with the number of partitions, and thus with the corpus.
 """
 
@@ -99,8 +98,9 @@ class WindowNetwork:
         a, b = targets // DIGIT, targets % DIGIT
         return _log_softmax(h @ self.first + self.first_bias, a) + _log_softmax(h @ self.second + self.second_bias[a], b)
 
-    def gradients(self, targets: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
-        """Of the mean negative log probability, in the order of ``parameters``."""
+    def touched_gradients(self, targets: np.ndarray, context: np.ndarray) -> list[tuple]:
+        """Of the mean negative log probability, in the order of ``parameters``: rows (of the parameter as
+        a table; None for all of it) and their gradients. Those of other rows are zero."""
         h = self.hidden(context)
         a, b = targets // DIGIT, targets % DIGIT
         rows = np.arange(len(targets))
@@ -111,12 +111,27 @@ class WindowNetwork:
         d_first /= len(targets)
         d_second /= len(targets)
         d_sum = (d_first @ self.first.T + d_second @ self.second.T) * (1 - h * h)
-        d_embeddings = np.zeros_like(self.embeddings)
-        for k in range(len(OFFSETS)):
-            np.add.at(d_embeddings[k], context[k], d_sum)
-        d_bias = np.zeros_like(self.second_bias)
-        np.add.at(d_bias, a, d_second)
-        return [d_embeddings, h.T @ d_first, h.T @ d_second, d_first.sum(axis=0), d_bias]
+        each = [(k * (NOTHING + 1) + at, g) for k, (at, g) in enumerate(_row_sums(c, d_sum) for c in context)]
+        embedded = tuple(np.concatenate(x) for x in zip(*each))
+        return [embedded, (None, h.T @ d_first), (None, h.T @ d_second), (None, d_first.sum(axis=0)), _row_sums(a, d_second)]
+
+    def gradients(self, targets: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
+        """As ``touched_gradients``, of all rows."""
+        out = []
+        for p, (at, g) in zip(self.parameters(), self.touched_gradients(targets, context)):
+            if at is not None:
+                whole = np.zeros_like(p)
+                whole.reshape(-1, p.shape[-1])[at] = g
+                g = whole
+            out.append(g)
+        return out
+
+
+def _row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different places, and for each the sum of its rows of ``values``."""
+    order = np.argsort(at, kind="stable")
+    places, begins = np.unique(at[order], return_index=True)
+    return places, np.add.reduceat(values[order], begins, axis=0)
 
 
 def _log_softmax(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -172,13 +187,19 @@ def train(network: WindowNetwork, ids: np.ndarray, sizes: np.ndarray, state: lis
     np.random.default_rng(seed).shuffle(chosen)
     for at in range(0, len(chosen), size):
         some = chosen[at : at + size]
-        for p, g, s in zip(network.parameters(), network.gradients(ids[some], around[:, some]), state):
-            s += g * g
-            p -= rate * g / (np.sqrt(s) + 1e-8)
+        for p, (at_rows, g), s in zip(network.parameters(), network.touched_gradients(ids[some], around[:, some]), state):
+            if at_rows is None:
+                s += g * g
+                p -= rate * g / (np.sqrt(s) + 1e-8)
+                continue
+            p, s = (x.reshape(-1, x.shape[-1]) for x in (p, s))  # views
+            so_far = s[at_rows] + g * g
+            s[at_rows] = so_far
+            p[at_rows] -= rate * g / (np.sqrt(so_far) + 1e-8)
     return len(chosen)
 
 
-def fit(buckets: DataFrame, every: int = 8, rate: float = 0.1, batch: int = 4_096, seed: int = 7) -> WindowNetwork:
+def fit(buckets: DataFrame, every: int = 1, rate: float = 0.1, batch: int = 4_096, seed: int = 7) -> WindowNetwork:
     """Train on all documents of ``buckets`` (from ``word_buckets``); without words, the start."""
     begin = WindowNetwork.start(_count(buckets), seed)
 
