@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 
 from tidemark.llm import pseudo_likelihood as pl
+from tidemark.scratch import Scratch
 
 DOCS = "doc_id long, text string"
 
@@ -13,3 +14,31 @@ def test_every_word_is_a_target_by_default(spark):
     trained = pl.fit(buckets)
     assert not np.array_equal(trained.flat(), start.flat())
     assert np.array_equal(trained.flat(), pl.fit(buckets, every=1).flat())
+
+
+def test_scores_are_over_words(spark, monkeypatch):
+    monkeypatch.setattr(pl, "FREQUENT", 3)  # so that most counts come from the table
+    monkeypatch.setattr(pl, "BUCKETS", 16)
+    monkeypatch.setattr(pl, "OWN", 4)
+    monkeypatch.setattr(pl, "SHARED", 2)
+    texts = ["a b c d e f g", "A b c d", "a b h", "x" * 9 + " a", None, "", "a b h"] + [f"r{i} a q{i % 7}" for i in range(40)]
+    docs = spark.createDataFrame([(i if i != 2 else None, t) for i, t in enumerate(texts)], DOCS).repartition(2)
+    counts, of_id, ids_of = {}, {}, {}
+    hashes = pl.word_hashes(docs).collect()
+    plain = pl.word_buckets(docs)
+    net = pl.fit(plain)
+    for r in hashes:
+        for w in r.words:
+            counts[w] = counts.get(w, 0) + 1
+            ids_of[w] = int(net.ids[w % 16])
+            of_id[ids_of[w]] = of_id.get(ids_of[w], 0) + 1
+    expected = sorted(sum(np.log(counts[w] / of_id[ids_of[w]]) for w in r.words) for r in hashes)
+    table = Scratch(spark).table(pl.word_hashes(docs))
+    got = sorted(r.share for r in pl.word_shares(table, net.ids, Scratch(spark)).collect())
+    assert np.allclose(got, expected)
+    monkeypatch.setattr(pl, "fit", lambda *_, **__: net)  # what a fit learns depends on the partitions
+    rows = pl.score_documents(docs).collect()
+    assert len(rows) == len(texts)
+    net_alone = sum(r.log_prob for r in pl.score(plain, net).collect())
+    assert abs(sum(r.log_prob for r in rows) - net_alone - sum(expected)) < 0.01
+    assert all(r.mean_log_prob is None if not r.n_words else abs(r.mean_log_prob * r.n_words - r.log_prob) < 1e-9 for r in rows)

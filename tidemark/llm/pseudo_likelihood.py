@@ -4,7 +4,8 @@ A small network predicts every word of a text from the two words on either side;
 probabilities of all words given their neighbours scores the text. Words are hashed to 65,536 buckets,
 of which the corpus's most frequent have an id of their own and the rest share some. An id is predicted
 as two digits, the first (a class of ids of similar frequency) from the neighbours and the second from the
-neighbours and the first, so that no output is wider than 64.
+neighbours and the first, so that no output is wider than 64. Documents are scored by words: the share of a word in
+the count of its id is added to the probability of the id.
 
 Counts come from all words, and every word of every document is a training target. Each partition trains from the same start, and the average of the results, weighted by targets, is the
 model: what is gathered grows with the number of partitions, and thus with the corpus.
@@ -30,6 +31,7 @@ OFFSETS = (-2, -1, 1, 2)
 WIDTH = 16
 NOTHING = DIGIT * DIGIT  # id beyond either end of a text
 _TOKENS = 32_768
+FREQUENT = 1 << 16  # words whose counts are sent to all tasks
 
 
 def word_buckets(docs: DataFrame) -> DataFrame:
@@ -262,9 +264,67 @@ def score(buckets: DataFrame, network: WindowNetwork) -> DataFrame:
     return buckets.mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
 
 
+def word_hashes(docs: DataFrame) -> DataFrame:
+    """A number for each row, its doc_id and the 64-bit hashes of its words, from which ``word_buckets`` has
+    the buckets."""
+    words = words_of(F.lower(F.coalesce("text", F.lit(""))))
+    hashes = F.transform(words, lambda w: F.xxhash64(w)).alias("words")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), hashes)
+
+
+def word_shares(hashes: DataFrame, ids: np.ndarray, scratch: Scratch) -> DataFrame:
+    """``row`` and the sum over its words of log(count of the word / count of all words of its id), which
+    makes probabilities of ids ones of words; ``hashes`` as ``word_hashes`` gives them.
+
+    Counts of words are a Spark table. The most frequent are sent to all tasks, so that no word is a hot key.
+    """
+    counts = scratch.table(hashes.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    of_bucket = np.zeros(BUCKETS)
+    by_bucket = counts.groupBy(F.pmod("word", F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).toPandas()
+    of_bucket[by_bucket["bucket"].to_numpy(np.int64)] = by_bucket["n"].to_numpy()
+    log_ids = np.log(np.maximum(np.bincount(ids, weights=of_bucket, minlength=NOTHING), 1))
+    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
+    sent = hashes.sparkSession.sparkContext.broadcast(
+        (top["word"].to_numpy(np.int64), np.log(top["n"].to_numpy(float)), ids, log_ids)
+    )
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The part of each row that needs no other count, and a row for each word that does."""
+        frequent, logs, of, total = sent.value
+        for batch in batches:
+            words, sizes = _lists(batch.column(1))
+            rows = np.repeat(batch.column(0).to_numpy(), sizes)
+            part = -total[of[words % BUCKETS]]
+            place = np.minimum(np.searchsorted(frequent, words), max(len(frequent) - 1, 0))
+            found = frequent[place] == words if len(words) else np.zeros(0, bool)
+            part[found] += logs[place[found]]
+            where = np.repeat(np.arange(len(sizes)), sizes)
+            sums = np.bincount(where, weights=part, minlength=len(sizes)).astype(float)
+            rest = words[~found]
+            columns = [pa.concat_arrays([batch.column(0), pa.array(rows[~found], pa.int64())]),
+                       pa.concat_arrays([pa.nulls(len(sizes), pa.int64()), pa.array(rest, pa.int64())]),
+                       pa.array(np.concatenate([sums, np.zeros(len(rest))]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "word", "part"])
+
+    parts = hashes.select("row", "words").mapInArrow(known, "row long, word long, part double")
+    rare = parts.filter("word IS NOT NULL").join(counts, "word").select("row", F.log("n").alias("part"))
+    every = parts.filter("word IS NULL").select("row", "part").union(rare)
+    return every.groupBy("row").agg(F.sum("part").alias("share"))
+
+
 def score_documents(docs: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
-    """Train on ``docs`` (doc_id, text) and score every row. Null text has no words: log_prob 0. Repeated
-    rows each train and score; other columns are dropped."""
+    """Train on ``docs`` (doc_id, text) and score every row by the probabilities of its words. Null text has
+    no words: log_prob 0. Repeated rows each train and score; other columns are dropped."""
     scratch = scratch or Scratch(docs.sparkSession)
-    buckets = scratch.table(word_buckets(docs))
-    return score(buckets, fit(buckets, **options))
+    hashes = scratch.table(word_hashes(docs))
+    buckets = hashes.select(
+        F.col("row").alias("doc_id"),
+        F.transform("words", lambda w: F.pmod(w, F.lit(BUCKETS)).cast("int")).alias("buckets"),
+    )
+    network = fit(buckets, **options)
+    scored = score(buckets, network).withColumnRenamed("doc_id", "row")
+    total = F.when(F.col("n_words") == 0, 0.0).otherwise(F.col("log_prob") + F.col("share"))
+    joined = scored.join(word_shares(hashes, network.ids, scratch), "row").join(hashes.select("row", "doc_id"), "row")
+    return joined.select(
+        "doc_id", "n_words", total.alias("log_prob"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob"))
