@@ -15,12 +15,15 @@ from tidemark.llm import (
     packing,
     pseudo_likelihood,
     repeats,
+    resample,
+    runs,
     severity,
     simhash,
     templates,
     token_files,
     warc,
 )
+from tidemark.llm.line_rules import let, words_of
 from tidemark.llm.tables import new_folder, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +153,44 @@ def op10_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents."""
     return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, of which each tenth document repeats a stretch of its own words up to its end."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10).cast("long")
+
+    def repeat(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(words, lambda _, i: F.get(words, place(i))), " "))
+
+    planted = F.coalesce(let(words_of(F.col("text")), repeat), F.col("text"))
+    return docs.select("doc_id", F.when(hashed % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in all documents, of which some have been planted, and what is left."""
+    found = runs.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents"))).drop("text")
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    longest = F.get(F.sort_array(order), F.lit(0))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.col1")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.col1") / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights, scores and ranks of all documents, drawn towards the benchmark's texts."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
