@@ -1,0 +1,155 @@
+"""Language models against the textbook recursion, held-out accuracy and odd rows."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.llm import language
+from tidemark.llm.language import ORDER, normal_codes
+
+SCHEMA = "doc_id long, text string, lang string"
+STEMS = {
+    "en": "the of and ing tion with for was that this house water light".split(),
+    "de": "der die und ung schaft mit für war dass haus wasser licht über".split(),
+    "fr": "le la et ment tion avec pour était que maison eau lumière où".split(),
+}
+
+
+def made(n, seed=0, words=(30, 200)):
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        lang = sorted(STEMS)[k % 3]
+        text = " ".join("".join(rng.choices(STEMS[lang], k=rng.randrange(1, 3))) for _ in range(rng.randrange(*words)))
+        out.append((k, text.title() if k % 2 else text.upper() + "!! 42", lang))
+    return out
+
+
+def padded(text):
+    return " " * (ORDER - 1) + "".join(map(chr, normal_codes(text)))
+
+
+class Textbook:
+    """Interpolated Kneser-Ney by its recursive definition."""
+
+    def __init__(self, texts, characters):
+        top = Counter(p[i : i + ORDER] for p in map(padded, texts) for i in range(len(p) - ORDER + 1))
+        self.levels, self.characters = {ORDER: top}, characters
+        for n in range(ORDER - 1, 0, -1):
+            self.levels[n] = Counter(g[1:] for g in self.levels[n + 1])
+        self.context = {}
+        for n, counts in self.levels.items():
+            once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+            found = defaultdict(lambda: [0, 0])
+            for g, c in counts.items():
+                found[g[:-1]][0] += c
+                found[g[:-1]][1] += 1
+            self.context[n] = (once / (once + 2 * twice) if once and twice else 0.5, found)
+
+    def p(self, gram):
+        n = len(gram)
+        if not n:
+            return 1 / self.characters
+        discount, found = self.context[n]
+        if gram[:-1] not in found:
+            return self.p(gram[1:])
+        total, kinds = found[gram[:-1]]
+        share = max(self.levels[n].get(gram, discount) - discount, 0) / total
+        return share + discount * kinds / total * self.p(gram[1:])
+
+    def entropy(self, text):
+        p = padded(text)
+        return -sum(math.log(self.p(p[i : i + ORDER])) for i in range(len(p) - ORDER + 1)) / (len(p) - ORDER + 1)
+
+
+def counted(texts):
+    found = Counter(p[i : i + ORDER] for p in map(padded, texts) for i in range(len(p) - ORDER + 1))
+    grams = np.array([[ord(c) for c in g] for g in found], np.uint32)
+    return grams, np.array(list(found.values()))
+
+
+def test_cross_entropies():
+    docs = made(60)
+    texts = {x: [t for _, t, lang in docs if lang == x] for x in STEMS}
+    model = language.assemble({x: counted(t) for x, t in texts.items()})
+    characters = len({c for t in texts.values() for x in t for c in padded(x)}) + 1
+    books = [Textbook(texts[x], characters) for x in model.languages]
+    probes = [t for _, t, _ in made(9, seed=3)] + ["zzz qqq", "a", "Привет, мир", "the ñandú der", "x" * 30]
+    got, lengths = model.entropies([normal_codes(t) for t in probes])
+    want = [[b.entropy(t) for b in books] for t in probes]
+    assert np.allclose(got, want, rtol=1e-5)
+    assert lengths.tolist() == [len(padded(t)) - ORDER + 1 for t in probes]
+    for gram in ("the a", "der u", "zzzzz"):  # probabilities of all characters after a context
+        known = {c for t in texts["en"] for c in padded(t)}
+        total = sum(books[1].p(gram[1:] + c) for c in known)
+        assert total <= 1 + 1e-9
+
+
+def test_parts_of_a_long_text_add_up(monkeypatch):
+    texts = [t for _, t, _ in made(12)]
+    model = language.assemble({"a": counted(texts[:6]), "b": counted(texts[6:])})
+    codes = [normal_codes(" ".join(texts) * 20), normal_codes(""), normal_codes("der")]
+    whole, _ = model.entropies(codes)
+    monkeypatch.setattr(language, "_CELLS_AT_ONCE", 1)
+    assert np.allclose(model.entropies(codes)[0], whole)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.createDataFrame(made(300), SCHEMA)
+    model = language.fit(docs)
+    unseen = made(150, seed=9, words=(3, 12))
+    got = language.identify(spark.createDataFrame(unseen, SCHEMA), model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.95 * len(got)
+    assert all(0 <= r.score <= 1 for r in got)
+    sure = [r for r in got if not r.rejected]
+    assert len(sure) > 100 and sum(r.lang_pred == r.lang for r in sure) >= 0.98 * len(sure)
+    foreign = spark.createDataFrame([(1, "Это предложение написано совсем на другом языке, которого нет", None)], SCHEMA)
+    assert language.identify(foreign, model).first().rejected
+
+
+def test_sample_is_bounded_and_whole(spark, scratch):
+    docs = [(k, "ab " * (10 + k % 7), "xy"[k % 2]) for k in range(400)] + [(999, "long " * 9_000, "z")]
+    frame = spark.createDataFrame(docs, SCHEMA).withColumn("row", F.col("doc_id")).withColumn("size", F.length("text"))
+    chosen = language._sample(frame, 1_000, scratch).groupBy("lang").agg(F.sum("size").alias("n"), F.count("*").alias("docs"))
+    found = {r.lang: (r.n, r.docs) for r in chosen.collect()}
+    assert all(900 <= found[x][0] <= 1_000 for x in "xy") and found["z"] == (45_000, 1)
+
+
+def test_odd_rows(spark):
+    docs = made(90) + [(None, "the house", "en"), (500, None, "en"), (501, "the", None), (502, "", "de"), (503, "12 !?", "fr")]
+    docs += [(1, "the house", "en")] * 5 + [(700, "only one", "nl")]
+    frame = spark.createDataFrame(docs, SCHEMA).withColumns({"Score": F.lit("mine"), "row": F.lit(1), "share": F.lit(2)})
+    model = language.fit(frame)
+    assert model.languages == ["de", "en", "fr", "nl"]
+    got = language.identify(frame, model)
+    assert got.columns == ["doc_id", "text", "lang", "row", "share", "lang_pred", "score", "rejected"]
+    found = got.collect()
+    assert len(found) == len(docs)
+    for r in found:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+        else:
+            assert r.lang_pred in model.languages
+    assert rows(language.identify(frame.filter("false"), model)) == []
+
+
+@pytest.mark.parametrize("docs", [[], [(1, None, "en")], [(1, "words", None)]])
+def test_nothing_to_learn(spark, docs):
+    model = language.fit(spark.createDataFrame(docs, SCHEMA))
+    got = language.identify(spark.createDataFrame([(1, "some words", "en")], SCHEMA), model).first()
+    assert (got.lang_pred, got.score, got.rejected) == ("und", 0.0, True)
+
+
+def test_normal_codes():
+    def text(x):
+        return "".join(map(chr, normal_codes(x)))
+
+    assert text(" Ab,, 3 Çd\n") == "ab çd " and text("!1a") == "a" and text(None) == text("12 .") == ""
+    assert text("日本 語") == "日本 語"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    language,
     line_rules,
     packing,
     pseudo_likelihood,
@@ -155,6 +156,16 @@ def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, from models that a third of them, the held-out ones, has no part in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language.fold_of(F.col("doc_id")) == 1, F.lit(False))
+    model = language.fit(docs.filter(~held_out))
+    found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text, of which each tenth document repeats a stretch of its own words up to its end."""
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
