@@ -53,9 +53,10 @@ def test_merge_lists_only_changed_partitions(spark, tmp_path, scratch):
     rows = [(i, f"d{i % 6}", 1.0) for i in range(60)]
     table.overwrite(spark.createDataFrame(rows, "k int, day string, v double"), "b1", ["day"])
     source = spark.createDataFrame([(0, "d0", 2.0), (61, "d1", 2.0)], "k int, day string, v double")
-    known = upsert.matched_keys(table.read(), source, ["k"], scratch)
-    touched = upsert.touched_partitions(table.read(), source, ["k"], ["day"], known, scratch)
-    assert touched.count() == 2
+    located = upsert.located_keys(table.read(), source, ["k"], ["day"], None, scratch)
+    assert [tuple(r) for r in located.collect()] == [(0, "d0", 1, 0)]
+    touched = located.select("day").union(source.select("day")).distinct().withColumn(upsert._SEEN, F.lit(1))
+    touched = scratch.table(touched)
     near = upsert.in_partitions(table.read(), touched, ["day"])
     assert "dynamicpruningexpression(day" in plan(near)
     assert {r["day"] for r in near.select("day").collect()} == {"d0", "d1"}

@@ -1,0 +1,250 @@
+"""Partition swaps whatever the names, buckets of keys, and counts taken from the stored table."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tests.test_whole_runs import NOW, SCHEMA, setup
+from tidemark.model import WatermarkState
+from tidemark.operators import upsert
+from tidemark.plans import runner
+from tidemark.plans.load import write_table
+from tidemark.plans.runner import Discrepancy, LoadOptions, run_incremental
+from tidemark.sources import storage, tables
+from tidemark.sources.tables import MERGED, VersionedTable
+
+PLAIN = ["a", "b", "c", "d", None, "e"]
+ODD = ["a b", "c:d", "e%f", "g/h+i", None, "ü=é#\\ ?*[x]"]
+KPV = "k int, p string, v double"
+
+
+def stored(table):
+    return {r.k: (r.p, r.v) for r in table.read().collect()}
+
+
+@pytest.mark.parametrize("names", [PLAIN, ODD])
+@pytest.mark.parametrize("segment", ["first", "p-from-2024-01-01T10:00:00+x %41"])
+def test_merges_and_replacements(spark, tmp_path, names, segment):
+    path = f"{tmp_path}/t able+%25"
+    have = {k: (names[k % 6], 1.0) for k in range(24)}
+    first = spark.createDataFrame([(k, *pv) for k, pv in have.items()], KPV)
+    write_table(first, path, "append", batch_id=segment, partition_cols=["p"])
+    table = VersionedTable(spark, path)
+    for turn in range(3):
+        changed = {k: (names[(k + turn) % 6], 10.0 + turn) for k in range(turn, 30, 5)}
+        source = spark.createDataFrame([(k, *pv) for k, pv in changed.items()], KPV)
+        table = write_table(source, path, "merge", batch_id=f"{segment}{turn}", merge_keys=["k"])
+        assert table.written.inserted == len(changed.keys() - have.keys())
+        assert table.written.updated == len(changed.keys() & have.keys())
+        have |= changed
+        assert stored(table) == have and table.read().count() == len(have)
+    for n, name in enumerate(names):
+        table.replace_partitions(spark.createDataFrame([(100 + n, name, 0.0)], KPV), f"{segment}-r")
+        have = {k: pv for k, pv in have.items() if pv[0] != name} | {100 + n: (name, 0.0)}
+        assert stored(table) == have
+        table.replace_partitions(spark.createDataFrame([(k, *pv) for k, pv in have.items() if pv[0] == name], KPV), "x")
+        assert stored(table) == have and table.read().count() == len(have)
+    left = {f.rsplit("/", 1)[1] for f in storage.glob(spark, f"{path}/v=*/*")}
+    assert table.version == 1 and all(f.startswith("seg=") or f == "_layout.json" for f in left)
+
+
+def test_empty_text_lies_with_nulls(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "", 1.0), (2, None, 1.0), (3, "x", 1.0)], KPV), path, "append", batch_id="a", partition_cols=["p"])
+    table = write_table(spark.createDataFrame([(1, "", 2.0), (4, "", 2.0)], KPV), path, "merge", batch_id="b", merge_keys=["k"])
+    assert stored(table) == {1: (None, 2.0), 2: (None, 1.0), 3: ("x", 1.0), 4: (None, 2.0)}
+
+
+def crashing(monkeypatch, name, at):
+    """Let the ``at``-th call of a storage function fail, and all later ones."""
+    plain, calls = getattr(tables.storage, name), []
+
+    def failing(*a):
+        calls.append(a)
+        if len(calls) > at:
+            raise OSError("lost")
+        return plain(*a)
+
+    monkeypatch.setattr(tables.storage, name, failing)
+
+
+@pytest.mark.parametrize("name", ["delete", "move", "write_text"])
+def test_swap_survives_a_crash(spark, tmp_path, monkeypatch, name):
+    path = f"{tmp_path}/t"
+    have = {k: (ODD[k % 6], 1.0) for k in range(18)}
+    write_table(spark.createDataFrame([(k, *pv) for k, pv in have.items()], KPV), path, "append", batch_id="at 10:00%", partition_cols=["p"])
+    for at in range(4):
+        changed = {1: (ODD[at], 9.0), 2: (ODD[5 - at], 9.0), 40 + at: ("new:%20", 9.0)}
+        source = spark.createDataFrame([(k, *pv) for k, pv in changed.items()], KPV)
+        with monkeypatch.context() as m:
+            crashing(m, name, at)
+            try:
+                write_table(source, path, "merge", batch_id=f"m{at}", merge_keys=["k"])
+            except OSError:
+                pass
+        table = write_table(source, path, "merge", batch_id=f"m{at}", merge_keys=["k"])
+        have |= changed
+        assert stored(table) == have and table.read().count() == len(have)
+
+
+def test_a_failed_delete_stops_the_swap(spark, tmp_path, monkeypatch):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.overwrite(spark.createDataFrame([(1, "a b", 1.0), (2, "c", 1.0)], KPV), "x", ["p"])
+    with monkeypatch.context() as m:
+        m.setattr(tables.storage, "delete_all", lambda spark, paths: storage.delete(spark, "/proc/1"))
+        with pytest.raises(Exception):
+            table.replace_partitions(spark.createDataFrame([(5, "a b", 1.0)], KPV), "y")
+    assert stored(table) == {5: ("a b", 1.0), 2: ("c", 1.0)}  # the next reader ends it
+
+
+def test_a_move_never_goes_inside_another_folder(spark, tmp_path):
+    for name in ("a", "b"):
+        storage.write_text(spark, f"{tmp_path}/{name}/file", name)
+    with pytest.raises(OSError, match="exists"):
+        storage.move(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    storage.move(spark, f"{tmp_path}/a", f"{tmp_path}/c")
+    storage.move(spark, f"{tmp_path}/a", f"{tmp_path}/c")  # done before
+
+
+def test_notes_of_the_earlier_form(spark, tmp_path):
+    """A list of encoded folders in the note itself."""
+    table = VersionedTable(spark, f"{tmp_path}/t")
+    table.overwrite(spark.createDataFrame([(1, "a b", 1.0), (2, "c:d", 1.0)], KPV), "10:00", ["p"])
+    version = f"{tmp_path}/t/v=00000001"
+    spark.createDataFrame([(9, "a b", 9.0)], KPV).write.partitionBy("p").parquet(f"{version}/_pending-1")
+    old = [r.f.rsplit("/", 1)[0] for r in table.read_stored().filter("p = 'a b'").select(F.col("_metadata.file_path").alias("f")).collect()]
+    note = {"pending": f"{version}/_pending-1", "depth": 1, "old": old, "moving": False}
+    storage.write_text(spark, f"{version}/_swap.json", json.dumps(note))
+    assert stored(table) == {9: ("a b", 9.0), 2: ("c:d", 1.0)}
+
+
+# -- through whole runs ---------------------------------------------------------------------------
+def partitioned(spark, tmp_path, mode="merge", parts=("t",), **rest):
+    store = setup(spark, tmp_path, mode=mode, **rest)
+    entries = store.read("table_config").collect()
+    store.replace("table_config", [{**r.asDict(), "partition_cols": list(parts) if r.table_id == "p_tgt" else []} for r in entries])
+    store.put_watermark(WatermarkState("w", "p", "p_tgt", "t", None), NOW - timedelta(days=50))
+    return store
+
+
+def land(spark, root, name, *data):
+    spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").json(f"{root}/land/p")
+
+
+def load(spark, store, day, **options):
+    return run_incremental(spark, store, "p", now=datetime(2024, 2, day), watermark_col="t", options=LoadOptions(schema=SCHEMA, **options))
+
+
+def test_runs_merge_into_partitions_named_by_times(spark, tmp_path):
+    store = partitioned(spark, tmp_path)
+    have = {}
+    for day in (1, 2, 3):
+        data = [(k, f"2024-01-{day:02d}T10:{k:02d}:00", float(day)) for k in range(day, day + 5)]
+        land(spark, tmp_path, day, *data)
+        result = load(spark, store, day)
+        new = {r[0] for r in data}
+        assert (result.status, result.inserted, result.updated) == ("SUCCESS", len(new - have.keys()), len(new & have.keys()))
+        have |= {r[0]: r[1:] for r in data}
+        assert rows(VersionedTable(spark, f"{tmp_path}/target").read().select("k", "t", "v")) == sorted(((k, *r) for k, r in have.items()), key=repr)
+    assert {r.reconciliation_status for r in store.read("audit_data_reconciliation").collect()} == {"RECONCILED"}
+
+
+def test_a_repeated_target_row_does_not_reconcile(spark, tmp_path):
+    store = setup(spark, tmp_path, mode="merge")
+    stamps = "k long, t string, v double, ingestion_timestamp timestamp, source_file_name string, batch_id string"
+    twice = [(1, "2024-01-01", 1.0, NOW, "f", "b")] * 2
+    VersionedTable(spark, f"{tmp_path}/target").overwrite(spark.createDataFrame(twice, stamps), "x")
+    land(spark, tmp_path, 1, (1, "2024-01-02", 5.0), (2, "2024-01-02", 5.0))
+    with pytest.raises(Discrepancy):
+        load(spark, store, 1)
+    assert store.read("audit_data_reconciliation").first().discrepancy_count == -1
+
+
+@pytest.mark.parametrize("change", [lambda df: df.unionByName(df.filter("k = 1")), lambda df: df.filter("k <> 1")])
+def test_a_write_that_repeats_or_loses_a_row_does_not_reconcile(spark, tmp_path, monkeypatch, change):
+    store = partitioned(spark, tmp_path)
+    land(spark, tmp_path, 1, *[(k, "2024-01-01", 1.0) for k in range(6)])
+    load(spark, store, 1)
+    land(spark, tmp_path, 2, *[(k, "2024-01-02", 2.0) for k in range(1, 9)])
+    replace = VersionedTable.replace_partitions
+    monkeypatch.setattr(VersionedTable, "replace_partitions", lambda self, df, *a, **b: replace(self, change(df), *a, **b))
+    with pytest.raises(Discrepancy):
+        load(spark, store, 2)
+    found = store.read("audit_data_reconciliation").filter("reconciliation_status = 'DISCREPANCY'").collect()
+    assert len(found) == 1 and abs(found[0].discrepancy_count) == 1
+
+
+def test_old_partitions_left_behind_do_not_reconcile(spark, tmp_path, monkeypatch):
+    store = partitioned(spark, tmp_path, parts=("k",))
+    land(spark, tmp_path, 1, *[(k, "2024-01-01", 1.0) for k in range(3)])
+    load(spark, store, 1)
+    land(spark, tmp_path, 2, (1, "2024-01-02", 2.0))
+    monkeypatch.setattr(tables.storage, "delete_all", lambda spark, paths: None)
+    with pytest.raises(Discrepancy):
+        load(spark, store, 2)
+
+
+def test_counts_do_not_come_from_accumulators(spark, tmp_path, monkeypatch):
+    """Counting metrics see the rows of a repeated task twice; no run may use them."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "observe", lambda *a: pytest.fail("observed"))
+    store = partitioned(spark, tmp_path)
+    for day in (1, 2):
+        land(spark, tmp_path, day, *[(k, f"2024-01-0{day}", 1.0) for k in range(day, day + 4)])
+        assert load(spark, store, day).status == "SUCCESS"
+
+
+# -- buckets --------------------------------------------------------------------------------------
+def test_bucketed_merges_equal_plain_ones(spark, tmp_path):
+    paths = {name: f"{tmp_path}/{name}" for name in ("plain", "buckets", "both")}
+    layout = {"plain": [], "buckets": ["bucket(16)"], "both": ["p", "bucket(4)"]}
+    first = spark.range(500).selectExpr("int(id) k", "concat('p', id % 3) p", "1.0D v")
+    change = spark.range(450, 530).selectExpr("int(id) k", "concat('p', id % 4) p", "2.0D v")
+    change = change.union(spark.createDataFrame([(None, "p0", 3.0)], KPV))
+    for name, path in paths.items():
+        table = write_table(first, path, "merge", batch_id="a", merge_keys=["k"], partition_cols=layout[name])
+        for _ in range(2):
+            table = write_table(change.filter("k IS NOT NULL"), path, "merge", batch_id="b", merge_keys=["k"], partition_cols=layout[name])
+        assert (table.written.inserted, table.written.updated) == (0, 80)
+        table = write_table(change, path, "merge", batch_id="c", merge_keys=["k"], partition_cols=layout[name])
+        assert table.read().columns == ["k", "p", "v"] and table.written.inserted == 1
+    want = rows(VersionedTable(spark, paths["plain"]).read())
+    assert all(rows(VersionedTable(spark, p).read()) == want for p in paths.values())
+
+
+def test_a_merge_touches_no_more_buckets_than_keys(spark, tmp_path, scratch):
+    path = f"{tmp_path}/t"
+    first = spark.range(20_000).selectExpr("id k", "1.0D v")
+    table = write_table(first, path, "merge", batch_id="a", merge_keys=["k"], partition_cols=["bucket(256)"])
+    assert table.version == 1 and len(storage.glob(spark, f"{path}/v=1/*") or []) == 0
+    before = set(storage.glob(spark, f"{path}/v=*/seg=*/_bucket=*"))
+    assert len(before) == 256
+    source = scratch.table(spark.range(0, 200_000, 2_000).selectExpr("id k", "2.0D v"))
+    near = upsert.in_partitions(
+        table.read_stored(),
+        scratch.table(table.layout.placed(source).select("_bucket").distinct().withColumn(upsert._SEEN, F.lit(1))),
+        ["_bucket"],
+    )
+    assert "dynamicpruningexpression(_bucket" in near._jdf.queryExecution().toString()
+    table = write_table(source, path, "merge", batch_id="b", merge_keys=["k"])
+    after = set(storage.glob(spark, f"{path}/v=*/seg=*/_bucket=*"))
+    touched = {p for p in after if f"seg={MERGED}/" in p}
+    assert 0 < len(touched) <= 100 and len(before & after) == 256 - len(before - after) and len(before - after) <= 100
+    assert (table.written.inserted, table.written.updated, table.version) == (90, 10, 1)
+    assert table.read().count() == 20_090
+    for file in storage.glob(spark, f"{path}/v=*/seg={MERGED}/_bucket=*/*.parquet")[:5]:
+        keys = [r.k for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)
+
+
+def test_bucket_layouts_that_cannot_work(spark, tmp_path):
+    df = spark.range(3).selectExpr("id k", "id _bucket")
+    for parts, keys in ((["bucket(4)"], None), (["bucket(0)"], ["k"]), (["bucket(2)", "bucket(3)"], ["k"]), (["bucket(4)"], ["k"])):
+        with pytest.raises(ValueError):
+            write_table(df, f"{tmp_path}/t", "merge", batch_id="a", merge_keys=keys, partition_cols=parts)

@@ -1,8 +1,12 @@
-"""Time columns: parsing, arithmetic and typed literals."""
+"""Time columns: parsing, arithmetic and typed literals.
+
+Naive times on the driver are wall-clock times in UTC, whatever the zone of the process or the session:
+a wall clock with summer time skips an hour and repeats another.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +17,28 @@ ZONED = r":\d{2}(\.\d+)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]
 _EPOCH = "1970-01-01 00:00:00"
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def as_utc(value: datetime) -> datetime:
+    """The instant of a time, which is in UTC unless it names its zone."""
+    return value.astimezone(timezone.utc) if value.tzinfo else value.replace(tzinfo=timezone.utc)
+
+
+def instant(value: datetime) -> Column:
+    """Timestamp literal."""
+    micros = (as_utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
+def wall_clocks(df: DataFrame) -> DataFrame:
+    """``df`` with all timestamps as wall-clock times in UTC, to be collected: Spark hands timestamps out in
+    the zone of the process."""
+    columns = {f.name: utc_wall_clock(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns(columns) if columns else df
+
+
 def utc_wall_clock(instant: Column) -> Column:
     """An instant as a wall-clock time in UTC, whatever the session's zone."""
     micros = F.unix_micros(instant)
@@ -51,9 +77,15 @@ def event_time(df: DataFrame, column: str) -> Column:
 
 def time_literal(df: DataFrame, column: str, value: datetime) -> Column:
     """Bound of the type ``column`` compares with, so that the column itself is not cast."""
-    if isinstance(df.schema[column].dataType, (T.StringType, T.TimestampNTZType)):
-        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-    return F.lit(value)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return instant(value)
+    return F.lit(as_utc(value).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def latest_time(df: DataFrame, column: str, moment: Column) -> Column:
+    """Greatest of ``moment``, which is derived from ``column``, as wall-clock time."""
+    top = F.max(moment)
+    return utc_wall_clock(top) if isinstance(df.schema[column].dataType, T.TimestampType) else top.cast("timestamp_ntz")
 
 
 def minutes_before(moment: Column, minutes: Column | int) -> Column:

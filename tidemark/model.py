@@ -6,6 +6,8 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from tidemark.functions.times import utc_now
+
 # Fixed values of the configuration vocabulary.
 LAYERS = ("landing", "bronze", "silver", "gold")
 WRITE_MODES = ("append", "overwrite", "merge", "replace_partitions")
@@ -32,7 +34,7 @@ class RunContext:
     pipeline_name: str
     environment: str = "dev"
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
-    execution_time: datetime = field(default_factory=datetime.now)
+    execution_time: datetime = field(default_factory=utc_now)
     watermark: datetime | None = None
 
 

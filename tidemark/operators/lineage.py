@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import event_time, seconds_between
+from tidemark.functions.times import event_time, instant, seconds_between
 from tidemark.schemas import BATCH_ID, EXECUTION_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
 
 
@@ -18,7 +18,7 @@ def stamp(
     """Add load time, source file and batch id. ``loaded_at`` is one instant per run, so that a
     row has the same stamp wherever it lands. ``keep_file`` leaves the file stamp of an earlier layer
     in place."""
-    moment = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    moment = F.current_timestamp() if loaded_at is None else instant(loaded_at)
     stamps = {LOADED_AT: moment, SOURCE_FILE: _source_file(df), BATCH_ID: F.lit(batch_id)}
     if keep_file and SOURCE_FILE in df.columns:
         del stamps[SOURCE_FILE]

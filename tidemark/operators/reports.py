@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import seconds_between
+from tidemark.functions.times import seconds_between, time_literal
 from tidemark.operators.keys import dedup_latest
 from tidemark.operators.skew import lookup_join
 from tidemark.scratch import Scratch, measure
@@ -36,7 +36,7 @@ def last_success(runs: DataFrame) -> DataFrame:
 
 def sla_breaches(runs: DataFrame, as_of: Column | datetime, limit_seconds: int) -> DataFrame:
     """Failed runs, and runs still open after ``limit_seconds``."""
-    as_of = F.lit(as_of) if isinstance(as_of, datetime) else as_of
+    as_of = time_literal(runs, "execution_start", as_of) if isinstance(as_of, datetime) else as_of
     age = seconds_between(F.col("execution_start"), as_of)
     late = (F.col("status") == "RUNNING") & (age > limit_seconds)
     breach = F.when(F.col("status") == "FAILED", "FAILED").when(late, "OVERDUE")

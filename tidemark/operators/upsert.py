@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import dedup_latest, repeated_keys
 from tidemark.operators.skew import fits_broadcast, lookup_join
-from tidemark.scratch import Scratch, measure, observed
+from tidemark.scratch import Scratch, measure
 from tidemark.sources.tables import VersionedTable, align
 
 _NEW = "__new"
@@ -59,6 +59,35 @@ def classify_changes(target: DataFrame, source: DataFrame, keys: list[str]) -> D
     )
 
 
+def _not_older(new: Column, old: Column) -> Column:
+    return F.coalesce(new >= old, old.isNull())
+
+
+def located_keys(
+    target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], newer_than: str | None, scratch: Scratch
+) -> DataFrame:
+    """One written row per key that occurs on both sides and partition that holds it: the ``parts``, how
+    many target rows it has there (``n``), and how many of these are newer than the source's (``newer``).
+    Of the target only these columns are read, once; a small source is broadcast so that it does not
+    move, otherwise it is grouped before it meets the source's keys."""
+    wanted = source.filter(_has_keys(keys))
+    if newer_than:
+        wanted = wanted.groupBy(*keys).agg(F.max(newer_than).alias(_NEW))
+    else:
+        wanted = wanted.select(*keys).distinct().withColumn(_NEW, F.lit(0))
+    wanted = scratch.table(wanted)
+    places = [*keys, *(p for p in parts if p not in keys)]
+    old = F.col(newer_than) if newer_than else F.lit(0)
+    held = target.select(*places, old.alias(_SEEN))
+    one = F.lit(1).cast("long").alias("n")
+    if fits_broadcast(target.sparkSession, measure(wanted)):
+        met = held.withColumn("n", one).join(F.broadcast(wanted), keys)
+    else:
+        met = held.groupBy(*places, _SEEN).agg(F.count(F.lit(1)).alias("n")).join(wanted, keys)
+    newer = F.when(~_not_older(F.col(_NEW), F.col(_SEEN)), F.col("n")).otherwise(0)
+    return scratch.table(met.groupBy(*places).agg(F.sum("n").alias("n"), F.sum(newer).alias("newer")))
+
+
 def _one_row_per_key(
     source: DataFrame,
     matched: DataFrame,
@@ -106,16 +135,18 @@ def merge_upsert(
     - ``null_keys``: "insert" or "reject" source rows with a null key.
     - ``matched``: the result of ``matched_keys``, when the caller has it already.
     """
+    if matched is None:
+        scratch = scratch or Scratch(target.sparkSession)
+        matched = matched_keys(target, align(source, target.schema), keys, scratch)
     kept, inserts, _ = _merge_parts(
         target,
         source,
         keys,
-        scratch or Scratch(target.sparkSession),
+        matched,
         on_duplicate=on_duplicate,
         latest_by=latest_by,
         newer_than=newer_than,
         null_keys=null_keys,
-        matched=matched,
     )
     return kept.unionByName(inserts)
 
@@ -124,21 +155,17 @@ def _merge_parts(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
-    scratch: Scratch,
+    matched: DataFrame,
     *,
     on_duplicate: str = "matched",
     latest_by: list[str] | None = None,
     newer_than: str | None = None,
     null_keys: str = "insert",
-    matched: DataFrame | None = None,
-    observe: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame, bool]:
     """Target rows after the update, rows to add, and whether the target rows stayed in place."""
     source = align(source, target.schema)
     if null_keys == "reject" and source.filter(~_has_keys(keys)).take(1):
         raise ValueError(f"merge source has null values in the keys {keys}")
-    if matched is None:
-        matched = matched_keys(target, source, keys, scratch)
     size = measure(matched)
     source = _one_row_per_key(source, matched, keys, on_duplicate, latest_by)
     if size[0] == 0:
@@ -155,12 +182,7 @@ def _merge_parts(
     met = lookup_join(target, lookup, keys, "left", size=updates_size)
     take = F.col(_NEW).isNotNull()
     if newer_than is not None:
-        new, old = F.col(f"{_NEW}.{newer_than}"), F.col(newer_than)
-        take = take & F.coalesce(new >= old, old.isNull())
-    if observe is not None:
-        met = met.observe(
-            observe, F.count_if(take).alias("taken"), F.count_if(F.col(_NEW).isNotNull()).alias("met")
-        )
+        take = take & _not_older(F.col(f"{_NEW}.{newer_than}"), F.col(newer_than))
     kept_or_new = [
         F.col(c) if c in keys else F.when(take, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c)
         for c in target.columns
@@ -168,24 +190,6 @@ def _merge_parts(
     return met.select(*kept_or_new), inserts, fits_broadcast(target.sparkSession, updates_size)
 
 
-def touched_partitions(
-    target: DataFrame,
-    source: DataFrame,
-    keys: list[str],
-    parts: list[str],
-    matched: DataFrame,
-    scratch: Scratch,
-) -> DataFrame:
-    """The partitions that a merge changes: those the source rows go to, and those that hold their
-    old versions, which may be others. A table, however many there are."""
-    gaining = source.select(*parts).distinct()
-    if set(parts) <= set(keys):
-        return scratch.table(gaining.withColumn(_SEEN, F.lit(1)))
-    held = lookup_join(target.select(*{*keys, *parts}), matched, keys, "left_semi", size=measure(matched))
-    losing = held.select(*parts).distinct()
-    return scratch.table(gaining.union(losing).distinct().withColumn(_SEEN, F.lit(1)))
-
-
 def in_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> DataFrame:
     """Rows of the touched partitions. The join on partition columns alone prunes the scan to these (an
     equality join does, a null-safe one would not; partitions of nulls are filtered instead)."""
@@ -205,7 +209,7 @@ def in_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> Da
 
 @dataclass(frozen=True)
 class Written:
-    """Source rows that a load stored, counted while or after they were written."""
+    """Rows that a load stored, counted in the stored table."""
 
     inserted: int = 0
     updated: int = 0
@@ -218,38 +222,46 @@ def merge_into(
     keys: list[str],
     batch_id: str,
     scratch: Scratch | None = None,
-    *,
-    matched: DataFrame | None = None,
     **options,
 ) -> Written:
-    """Merge ``source`` into a stored table. Of a partitioned table only the partitions that change
-    are read and replaced; otherwise the whole table is rewritten as a new version.
+    """Merge ``source`` into a stored table. Of a table with partitions, or with buckets of the keys, only
+    those that change are read and replaced; otherwise the whole table is rewritten as a new version.
+    Partitions that follow from the keys are read only where the source has rows for them.
 
-    ``updated`` and ``skipped`` count target rows that took, or were newer than, their source row.
+    ``inserted`` is what the table gained by the merge, counted in its files before and after; ``updated``
+    and ``skipped`` count target rows that took, or were newer than, their source row.
     """
     scratch = scratch or Scratch(table.spark)
-    target, parts = table.read(), table.partition_cols
-    source = align(source, table.schema)
-    if matched is None:
-        matched = matched_keys(target, source, keys, scratch)
-    options["matched"] = matched
+    layout = table.layout
+    folders = layout.folders
+    target = table.read_stored()
+    source = layout.placed(align(source, layout.schema))
+    follows = set(layout.partition_cols) <= set(keys) and set(layout.bucket_keys) <= set(keys)
     touched = None
-    if parts:
-        touched = touched_partitions(target, source, keys, parts, matched, scratch)
-        target = in_partitions(target, touched, parts)
-    added, met = Observation(), Observation()
-    kept, inserts, in_place = _merge_parts(target, source, keys, scratch, observe=met, **options)
-    inserts = inserts.observe(added, F.count(F.lit(1)).alias("n"))
-    if in_place and parts:
+    if folders:
+        touched = scratch.table(source.select(*folders).distinct().withColumn(_SEEN, F.lit(1)))
+    if folders and follows:
+        target = in_partitions(target, touched, folders)
+    newer_than = options.get("newer_than")
+    located = located_keys(target, source, keys, folders, newer_than, scratch)
+    met, newer = located.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("newer"), F.lit(0))).first()
+    matched = located.select(*keys).distinct()
+    if folders and not follows:
+        losing = located.select(*folders).distinct().withColumn(_SEEN, F.lit(1))
+        touched = scratch.table(touched.union(losing).distinct())
+        target = in_partitions(target, touched, folders)
+    before = target.count()
+    kept, inserts, in_place = _merge_parts(target, source, keys, matched, **options)
+    if in_place and folders:
         # rows read from a partition go back to it: only the added ones need to be gathered
-        inserts = inserts.hint("rebalance", *parts)
+        inserts = inserts.hint("rebalance", *folders)
     merged = kept.unionByName(inserts)
-    if parts:
+    if folders:
         table.replace_partitions(merged, batch_id, touched=touched, clustered=in_place)
+        after = in_partitions(table.read_stored(), touched, folders).count()
     else:
-        table.overwrite(merged, batch_id, parts, clustered=in_place)
-    seen = {"taken": 0, "met": 0} if kept is target else observed(met, ["taken", "met"])
-    return Written(observed(added, ["n"])["n"], seen["taken"], seen["met"] - seen["taken"])
+        after = table.overwrite(merged, batch_id, clustered=in_place)
+    return Written(after - before, met - newer, newer)
 
 
 def update_where(df: DataFrame, condition: str | Column, values: dict[str, Column]) -> DataFrame:

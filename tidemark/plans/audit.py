@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
 
+from tidemark.functions.times import utc_now
 from tidemark.model import RunContext
 from tidemark.plans.control import ControlStore
 
@@ -40,7 +41,7 @@ class RunLog:
             "step_run_id": str(uuid.uuid4()),
             "run_id": self.ctx.run_id,
             "step_name": name,
-            "start_time": datetime.now(),
+            "start_time": utc_now(),
             "status": "SUCCESS",
             "records_processed": 0,
         }
@@ -51,7 +52,7 @@ class RunLog:
             entry.update(status="FAILED", error_details=str(error))
             raise
         finally:
-            entry.update(end_time=datetime.now(), records_processed=note["records"])
+            entry.update(end_time=utc_now(), records_processed=note["records"])
             self.steps.append(entry)
 
     def rule(self, rule_id: str, failed: int, status: str, path: str | None = None) -> None:
@@ -111,7 +112,7 @@ class RunLog:
         with ThreadPoolExecutor(len(logs)) as pool:
             list(pool.map(lambda name: self.store.append(name, logs[name], run), logs))
         last = self._execution(
-            execution_end=datetime.now(),
+            execution_end=utc_now(),
             watermark_end=watermark_end,
             records_read=records_read,
             records_written=records_written,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, replace
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import as_utc, utc_now, wall_clocks
 from tidemark.model import LAYERS, ColumnSpec, ConfigError, Pipeline, Rule, Table, WatermarkState
 from tidemark.operators.reports import latest_state
 from tidemark.operators.upsert import update_where
@@ -30,7 +31,7 @@ _ARROW = {
 
 
 def _instant(value):
-    return value.astimezone(timezone.utc) if isinstance(value, datetime) else value
+    return as_utc(value) if isinstance(value, datetime) else value
 
 
 class ControlStore:
@@ -56,28 +57,28 @@ class ControlStore:
         return self.table(name).read()
 
     def rows(self, name: str, rows: list[dict]) -> DataFrame:
-        """A few typed rows as a local relation, which needs no Python workers. Naive times are
-        taken in the zone of this process, as Spark hands them out."""
+        """A few typed rows as a local relation, which needs no Python workers. Naive times are in UTC."""
         schema = {**CONTROL_SCHEMAS, **AUDIT_SCHEMAS}[name]
         columns = {f.name: [_instant(r.get(f.name)) for r in rows] for f in schema.fields}
         arrays = [pa.array(columns[f.name], _ARROW[f.dataType]) for f in schema.fields]
         return self.spark.createDataFrame(pa.Table.from_arrays(arrays, schema.names), schema)
 
     def replace(self, name: str, rows: list[dict]) -> None:
-        self.table(name).overwrite(self.rows(name, rows), f"seed-{uuid.uuid4()}")
+        self.table(name).overwrite(self.rows(name, rows), f"seed-{uuid.uuid4()}", counted=False)
 
     def append(self, name: str, rows: list[dict], batch_id: str) -> None:
         if rows:
-            self.table(name).append(self.rows(name, rows).coalesce(1), batch_id)
+            self.table(name).append(self.rows(name, rows).coalesce(1), batch_id, counted=False)
 
     def update(self, name: str, condition: str | Column, values: dict[str, Column]) -> None:
         """Set columns on the rows that meet a condition."""
         table = self.table(name)
-        table.overwrite(update_where(table.read(), condition, values), f"update-{uuid.uuid4()}")
+        table.overwrite(update_where(table.read(), condition, values), f"update-{uuid.uuid4()}", counted=False)
 
     # -- lookups for one pipeline: a handful of rows --------------------------------------------
     def pipeline(self, pipeline_id: str) -> Pipeline:
-        found = self.read("pipeline_config").filter(F.col("pipeline_id") == pipeline_id).take(2)
+        found = self.read("pipeline_config").filter(F.col("pipeline_id") == pipeline_id)
+        found = wall_clocks(found).take(2)
         if len(found) != 1:
             state = "not found" if not found else "declared twice"
             raise ConfigError(f"pipeline '{pipeline_id}' is {state}")
@@ -141,12 +142,12 @@ class ControlStore:
     # Every change appends the pipeline's new state, so that pipelines never overwrite each other.
     def watermark(self, pipeline_id: str) -> WatermarkState | None:
         states = self.read("watermark_control").filter(F.col("pipeline_id") == pipeline_id)
-        found = latest_state(states).take(1)
+        found = wall_clocks(latest_state(states)).take(1)
         return WatermarkState(**found[0].asDict()) if found else None
 
     def put_watermark(self, state: WatermarkState, now: datetime | None = None) -> None:
         """Append a state. One derived from an earlier state never sorts before it."""
-        now = now or datetime.now()
+        now = now or utc_now()
         if state.updated_at is not None and state.updated_at >= now:
             now = state.updated_at + timedelta(microseconds=1)
         row = asdict(replace(state, updated_at=now))

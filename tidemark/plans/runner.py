@@ -8,11 +8,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import event_time, readable_sql
+from tidemark.functions.times import event_time, instant, latest_time, readable_sql, utc_now
 from tidemark.model import ColumnSpec, QualityHalt, Rule, RunContext, Table, WatermarkState
 from tidemark.operators.conformance import conform, conformance_rules
 from tidemark.operators.increment import Bounds, resolve_bounds, select_increment
@@ -24,12 +24,12 @@ from tidemark.operators.quality import (
     quarantine_rows,
     tag_violations,
 )
-from tidemark.operators.upsert import Written, matched_keys
+from tidemark.operators.upsert import Written
 from tidemark.plans.audit import RunLog
 from tidemark.plans.control import ControlStore
 from tidemark.plans.load import write_table
 from tidemark.schemas import BATCH_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
-from tidemark.scratch import Scratch, enough_partitions, observed
+from tidemark.scratch import Scratch, enough_partitions
 from tidemark.sources import storage
 from tidemark.sources.files import ROW_TEXT_FORMATS, csv_schema, read_source
 from tidemark.sources.tables import VersionedTable
@@ -101,7 +101,8 @@ def check_batch(
     aggs += [failure_count(r).alias(f"rule_{i}") for i, r in enumerate(rules)]
     if watermark_col in rows.columns:
         moment = event_time(rows, watermark_col)
-        aggs += [F.max(F.when(ok, moment)).alias("clean_top"), F.max(moment).alias("read_top")]
+        tops = {"clean_top": F.when(ok, moment), "read_top": moment}
+        aggs += [latest_time(rows, watermark_col, t).alias(name) for name, t in tops.items()]
     row = tagged.agg(*aggs).first().asDict()
     return Batch(
         tagged,
@@ -147,32 +148,21 @@ def apply_actions(
     return written
 
 
-def load_batch(
-    clean: DataFrame,
-    target: Table,
-    segment: str,
-    scratch: Scratch,
-    options: LoadOptions,
-    count: int,
-) -> Written:
-    """Write the clean rows; returns what was stored, from counts taken by the write itself. A row is
-    updated when its key met a target row, and skipped when that was newer or the batch holds a later
-    row of the key."""
-    table = VersionedTable(clean.sparkSession, target.storage_path)
+def load_batch(clean: DataFrame, target: Table, segment: str, scratch: Scratch, options: LoadOptions) -> Written:
+    """Write the clean rows; returns what the stored table took. A row is updated when its key met a target
+    row, and skipped when that was newer or the batch holds a later row of the key. A key that the
+    target holds twice counts twice, so that the run does not reconcile."""
     keys = list(target.merge_keys)
     merge: dict = {}
-    met = None
-    if target.write_mode == "merge" and keys and table.exists():
-        known = matched_keys(table.read(), clean, keys, scratch)
-        met = known.count()
+    if target.write_mode == "merge" and keys:
         merge = {
             "scratch": scratch,
-            "matched": known,
             "on_duplicate": options.on_duplicate,
             "latest_by": [options.newer_than] if options.newer_than else None,
             "newer_than": options.newer_than,
             "null_keys": options.null_keys,
         }
+    existed = VersionedTable(clean.sparkSession, target.storage_path).exists()
     table = write_table(
         clean,
         target.storage_path,
@@ -182,16 +172,12 @@ def load_batch(
         partition_cols=list(target.partition_cols),
         **merge,
     )
-    stored = getattr(table, "written", None) or Written()
-    if met is None or options.on_duplicate == "trust":
-        return stored
-    # a key that the target repeats updates several rows, but it is one row of the source
-    updated = min(stored.updated, met)
-    skipped = min(stored.skipped, met - updated)
-    if options.on_duplicate == "latest":
+    stored = table.written
+    if merge and existed and options.on_duplicate == "latest":
         keyed = clean.select(*keys).dropna()
-        skipped += keyed.count() - keyed.distinct().count()
-    return Written(stored.inserted, updated, skipped)
+        later = keyed.count() - keyed.distinct().count()
+        stored = replace(stored, skipped=stored.skipped + later)
+    return stored
 
 
 def run_incremental(
@@ -208,7 +194,7 @@ def run_incremental(
     """Run a configured pipeline once. The source is read a single time and staged; every later
     stage works on the staged rows, so that counts and writes agree even if files keep arriving."""
     options = options or LoadOptions()
-    now = now or datetime.now()
+    now = now or utc_now()
     job = open_job(spark, store, pipeline_id, now, run_id, environment, watermark_col, options)
     if job is None:
         return RunResult(None, "SKIPPED")
@@ -227,10 +213,9 @@ def run_incremental(
 
 
 def counted_table(scratch: Scratch, df: DataFrame) -> tuple[DataFrame, int]:
-    """A scratch table and its rows, counted while they are written."""
-    seen = Observation()
-    table = scratch.table(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return table, observed(seen, ["n"])["n"]
+    """A scratch table and its rows, counted in its files."""
+    table = scratch.table(df)
+    return table, table.count()
 
 
 @dataclass
@@ -403,7 +388,7 @@ def transformed(job: Job, df: DataFrame) -> DataFrame:
         return df
     out = job.options.transform(df)
     stamps = {
-        LOADED_AT: F.lit(job.ctx.execution_time).cast("timestamp"),
+        LOADED_AT: instant(job.ctx.execution_time),
         SOURCE_FILE: F.lit(job.source.storage_path),
         BATCH_ID: F.lit(job.ctx.run_id),
     }
@@ -438,7 +423,6 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
             job.segment or ctx.run_id,
             job.scratch,
             job.options,
-            batch.clean,
         )
         step["records"] = stored.inserted + stored.updated
 

@@ -5,26 +5,32 @@ own commit has left its ``_SUCCESS`` file, a version once its first segment coun
 the highest version that counts. Writing a batch again replaces its segment, so retries never
 duplicate rows. One writer per table at a time; there is no transaction log.
 
-Partitions are replaced by a swap: the new ones are written beside the segments, a note says which
-folders they replace, then the old folders go, the new ones move in and the note is removed. Whoever
+Partitions are replaced by a swap: the new ones are written beside the segments, a note names the list
+of folders they replace, then the old folders go, the new ones move in and the note is removed. Whoever
 opens the table next finishes a swap that was cut short.
+
+A table may be laid out in buckets of its keys, a partition column ``_bucket`` that readers do not see:
+a merge then reads and replaces only the buckets of its keys. Rows written are counted in the files that
+hold them, never by accumulators, which count the rows of a repeated task twice.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass, replace
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.skew import lookup_join
-from tidemark.scratch import measure, observed
+from tidemark.scratch import measure
 from tidemark.sources import storage
 
 MERGED = "base-merged"  # segment of partitions that were replaced
+BUCKET = "_bucket"
 _SWAP = "_swap.json"
 
 
@@ -32,6 +38,38 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Columns of a table, those its folders are named by, and its buckets (0: none) with their keys."""
+
+    schema: T.StructType
+    partition_cols: tuple[str, ...] = ()
+    buckets: int = 0
+    bucket_keys: tuple[str, ...] = ()
+
+    def __post_init__(self):
+        if self.buckets and (not self.bucket_keys or BUCKET in self.schema.names):
+            raise ValueError(f"buckets need keys, and a table without a column '{BUCKET}'")
+
+    @property
+    def folders(self) -> list[str]:
+        return [*self.partition_cols, BUCKET] if self.buckets else list(self.partition_cols)
+
+    @property
+    def stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())]) if self.buckets else self.schema
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the bucket of each row, and with empty text in partition columns as null, which is what
+        a folder name makes of it."""
+        texts = [c for c in self.partition_cols if isinstance(df.schema[c].dataType, T.StringType)]
+        df = df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in texts}) if texts else df
+        if self.buckets and BUCKET not in df.columns:
+            hashed = F.xxhash64(*[F.col(f"`{k}`") for k in self.bucket_keys])
+            df = df.withColumn(BUCKET, F.pmod(hashed, F.lit(self.buckets)).cast("int"))
+        return df
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -56,9 +94,14 @@ class VersionedTable:
         current = self._committed()[0]
         return int(current.rsplit("=", 1)[1]) if current else 0
 
-    def _layout(self, version: str) -> tuple[T.StructType, list[str]]:
+    def _layout(self, version: str) -> Layout:
         saved = json.loads(storage.read_text(self.spark, f"{version}/_layout.json"))
-        return T.StructType.fromJson(saved["schema"]), saved["partition_cols"]
+        return Layout(
+            T.StructType.fromJson(saved["schema"]),
+            tuple(saved["partition_cols"]),
+            saved.get("buckets", 0),
+            tuple(saved.get("bucket_keys", ())),
+        )
 
     @property
     def segment_count(self) -> int:
@@ -70,13 +113,17 @@ class VersionedTable:
         version = self._committed()[0]
         return storage.size(self.spark, version) if version else 0
 
+    @property
+    def layout(self) -> Layout:
+        return self._layout(self._require()[0])
+
     @property
     def schema(self) -> T.StructType:
-        return self._layout(self._require()[0])[0]
+        return self.layout.schema
 
     @property
     def partition_cols(self) -> list[str]:
-        return self._layout(self._require()[0])[1]
+        return list(self.layout.partition_cols)
 
     def _require(self) -> tuple[str, list[str]]:
         version, segments = self._committed()
@@ -86,51 +133,60 @@ class VersionedTable:
 
     def read(self) -> DataFrame:
         """The current version. A frame read earlier stays valid until that version is expired."""
+        return self._current(lambda layout: layout.schema)
+
+    def read_stored(self) -> DataFrame:
+        """The current version with its bucket column, if it has one."""
+        return self._current(lambda layout: layout.stored)
+
+    def _current(self, shown) -> DataFrame:
         version, segments = self._require()
-        schema, _ = self._layout(version)
-        reader = self.spark.read.schema(schema).option("basePath", version)
-        return reader.parquet(*segments).select(*schema.names)
+        layout = self._layout(version)
+        return self._files(layout.stored, version, segments).select(*shown(layout).names)
+
+    def _files(self, schema: T.StructType, base: str, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     # -- writes -----------------------------------------------------------------------------
-    def _begin(self, schema: T.StructType, partition_cols: list[str]) -> str:
+    def _begin(self, layout: Layout) -> str:
         """Folder of the next version, its layout noted; it does not count before a segment does."""
         version = f"{self.path}/v={self.version + 1:08d}"
-        self._put_layout(version, schema, partition_cols)
+        self._put_layout(version, layout)
         return version
 
-    def _put_layout(self, version: str, schema: T.StructType, partition_cols: list[str]) -> None:
-        layout = {"schema": _nullable(schema).jsonValue(), "partition_cols": partition_cols}
-        storage.write_text(self.spark, f"{version}/_layout.json", json.dumps(layout))
+    def _put_layout(self, version: str, layout: Layout) -> None:
+        saved = {"schema": _nullable(layout.schema).jsonValue(), "partition_cols": list(layout.partition_cols)}
+        if layout.buckets:
+            saved |= {"buckets": layout.buckets, "bucket_keys": list(layout.bucket_keys)}
+        storage.write_text(self.spark, f"{version}/_layout.json", json.dumps(saved))
 
     def create(self, schema: T.StructType, partition_cols: list[str] | None = None) -> None:
         """An empty table, unless there is one already."""
         if not self.exists():
-            version = self._begin(schema, partition_cols or [])
+            version = self._begin(Layout(schema, tuple(partition_cols or ())))
             storage.write_text(self.spark, f"{self._segment(version, 'init')}/_SUCCESS", "")
 
-    def _write(
-        self,
-        df: DataFrame,
-        path: str,
-        partition_cols: list[str],
-        clustered: bool = False,
-    ) -> int:
-        """Write a segment; returns the rows counted while they were written."""
-        if partition_cols and not clustered:
+    def _write(self, df: DataFrame, path: str, layout: Layout, clustered: bool = False) -> None:
+        """Write a segment."""
+        df, folders = layout.placed(df), layout.folders
+        if folders and not clustered:
             # AQE splits the hot partitions and packs the small ones
-            df = df.hint("rebalance", *partition_cols)
-        written = Observation()
-        counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_cols:
-            writer = writer.partitionBy(*partition_cols)
+            df = df.hint("rebalance", *folders)
+        if layout.buckets:
+            df = df.sortWithinPartitions(*folders, *layout.bucket_keys)
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if folders:
+            writer = writer.partitionBy(*folders)
         writer.parquet(path)
         if not storage.exists(self.spark, f"{path}/_SUCCESS"):
             raise RuntimeError(
                 "no _SUCCESS file after the write: tables need"
                 " mapreduce.fileoutputcommitter.marksuccessfuljobs"
             )
-        return observed(written, ["n"])["n"]
+
+    def _rows(self, path: str, layout: Layout) -> int:
+        """Rows in the files of a segment, which hold their number at their ends."""
+        return self._files(layout.stored, path, [path]).count()
 
     def _segment(self, version: str, batch_id: str) -> str:
         return f"{version}/seg={quote(batch_id, safe='')}"
@@ -141,18 +197,23 @@ class VersionedTable:
         batch_id: str,
         partition_cols: list[str] | None = None,
         *,
+        buckets: tuple[int, list[str]] | None = None,
         clustered: bool = False,
+        counted: bool = True,
     ) -> int:
-        """Publish ``df`` as the next version; returns its rows. It may be derived from the current one.
+        """Publish ``df`` as the next version; returns its rows (0 unless ``counted``). It may be derived from
+        the current one. ``buckets`` is their number and keys. Without ``partition_cols`` the layout stays.
         ``clustered`` says that its rows lie together by partition already."""
         current = self._committed()[0]
-        if partition_cols is None:
-            partition_cols = self._layout(current)[1] if current else []
+        if partition_cols is None and current:
+            layout = replace(self._layout(current), schema=df.schema)
+        else:
+            n, keys = buckets or (0, [])
+            layout = Layout(df.schema, tuple(partition_cols or ()), n, tuple(keys))
         # named apart from appended batches: a repeated append must never replace the whole table
-        version = self._begin(df.schema, partition_cols)
-        return self._write(
-            df, self._segment(version, f"base-{batch_id}"), partition_cols, clustered=clustered
-        )
+        path = self._segment(self._begin(layout), f"base-{batch_id}")
+        self._write(df, path, layout, clustered=clustered)
+        return self._rows(path, layout) if counted else 0
 
     def append(
         self,
@@ -161,22 +222,25 @@ class VersionedTable:
         partition_cols: list[str] | None = None,
         *,
         allow_new_columns: bool = False,
+        counted: bool = True,
     ) -> int:
-        """Add one batch and return its rows. The same ``batch_id`` again replaces what it wrote before.
-        ``allow_new_columns`` widens the table's layout; a column whose type has changed is then kept
-        as text in a column of its own, ``<name>_as_text``."""
+        """Add one batch and return its rows (0 unless ``counted``). The same ``batch_id`` again replaces what
+        it wrote before. ``allow_new_columns`` widens the table's layout; a column whose type has changed
+        is then kept as text in a column of its own, ``<name>_as_text``."""
         version, _ = self._committed()
         if version is None:
-            version = self._begin(df.schema, partition_cols or [])
-        schema, parts = self._layout(version)
+            version = self._begin(Layout(df.schema, tuple(partition_cols or ())))
+        layout = self._layout(version)
         if allow_new_columns:
-            df = _drifted(df, schema)
-            added = [f for f in df.schema.fields if f.name not in schema.names]
+            df = _drifted(df, layout.schema)
+            added = [f for f in df.schema.fields if f.name not in layout.schema.names]
             if added:  # files without a column read as nulls: only the layout has to change
-                schema = T.StructType([*schema.fields, *_nullable(T.StructType(added)).fields])
-                self._put_layout(version, schema, parts)
-        df = align(df, schema, fill_missing=allow_new_columns)
-        return self._write(df, self._segment(version, batch_id), parts)
+                wider = T.StructType([*layout.schema.fields, *_nullable(T.StructType(added)).fields])
+                layout = replace(layout, schema=wider)
+                self._put_layout(version, layout)
+        path = self._segment(version, batch_id)
+        self._write(align(df, layout.schema, fill_missing=allow_new_columns), path, layout)
+        return self._rows(path, layout) if counted else 0
 
     def replace_partitions(
         self,
@@ -189,42 +253,60 @@ class VersionedTable:
         """Replace the partitions that occur in ``df``, and those in ``touched`` (the partition columns),
         and leave all others alone; returns the rows written. ``df`` may read the table itself."""
         version, segments = self._require()
-        schema, parts = self._layout(version)
-        if not parts:
+        layout = self._layout(version)
+        folders = layout.folders
+        if not folders:
             raise ValueError(f"table {self.path} has no partition columns")
-        df = align(df, schema)
-        pending = f"{version}/_pending-{quote(batch_id, safe='')}-{uuid.uuid4()}"
-        n = self._write(df, pending, parts, clustered=clustered)
-        gained = self.spark.read.schema(schema).option("basePath", pending).parquet(pending)
-        changed = gained.select(*parts).distinct()
+        df = align(layout.placed(df), layout.stored)
+        label = f"{quote(batch_id, safe='')}-{uuid.uuid4()}"
+        pending, old = f"{version}/_pending-{label}", f"{version}/_replaced-{label}"
+        self._write(df, pending, layout, clustered=clustered)
+        gained = self._files(layout.stored, pending, [pending])
+        changed = gained.select(*folders).distinct()
         if touched is not None:
-            changed = changed.union(touched.select(*parts)).distinct()
-        size = measure(changed)
-        reader = self.spark.read.schema(schema).option("basePath", version)
-        held = reader.parquet(*segments).select(*parts, F.col("_metadata.file_path").alias("_file"))
-        old = lookup_join(held, changed, parts, "left_semi", size=size, null_safe=True)
-        folders = old.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct()
-        note = {"pending": pending, "depth": len(parts), "old": [r.d for r in folders.collect()], "moving": False}
+            changed = changed.union(touched.select(*folders)).distinct()
+        held = self._files(layout.stored, version, segments)
+        held = held.select(*folders, F.col("_metadata.file_path").alias("file"))
+        replaced = lookup_join(held, changed, folders, "left_semi", size=measure(changed), null_safe=True)
+        # file names are encoded as URIs, in which a plus sign stands for itself
+        folder = F.regexp_replace(F.regexp_replace("file", "/[^/]*$", ""), r"\+", "%2B")
+        replaced.select(F.url_decode(folder).alias("folder")).distinct().write.parquet(old)
+        note = {"pending": pending, "depth": len(folders), "old": old, "moving": False}
         storage.write_text(self.spark, f"{version}/{_SWAP}", json.dumps(note))
+        n = gained.count()
         self._finish_swap(version)
         return n
 
+    def _old_folders(self, note: dict, merged: str) -> list[str] | None:
+        """Folders that an earlier form of the note lists itself, as URIs. New ones that took the place of
+        some may already stand in ``merged``."""
+        if isinstance(note["old"], str):
+            return None
+        folders = [storage.plain_path(self.spark, f) for f in note["old"]]
+        return [f for f in folders if not (note["moving"] and f"/{merged.rsplit('/', 1)[1]}/" in f)]
+
     def _finish_swap(self, version: str) -> None:
         """Carry out the noted swap from wherever it stands; doing any part of it again is harmless."""
         path = f"{version}/{_SWAP}"
         note = json.loads(storage.read_text(self.spark, path))
+        merged = self._segment(version, MERGED)
+        listed = self._old_folders(note, merged)
+        if listed is not None:
+            storage.delete_all(self.spark, listed)
+        elif not note["moving"]:
+            old = self.spark.read.schema("folder string").parquet(note["old"])
+            storage.delete_all(self.spark, (r.folder for r in old.toLocalIterator()))
         if not note["moving"]:
-            for folder in note["old"]:
-                storage.delete(self.spark, folder)
             note["moving"] = True  # from here on the old places are free for the new folders
             storage.write_text(self.spark, path, json.dumps(note))
-        merged = self._segment(version, MERGED)
         pattern = "/".join(["*=*"] * note["depth"])
         for folder in storage.glob(self.spark, f"{note['pending']}/{pattern}"):
             inner = "/".join(folder.rsplit("/", note["depth"])[1:])
             storage.move(self.spark, folder, f"{merged}/{inner}")
         storage.write_text(self.spark, f"{merged}/_SUCCESS", "")
         storage.delete(self.spark, note["pending"])
+        if listed is None:
+            storage.delete(self.spark, note["old"])
         storage.delete(self.spark, path)
 
     def compact(self) -> None:

@@ -8,13 +8,14 @@ the stream is kept in its checkpoint: a new checkpoint, whose epochs start again
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import instant, utc_now
+from tidemark.model import ConfigError
 from tidemark.operators.increment import Bounds
 from tidemark.operators.lineage import stamp
 from tidemark.plans.control import ControlStore
@@ -64,17 +65,19 @@ def ingest_available(
     stream_id = _stream_id(spark, checkpoint)
 
     def load(rows: DataFrame, epoch: int) -> None:
-        now = datetime.now()
+        now = utc_now()
         run_id = f"{quote(pipeline_id, safe='')}-stream-{stream_id}-{epoch}"
         column = "last_updated_at"
         job = open_job(
             rows.sparkSession, store, pipeline_id, now, run_id, environment, column, options
         )
+        if job is None:  # an error keeps the micro-batch for the next call
+            raise ConfigError(f"pipeline '{pipeline_id}' was switched off during the stream")
         job.bounds = Bounds(None, None)
         with job.guard():
             with job.log.step("extract") as step:
                 stamped = rows.withColumns(
-                    {LOADED_AT: F.lit(now).cast("timestamp"), BATCH_ID: F.lit(run_id)}
+                    {LOADED_AT: instant(now), BATCH_ID: F.lit(run_id)}
                 )
                 staged, n_read = counted_table(job.scratch, transformed(job, stamped))
                 step["records"] = n_read

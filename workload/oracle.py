@@ -278,7 +278,7 @@ SQL: dict[str, str] = {
               l_quantity + 100 AS l_quantity, l_shipdate, row_number() OVER (PARTITION BY {_PAIR}
               ORDER BY l_shipdate DESC, l_suppkey DESC, l_quantity DESC) AS rn
             FROM lines WHERE l_linenumber <= 2) WHERE rn = 1),
-        tgt AS (SELECT * FROM lines WHERE l_shipdate < TIMESTAMP '1999-01-01')
+        tgt AS (SELECT * FROM lines WHERE l_shipdate < TIMESTAMP '1999-01-01' OR l_linenumber > 2)
         SELECT t.l_orderkey, t.l_linenumber,
           CASE WHEN s.l_orderkey IS NULL THEN t.l_suppkey ELSE s.l_suppkey END AS l_suppkey,
           CASE WHEN s.l_orderkey IS NULL THEN t.l_quantity ELSE s.l_quantity END AS l_quantity,

@@ -333,7 +333,7 @@ def merge_repeated_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*PAIR, "l_suppkey", "l_quantity", "l_shipdate")
     changed = lines.filter("l_linenumber <= 2").withColumn("l_quantity", F.col("l_quantity") + 100)
     source = dedup_latest(changed, PAIR, ["l_shipdate"])
-    target = lines.filter(F.col("l_shipdate") < ntz("1999-01-01"))
+    target = lines.filter((F.col("l_shipdate") < ntz("1999-01-01")) | (F.col("l_linenumber") > 2))
     return upsert.merge_upsert(target, source, PAIR, on_duplicate="trust")
 
 
