@@ -63,6 +63,9 @@ def _not_older(new: Column, old: Column) -> Column:
     return F.coalesce(new >= old, old.isNull())
 
 
+_BEFORE = "__before"
+
+
 def located_keys(
     target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], newer_than: str | None, scratch: Scratch
 ) -> DataFrame:
@@ -88,6 +91,41 @@ def located_keys(
     return scratch.table(met.groupBy(*places).agg(F.sum("n").alias("n"), F.sum(newer).alias("newer")))
 
 
+def located_rows(
+    target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], columns: list[str], newer_than: str | None, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """As ``located_keys``, and the target rows themselves with their keys, written in the same pass."""
+    wanted = scratch.table(source.select(*keys).filter(_has_keys(keys)).distinct())
+    places = [*keys, *(p for p in parts if p not in keys)]
+    held = target.select(*places, F.struct(*columns).alias(_BEFORE))
+    rows = scratch.table(lookup_join(held, wanted, keys, "left_semi", size=measure(wanted)))
+    newer = F.lit(0)
+    if newer_than:
+        latest = source.filter(_has_keys(keys)).groupBy(*keys).agg(F.max(newer_than).alias(_NEW))
+        old = F.col(f"{_BEFORE}.{newer_than}")
+        located, newer = rows.join(latest, keys), F.when(~_not_older(F.col(_NEW), old), 1).otherwise(0)
+    else:
+        located = rows
+    counted = located.groupBy(*places).agg(F.count(F.lit(1)).alias("n"), F.sum(newer).cast("long").alias("newer"))
+    return scratch.table(counted), rows
+
+
+def change_rows(
+    before: DataFrame, source: DataFrame, matched: DataFrame, keys: list[str], columns: list[str], newer_than: str | None
+) -> DataFrame:
+    """``before`` and ``after`` of every row that a merge changes: of the target rows that take another source
+    row, and of the source rows with new keys. ``source`` has one row per matched key."""
+    size = measure(matched)
+    image = source.select(*keys, F.struct(*columns).alias("after"))
+    met = before.join(image, keys).withColumnRenamed(_BEFORE, "before")
+    if newer_than:
+        met = met.filter(_not_older(F.col(f"after.{newer_than}"), F.col(f"before.{newer_than}")))
+    updated = met.filter(~F.col("before").eqNullSafe(F.col("after"))).select("before", "after")
+    added = lookup_join(image, matched, keys, "left_anti", size=size)
+    nothing = F.lit(None).cast(before.schema[_BEFORE].dataType).alias("before")
+    return updated.unionByName(added.select(nothing, "after"))
+
+
 def _one_row_per_key(
     source: DataFrame,
     matched: DataFrame,
@@ -222,6 +260,8 @@ def merge_into(
     keys: list[str],
     batch_id: str,
     scratch: Scratch | None = None,
+    *,
+    changes: bool = False,
     **options,
 ) -> Written:
     """Merge ``source`` into a stored table. Of a table with partitions, or with buckets of the keys, only
@@ -229,7 +269,8 @@ def merge_into(
     Partitions that follow from the keys are read only where the source has rows for them.
 
     ``inserted`` is what the table gained by the merge, counted in its files before and after; ``updated``
-    and ``skipped`` count target rows that took, or were newer than, their source row.
+    and ``skipped`` count target rows that took, or were newer than, their source row. With ``changes`` the
+    table also gets the images before and after of every row that changes, one more write of these rows.
     """
     scratch = scratch or Scratch(table.spark)
     layout = table.layout
@@ -237,13 +278,19 @@ def merge_into(
     target = table.read_stored()
     source = layout.placed(align(source, layout.schema))
     follows = set(layout.partition_cols) <= set(keys) and set(layout.bucket_keys) <= set(keys)
+    if changes and not folders:
+        raise ValueError("change rows need a table with partitions or buckets")
     touched = None
     if folders:
         touched = scratch.table(source.select(*folders).distinct().withColumn(_SEEN, F.lit(1)))
     if folders and follows:
         target = in_partitions(target, touched, folders)
     newer_than = options.get("newer_than")
-    located = located_keys(target, source, keys, folders, newer_than, scratch)
+    images = None
+    if changes:
+        located, images = located_rows(target, source, keys, folders, layout.schema.names, newer_than, scratch)
+    else:
+        located = located_keys(target, source, keys, folders, newer_than, scratch)
     met, newer = located.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("newer"), F.lit(0))).first()
     matched = located.select(*keys).distinct()
     if folders and not follows:
@@ -251,13 +298,17 @@ def merge_into(
         touched = scratch.table(touched.union(losing).distinct())
         target = in_partitions(target, touched, folders)
     before = target.count()
+    if changes:
+        choice = options.pop("on_duplicate", "matched"), options.pop("latest_by", None)
+        source, options["on_duplicate"] = _one_row_per_key(source, matched, keys, *choice), "trust"
+        images = change_rows(images, source, matched, keys, layout.schema.names, newer_than)
     kept, inserts, in_place = _merge_parts(target, source, keys, matched, **options)
     if in_place and folders:
         # rows read from a partition go back to it: only the added ones need to be gathered
         inserts = inserts.hint("rebalance", *folders)
     merged = kept.unionByName(inserts)
     if folders:
-        table.replace_partitions(merged, batch_id, touched=touched, clustered=in_place)
+        table.replace_partitions(merged, batch_id, touched=touched, clustered=in_place, changes=images)
         after = in_partitions(table.read_stored(), touched, folders).count()
     else:
         after = table.overwrite(merged, batch_id, clustered=in_place)

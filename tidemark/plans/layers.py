@@ -32,12 +32,14 @@ def conformed_latest(
 
 
 def rollup(group_by: list[str], measures: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
-    """Transform to a summary layer: SQL aggregate expressions by alias."""
+    """Transform to a summary layer that is computed from all rows each time: SQL aggregate expressions by
+    alias. ``summaries.Summary`` grows by increments instead."""
 
     def apply(df: DataFrame) -> DataFrame:
         aggs = [F.expr(sql).alias(name) for name, sql in measures.items()]
         return df.groupBy(*group_by).agg(*aggs)
 
+    apply.needs_all_rows = True
     return apply
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import event_time, instant, latest_time, readable_sql, utc_now
-from tidemark.model import ColumnSpec, QualityHalt, Rule, RunContext, Table, WatermarkState
+from tidemark.model import ColumnSpec, ConfigError, QualityHalt, Rule, RunContext, Table, WatermarkState
 from tidemark.operators.conformance import conform, conformance_rules
 from tidemark.operators.increment import Bounds, resolve_bounds, select_increment
 from tidemark.operators.lineage import stamp
@@ -31,11 +31,13 @@ from tidemark.plans.load import write_table
 from tidemark.schemas import BATCH_ID, FAILED_RULE, LOADED_AT, SOURCE_FILE
 from tidemark.scratch import Scratch, enough_partitions
 from tidemark.sources import storage
-from tidemark.sources.files import ROW_TEXT_FORMATS, csv_schema, read_source
+from tidemark.sources.files import CORRUPT, ROW_TEXT_FORMATS, csv_schema, read_source
 from tidemark.sources.tables import VersionedTable
 
 
 READABLE = "watermark_readable"  # built-in rule: the row's time is present and readable
+WELL_FORMED = "line_well_formed"  # built-in rule: the line the row was read from fits its format
+BUILT_IN = (READABLE, WELL_FORMED)
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,7 @@ class LoadOptions:
     enforce_columns: bool = False  # check and cast to the declared columns of the target
     stage: bool = True  # False reads an unchanging source again instead of copying its new rows
     rule_order: Sequence[str] = ()  # ids of the rules that come first, in order; the others by id
+    changes: bool = False  # a merge also leaves change rows, for summaries that follow its target
     keep_versions: int | None = 2  # of a rewritten target; older ones are deleted after a success
 
 
@@ -127,7 +130,7 @@ def apply_actions(
     for rule in rules:
         failed = batch.failures[rule.rule_id]
         if failed == 0:
-            if rule.rule_id != READABLE:
+            if rule.rule_id not in BUILT_IN:
                 log.rule(rule.rule_id, 0, "PASSED")
             continue
         path = None
@@ -140,6 +143,8 @@ def apply_actions(
             break
     if held:
         rows = without_casts(quarantine_rows(batch.tagged, log.ctx.run_id))
+        if not batch.failures.get(WELL_FORMED):
+            rows = rows.drop(CORRUPT)
         if halt is not None:
             rows = rows.filter(F.col(FAILED_RULE).isin(held))
         written = table.append(rows, log.ctx.run_id, [FAILED_RULE], allow_new_columns=True)
@@ -161,6 +166,7 @@ def load_batch(clean: DataFrame, target: Table, segment: str, scratch: Scratch,
             "latest_by": [options.newer_than] if options.newer_than else None,
             "newer_than": options.newer_than,
             "null_keys": options.null_keys,
+            "changes": options.changes,
         }
     existed = VersionedTable(clean.sparkSession, target.storage_path).exists()
     table = write_table(
@@ -269,6 +275,7 @@ def open_job(
     pipeline = store.pipeline(pipeline_id)
     if not pipeline.is_active:
         return None
+    whole = getattr(options.transform, "needs_all_rows", False)
     with ThreadPoolExecutor(2) as pool:  # small lookups that do not depend on each other
         watermark = pool.submit(store.watermark, pipeline_id)
         tables = store.tables(pipeline_id)
@@ -277,6 +284,8 @@ def open_job(
         columns = store.columns(target.table_id) if options.enforce_columns else []
         rules = in_order(found.result(), options.rule_order)
         state = watermark.result()
+    if whole and target.write_mode != "overwrite":
+        raise ConfigError("a rollup of an increment is no summary: overwrite with all rows, or append a Summary's partials")
     bounds = resolve_bounds(state, now)
     ids = {"run_id": run_id} if run_id else {}
     ctx = RunContext(
@@ -318,10 +327,13 @@ def without_casts(df: DataFrame) -> DataFrame:
 
 
 def prepared(job: Job, staged: DataFrame) -> tuple[DataFrame, list[Rule]]:
-    """Staged rows and the rules of the run. Before the configured rules stand those for rows whose
-    time cannot be read and, with enforced columns, for declared types, nulls and the key; the key is
+    """Staged rows and the rules of the run. Before the configured rules stand those for malformed lines,
+    whose text is kept in quarantine unless the run's transform drops it, for rows whose time cannot be
+    read and, with enforced columns, for declared types, nulls and the key; the key is
     checked on cast values, in columns beside the original ones."""
     rules: list[Rule] = []
+    if CORRUPT in staged.columns:
+        rules.append(Rule(WELL_FORMED, CORRUPT, "EXPRESSION", f"{CORRUPT} IS NULL"))
     if job.column in staged.columns and (job.bounds.start or job.bounds.end):
         rules.append(Rule(READABLE, job.column, "EXPRESSION", readable_sql(staged, job.column)))
     if job.columns:
@@ -355,6 +367,7 @@ def extract(job: Job) -> DataFrame:
         job.source.file_format,
         schema=schema,
         options=options.read_options,
+        keep_corrupt=True,
     )
     if job.column in df.columns and (job.state is not None or options.track_new):
         job.segment = window_name(job)
@@ -418,7 +431,7 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
 
     with log.step("target_load") as step:
         stored = load_batch(
-            conformed(job, without_casts(clean_rows(batch.tagged))),
+            conformed(job, without_casts(clean_rows(batch.tagged)).drop(CORRUPT)),
             job.target,
             job.segment or ctx.run_id,
             job.scratch,
@@ -452,7 +465,7 @@ def process(job: Job, staged: DataFrame, n_read: int) -> RunResult:
         stored.updated,
         stored.skipped,
         mark,
-        {k: n for k, n in batch.failures.items() if n or k != READABLE},
+        {k: n for k, n in batch.failures.items() if n or k not in BUILT_IN},
     )
 
 

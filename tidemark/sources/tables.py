@@ -9,6 +9,9 @@ Partitions are replaced by a swap: the new ones are written beside the segments,
 of folders they replace, then the old folders go, the new ones move in and the note is removed. Whoever
 opens the table next finishes a swap that was cut short.
 
+Change rows that come with a swap (the images of a row before and after) move in with it, as numbered
+folders ``<table>/_changes/c=<n>``: they are there if and only if the swap is.
+
 A table may be laid out in buckets of its keys, a partition column ``_bucket`` that readers do not see:
 a merge then reads and replaces only the buckets of its keys. Rows written are counted in the files that
 hold them, never by accumulators, which count the rows of a repeated task twice.
@@ -19,7 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, replace
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +106,11 @@ class VersionedTable:
             tuple(saved.get("bucket_keys", ())),
         )
 
+    @property
+    def segments(self) -> list[str]:
+        """Batches of the current version, by their names."""
+        return [unquote(s.rsplit("/seg=", 1)[1]) for s in self._committed()[1]]
+
     @property
     def segment_count(self) -> int:
         return len(self._committed()[1])
@@ -249,9 +257,11 @@ class VersionedTable:
         *,
         touched: DataFrame | None = None,
         clustered: bool = False,
+        changes: DataFrame | None = None,
     ) -> int:
         """Replace the partitions that occur in ``df``, and those in ``touched`` (the partition columns),
-        and leave all others alone; returns the rows written. ``df`` may read the table itself."""
+        and leave all others alone; returns the rows written. ``df`` may read the table itself, and so
+        may the change rows ``changes`` (before, after)."""
         version, segments = self._require()
         layout = self._layout(version)
         folders = layout.folders
@@ -272,11 +282,37 @@ class VersionedTable:
         folder = F.regexp_replace(F.regexp_replace("file", "/[^/]*$", ""), r"\+", "%2B")
         replaced.select(F.url_decode(folder).alias("folder")).distinct().write.parquet(old)
         note = {"pending": pending, "depth": len(folders), "old": old, "moving": False}
+        if changes is not None:
+            note["changes"] = {"from": f"{version}/_changed-{label}", "to": f"{self.path}/_changes/c={self.last_change + 1:08d}"}
+            changes.write.parquet(note["changes"]["from"])
         storage.write_text(self.spark, f"{version}/{_SWAP}", json.dumps(note))
         n = gained.count()
         self._finish_swap(version)
         return n
 
+    @property
+    def last_change(self) -> int:
+        """Number of the latest change that left change rows, 0 without any."""
+        self._committed()
+        found = storage.glob(self.spark, f"{self.path}/_changes/c=*")
+        return int(found[-1].rsplit("=", 1)[1]) if found else 0
+
+    def changes(self, after: int = 0) -> DataFrame:
+        """Change rows (before, after, and ``change``, the number) of the changes after number ``after``."""
+        image = _nullable(self.schema)
+        schema = T.StructType().add("before", image).add("after", image)
+        found = [f for f in storage.glob(self.spark, f"{self.path}/_changes/c=*") if int(f.rsplit("=", 1)[1]) > after]
+        if not found:
+            return self.spark.createDataFrame([], schema.add("change", "integer"))
+        files = self._files(schema.add("c", "integer"), f"{self.path}/_changes", found)
+        return files.withColumnRenamed("c", "change")
+
+    def forget_changes(self, up_to: int) -> None:
+        """Delete the change rows up to a number, once all who follow the table have taken them in. The last
+        ones stay, for the numbers to go on."""
+        found = storage.glob(self.spark, f"{self.path}/_changes/c=*")
+        storage.delete_all(self.spark, [f for f in found[:-1] if int(f.rsplit("=", 1)[1]) <= up_to])
+
     def _old_folders(self, note: dict, merged: str) -> list[str] | None:
         """Folders that an earlier form of the note lists itself, as URIs. New ones that took the place of
         some may already stand in ``merged``."""
@@ -304,6 +340,8 @@ class VersionedTable:
             inner = "/".join(folder.rsplit("/", note["depth"])[1:])
             storage.move(self.spark, folder, f"{merged}/{inner}")
         storage.write_text(self.spark, f"{merged}/_SUCCESS", "")
+        if "changes" in note:
+            storage.move(self.spark, note["changes"]["from"], note["changes"]["to"])
         storage.delete(self.spark, note["pending"])
         if listed is None:
             storage.delete(self.spark, note["old"])

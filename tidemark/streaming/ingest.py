@@ -29,6 +29,7 @@ from tidemark.plans.runner import (
 )
 from tidemark.schemas import BATCH_ID, LOADED_AT
 from tidemark.sources import storage
+from tidemark.sources.files import CORRUPT, keeps_lines, with_corrupt
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -55,8 +56,11 @@ def ingest_available(
     if not store.pipeline(pipeline_id).is_active:
         return []
     source, _ = store.source_and_target(pipeline_id)
-    reader = spark.readStream.format(source.file_format).schema(schema)
-    reader = reader.options(**options.read_options)
+    reader = spark.readStream.format(source.file_format).options(**options.read_options)
+    if keeps_lines(source.file_format, options.read_options):
+        schema = with_corrupt(schema)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # the file name is known to the scan only; time and batch are stamped per micro-batch
