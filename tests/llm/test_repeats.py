@@ -66,13 +66,16 @@ def test_against_brute_force(spark, monkeypatch, keep_first, few):
     monkeypatch.setattr(repeats, "FEW_SEGMENTS", few)
     rows = corpus(3)
     got = repeats.digests(frame(spark, rows), 48, keep_first).collect()
-    assert sorted(map(tuple, got), key=repr) == expected(rows, 48, keep_first)
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == expected(rows, 48, keep_first)
+    for r in got:  # the text that is left: all bytes, but for characters that are covered in part
+        left = hashlib.sha256(r.text.encode()).hexdigest()
+        assert left == r.kept_sha256 or 0 < len(r.text.encode()) - (r.n_bytes - r.n_removed) <= 6 * r.n_spans
 
 
 def test_texts_longer_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 500)
     rows = corpus(8, 30) + [(9000, corpus(9)[0][1] * 40), (9001, "é" * 900)]
-    got = repeats.digests(frame(spark, rows), 64, True).collect()
+    got = repeats.digests(frame(spark, rows), 64, True).drop("text").collect()
     assert sorted(map(tuple, got), key=repr) == expected(rows, 64, True)
 
 

@@ -30,6 +30,7 @@ from tidemark.scratch import Scratch
 FEW_SEGMENTS = 2_000  # different segments of an anchor that are put in suffix order together
 FILTER_KEYS = 1 << 20  # 64-bit hashes that are broadcast to keep texts out of a shuffle, 16 MB
 _CHUNK = 2 << 20
+_ROWS = 20_000  # window rows of a batch
 _BLOCK = 2 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 NO_ID = -(1 << 63)
@@ -265,21 +266,25 @@ def _ordered_spans(fetched: DataFrame, length: int, later_only: bool) -> DataFra
     return by_anchor.mapInArrow(run, "owner long, begin long, end long")
 
 
-def _window_spans(fetched: DataFrame, length: int, later_only: bool, scratch: Scratch) -> DataFrame:
+def _window_spans(fetched: DataFrame, length: int, later_only: bool, scratch: Scratch, step: int) -> DataFrame:
     """Spans from single windows, grouped by a hash of their bytes."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, owner, at, first, text in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(text) - length + 1
+            for row in range(batch.num_rows):
+                _, owner, at, first, text = (c[row].as_py() for c in batch.columns)
                 view = memoryview(text)
-                hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[k : k + length]) for k in range(n)]), "<i8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[::2]), pa.array(hashes[1::2])]
-                    + [pa.array([x] * n, pa.int64()) for x in (at, owner, first)]
-                    + [pa.array(np.arange(first, first + n))],
-                    names=["h1", "h2", "at", "owner", "first", "begin"],
-                )
+                all_places = range(-first % step, len(text) - length + 1, step)
+                for k in range(0, len(all_places), _ROWS):
+                    places = all_places[k : k + _ROWS]
+                    n = len(places)
+                    hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[p : p + length]) for p in places]), "<i8")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[::2]), pa.array(hashes[1::2])]
+                        + [pa.array(np.full(n, x)) for x in (at, owner, first)]
+                        + [pa.array(np.arange(places.start, places.stop, step) + first)],
+                        names=["h1", "h2", "at", "owner", "first", "begin"],
+                    )
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,9 +341,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, length: int = 400, keep_first: bool = True, scratch: Scratch | None = None
+    docs: DataFrame, length: int = 400, keep_first: bool = True, scratch: Scratch | None = None, step: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """Bytes of ``docs`` (doc_id, text) covered by a string of ``length`` bytes that repeats.
+    """Bytes of ``docs`` (doc_id, text) covered by a string of ``length`` bytes that repeats. Where a string
+    matters only at multiples of ``step`` bytes, others may be left out.
 
     Returns two tables. Different texts with something to remove: ``at`` (their smallest doc_id, null as
     NO_ID), ``key`` (SHA-256), ``copies``, ``spans`` (maximal runs of bytes, begin and end). And all
@@ -386,7 +392,7 @@ def repeated_spans(
         spans = spans.union(_ordered_spans(few, length, keep_first))
     if most > FEW_SEGMENTS:
         many = fetched(compared.filter(F.col("kinds") > FEW_SEGMENTS))
-        spans = spans.union(_window_spans(many, length, keep_first, scratch))
+        spans = spans.union(_window_spans(many, length, keep_first, scratch, step))
     by_owner = spans.groupBy("owner").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     found = scratch.table(
         _join(by_owner, owners.select("owner", "at", "key", "copies"), ["owner"])
@@ -438,20 +444,27 @@ def _cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame, length: int = 400, keep_first: bool = False, scratch: Scratch | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes left); other
-    cases as in ``repeated_spans``."""
+    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes left) and ``text``,
+    what is left in whole characters; other cases as in ``repeated_spans``."""
     scratch = scratch or Scratch(docs.sparkSession)
     found, judged = repeated_spans(docs, length, keep_first, scratch)
     needed = found if keep_first else found.filter("copies = 1")
-    cleaned = _cleaned(docs, needed).select("at", "key", "n_removed", "n_spans", "kept_sha256").distinct()
-    at = F.coalesce("doc_id", F.lit(NO_ID)).alias("at")
-    nothing = F.lit(hashlib.sha256(b"").hexdigest())
+    nothing = hashlib.sha256(b"").hexdigest()
+    copies = judged.filter("copy").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key", F.col("size").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+        F.lit(nothing).alias("kept_sha256"), F.lit("").alias("left"))
+    changes = scratch.table(_cleaned(docs, needed).union(copies).dropDuplicates(["at", "key"]))
+    content = F.coalesce("text", F.lit(""))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("at"),
+        F.unhex(F.sha2(content.cast("binary"), 256)).alias("key"), content.alias("text"))
     zero = F.lit(0).cast("long")
-    return _join(judged.withColumn("at", at), cleaned, ["at", "key"], "left").select(
-        "doc_id", F.col("size").alias("n_bytes"),
-        F.when(F.col("copy"), F.col("size")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(F.col("copy"), F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
-        F.when(F.col("copy"), nothing).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))).alias("kept_sha256"),
+    return _join(texts, changes, ["at", "key"], "left").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept_sha256", F.lower(F.hex("key"))).alias("kept_sha256"),
+        F.coalesce("left", "text").alias("text"),
     )
 
 
@@ -524,7 +537,7 @@ def remove_repeated_words(docs: DataFrame, words: int = 51, least_left: int = 1,
     whatever white space is between them."""
     scratch = scratch or Scratch(docs.sparkSession)
     length = words * CODE
-    found, judged = repeated_spans(_coded(docs), length, True, scratch)
+    found, judged = repeated_spans(_coded(docs), length, True, scratch, CODE)
     gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key")
     everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.lit(-1).cast("long").alias("end")))
     changed = scratch.table(
