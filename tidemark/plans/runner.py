@@ -212,6 +212,8 @@ def run_incremental(
             else:
                 n_read = staged.count()
             step["records"] = n_read
+            if n_read and job.parents is not None:
+                log_parents(job)
         stored = storage.size(spark, job.scratch.path)
         stored += job.table.stored_bytes
         with enough_partitions(spark, stored):
@@ -242,6 +244,7 @@ class Job:
     log: RunLog
     scratch: Scratch
     options: LoadOptions
+    parents: DataFrame | None = None  # runs that the rows of a table source came from
     segment: str | None = None  # name of the rows in an appended table, the run id by default
 
     @property
@@ -379,9 +382,17 @@ def extract(job: Job) -> DataFrame:
         on_missing=options.on_missing_watermark,
         keep_unreadable=True,  # to be quarantined and counted
     )
+    if job.source.file_format.lower() == "table" and BATCH_ID in df.columns:
+        job.parents = df.select(F.col(BATCH_ID).alias("parent_run_id")).dropna().distinct()
     return transformed(job, stamp_rows(job, df))
 
 
+def log_parents(job: Job) -> None:
+    """Note from which runs this one's rows came; as many rows as these are, never on the driver."""
+    rows = job.parents.select(F.lit(job.ctx.run_id).alias("run_id"), "parent_run_id")
+    job.store.table("audit_run_parents").append(rows.coalesce(1), job.ctx.run_id, counted=False)
+
+
 def window_name(job: Job) -> str:
     """Segment of a run: its pipeline and the watermark state it started from. A run that crashed before
     it wrote a new state is repeated from the same one and replaces its segment; a run that

@@ -89,6 +89,9 @@ AUDIT_SCHEMAS = {
     .add("discrepancy_count", "long", False)
     .add("reconciliation_status", "string", False)
     .add("notes", "string", True),
+    "audit_run_parents": T.StructType()
+    .add("run_id", "string", False)
+    .add("parent_run_id", "string", False),
     "data_quality_log": T.StructType()
     .add("log_id", "string", False)
     .add("run_id", "string", False)

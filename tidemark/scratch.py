@@ -25,8 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")
 
 

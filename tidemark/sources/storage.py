@@ -51,6 +51,12 @@ def delete_all(spark: SparkSession, paths: Iterable[str]) -> None:
             list(pool.map(lambda path: delete(spark, path), some))
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 of the last change."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

@@ -22,12 +22,14 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, replace
+from datetime import datetime
 from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import as_utc
 from tidemark.operators.skew import lookup_join
 from tidemark.scratch import measure
 from tidemark.sources import storage
@@ -35,6 +37,9 @@ from tidemark.sources import storage
 MERGED = "base-merged"  # segment of partitions that were replaced
 BUCKET = "_bucket"
 _SWAP = "_swap.json"
+_FOLD = "_fold.json"
+FOLD_BYTES = 64 << 20
+SEGMENTS_AT_ONCE = 500  # that one fold takes together
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -82,6 +87,8 @@ class VersionedTable:
     def _committed(self) -> tuple[str | None, list[str]]:
         for note in storage.glob(self.spark, f"{self.path}/v=*/{_SWAP}"):
             self._finish_swap(note.rsplit("/", 1)[0])
+        for note in storage.glob(self.spark, f"{self.path}/v=*/{_FOLD}"):
+            self._finish_fold(note.rsplit("/", 1)[0])
         done = storage.glob(self.spark, f"{self.path}/v=*/seg=*/_SUCCESS")
         segments = [d.rsplit("/", 1)[0] for d in done]
         if not segments:
@@ -347,6 +354,40 @@ class VersionedTable:
             storage.delete(self.spark, note["old"])
         storage.delete(self.spark, path)
 
+    def fold_segments(self, before: datetime) -> int:
+        """Make one segment of those finished before a time (UTC), and leave the later ones and whatever is being
+        appended alone; returns how many went into others. Not for batches that may still be repeated:
+        they are no longer apart. A fold is a noted swap like that of partitions."""
+        limit, folded = as_utc(before).timestamp(), 0
+        while True:
+            version, segments = self._committed()
+            if version is None:
+                return folded
+            old = [s for s in segments if storage.modified(self.spark, f"{s}/_SUCCESS") < limit]
+            # large ones stay as they are: a fold gathers small files
+            old = [s for s in old if storage.size(self.spark, s) < FOLD_BYTES][:SEGMENTS_AT_ONCE]
+            if len(old) < 2:
+                return folded
+            layout = self._layout(version)
+            pending = f"{version}/_pending-fold-{uuid.uuid4()}"
+            rows = self._files(layout.stored, version, old)
+            if not layout.folders:
+                stored = sum(storage.size(self.spark, s) for s in old)
+                rows = rows.coalesce(max(1, stored // FOLD_BYTES))
+            self._write(rows, pending, layout)
+            to = self._segment(version, f"folded-{uuid.uuid4()}")
+            note = {"pending": pending, "to": to, "old": old}
+            storage.write_text(self.spark, f"{version}/{_FOLD}", json.dumps(note))
+            self._finish_fold(version)
+            folded += len(old) - 1
+
+    def _finish_fold(self, version: str) -> None:
+        path = f"{version}/{_FOLD}"
+        note = json.loads(storage.read_text(self.spark, path))
+        storage.delete_all(self.spark, note["old"])
+        storage.move(self.spark, note["pending"], note["to"])
+        storage.delete(self.spark, path)
+
     def compact(self) -> None:
         """Rewrite the current version as one segment. Not while a run may still be repeated: its
         batch is no longer apart then."""

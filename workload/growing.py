@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import utc_wall_clock
+from tidemark.functions.times import utc_now, utc_wall_clock
 from tidemark.model import Rule, WatermarkState
-from tidemark.operators import graphs
+from tidemark.operators import graphs, reports
 from tidemark.operators.summary import Measure
+from tidemark.plans import lineage
+from tidemark.plans.layers import rollup
 from tidemark.plans.load import write_table
 from tidemark.plans.runner import LoadOptions, run_incremental
 from tidemark.plans.summaries import Summary, step_profiles
 from tidemark.scratch import Scratch
 from tidemark.sources import storage
+from tidemark.sources.tables import VersionedTable
 from tidemark.streaming import windows
 from workload import data, oracle
 from workload.data import table
@@ -270,3 +274,92 @@ def _streamed(spark: SparkSession, result: DataFrame) -> DataFrame:
     found = windows.append_available(spark, result, f"{root}/result", f"{root}/checkpoint").read()
     times = {f.name: utc_wall_clock(F.col(f.name)) for f in found.schema.fields if f.dataType.simpleString() == "timestamp"}
     return found.withColumns(times) if times else found
+
+
+@query(
+    """WITH e AS (SELECT event_id, ts FROM events WHERE event_type <> 'error'), cut AS (SELECT TIMESTAMP '2024-01-15' AS t),
+        last AS (SELECT TIMESTAMP '2024-02-01' AS t)
+        SELECT 'gold-1' AS run_id, 0 AS steps, 'gold' AS pipeline_id,
+          (SELECT count(DISTINCT event_type) FROM events WHERE ts <= (SELECT t FROM last) AND event_type <> 'error') AS n_rows, NULL AS file
+        UNION ALL SELECT 'silver-1', 1, 'silver', count(*), NULL FROM e WHERE ts <= (SELECT t FROM cut)
+        UNION ALL SELECT 'silver-2', 1, 'silver', count(*), NULL FROM e WHERE ts > (SELECT t FROM cut) AND ts <= (SELECT t FROM last)
+        UNION ALL SELECT 'bronze-1', 2, 'events', count(*), 'events.parquet' FROM events WHERE ts <= (SELECT t FROM cut)
+        UNION ALL SELECT 'bronze-2', 2, 'events', count(*), 'events.parquet' FROM events
+          WHERE ts > (SELECT t FROM cut) AND ts <= (SELECT t FROM last)"""
+)
+def trace_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From one group of a summary back through three layers to the file."""
+    store, _ = _store(spark, sf_dir, "append", {}, [])
+    pipeline, entry = store.read("pipeline_config").first().asDict(), store.read("table_config").filter("layer = 'bronze'").first().asDict()
+    for below, layer, above in (("bronze", "silver", "events"), ("silver", "gold", "silver")):
+        source = {**entry, "pipeline_id": layer, "table_id": f"{layer}-src", "layer": below, "storage_path": f"{store.root}/{below}/events"}
+        target = {**source, "table_id": f"{layer}-tgt", "layer": layer, "storage_path": f"{store.root}/{layer}/events"}
+        target["write_mode"] = "overwrite" if layer == "gold" else "append"
+        store.append("table_config", [source, target], layer)
+        store.append("pipeline_config", [{**pipeline, "pipeline_id": layer}], layer)
+    store.put_watermark(WatermarkState("w2", "silver", "silver-tgt", "ts"), datetime(2024, 1, 1))
+    known = LoadOptions(transform=lambda df: df.filter("event_type <> 'error'"))
+    by_type = LoadOptions(transform=rollup(["event_type"], {"n": "count(*)"}), track_new=False)
+    for n, now in ((1, datetime(2024, 1, 15)), (2, datetime(2024, 2, 1))):
+        run_incremental(spark, store, "events", now=now, run_id=f"bronze-{n}")
+        run_incremental(spark, store, "silver", now=now, run_id=f"silver-{n}", options=known)
+    run_incremental(spark, store, "gold", now=now, run_id="gold-1", watermark_col="ts", options=by_type)
+    group = VersionedTable(spark, f"{store.root}/gold/events").read().filter("event_type = 'click'")
+    found = lineage.trace_lineage(store, group)
+    file = F.regexp_extract(F.get("files", F.lit(0)), "([^/]*[.]parquet)(/[^/]*)?$", 1)
+    return found.select("run_id", "steps", "pipeline_id", "n_rows", file.alias("file"))
+
+
+@query(
+    """SELECT o_custkey::VARCHAR AS pipeline_id, count(*) AS n_runs, max(o_orderdate) AS last_start FROM orders GROUP BY 1"""
+)
+def folded_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audit table that took the runs in twelve loads, folded after the tenth beside the last two."""
+    runs = data.runs(spark, sf_dir)
+    audit = VersionedTable(spark, f"{Scratch(spark).path}/runs")
+    for month in range(1, 13):
+        audit.append(runs.filter(F.month("execution_start") == month), f"month-{month}", counted=False)
+        if month == 10:
+            time.sleep(0.1)
+            assert audit.fold_segments(utc_now()) == 9
+    assert audit.segment_count == 3
+    return audit.read().groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_runs"), F.max("execution_start").alias("last_start"))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, 'run-1' AS batch_id FROM events WHERE ts <= TIMESTAMP '2024-02-01' AND event_type IN ('view', 'click')")
+def inactive_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two pipelines that share the events by type one is switched off: it neither loads nor leaves a trace."""
+    store, target = _store(spark, sf_dir, "append", {}, [])
+    more = [{**r.asDict(), "pipeline_id": "rest", "table_id": f"{r.table_id}-rest"} for r in store.read("table_config").collect()]
+    store.append("table_config", more, "rest")
+    pipeline = store.read("pipeline_config").first().asDict()
+    store.append("pipeline_config", [{**pipeline, "pipeline_id": "rest", "is_active": False}], "rest")
+    seen = F.col("event_type").isin("view", "click")
+    for run_id, pipeline_id, mine in (("run-1", "events", seen), ("run-2", "rest", ~seen)):
+        options = LoadOptions(transform=lambda df, mine=mine: df.filter(mine))
+        run_incremental(spark, store, pipeline_id, now=datetime(2024, 2, 1), run_id=run_id, options=options)
+    runs = store.read("audit_pipeline_execution").select("run_id").distinct()
+    return target.read().join(runs.withColumnRenamed("run_id", "batch_id"), "batch_id").select(*EVENT)
+
+
+@query(
+    """WITH e AS (SELECT count(*) AS n, max(ts) AS t FROM events WHERE ts <= TIMESTAMP '2024-02-01')
+        SELECT 'run-1' AS run_id, 'SUCCESS' AS status, n AS records_read, n AS records_written, t AS watermark_end FROM e
+        UNION ALL SELECT 'run-2', 'SUCCESS', 0, 0, t FROM e"""
+)
+def empty_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run finds nothing new: it succeeds, writes nothing and keeps the watermark."""
+    store, _ = _store(spark, sf_dir, "append", {}, EVENT_RULES[:1])
+    for run_id in ("run-1", "run-2"):
+        run_incremental(spark, store, "events", now=datetime(2024, 2, 1), run_id=run_id)
+    runs = reports.latest_runs(store.read("audit_pipeline_execution"))
+    end = utc_wall_clock(F.col("watermark_end")).alias("watermark_end")
+    return runs.select("run_id", "status", "records_read", "records_written", end)
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, 'run-1' AS batch_id FROM events WHERE ts <= TIMESTAMP '2024-02-01'")
+def no_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without rules all rows are clean."""
+    store, target = _store(spark, sf_dir, "append", {}, [])
+    run_incremental(spark, store, "events", now=datetime(2024, 2, 1), run_id="run-1")
+    return target.read().select(*EVENT)
