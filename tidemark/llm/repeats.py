@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,9 @@ from tidemark.scratch import Scratch
 
 FEW_SEGMENTS = 2_000  # different segments of an anchor that are put in suffix order together
 FILTER_KEYS = 1 << 20  # 64-bit hashes that are broadcast to keep texts out of a shuffle, 16 MB
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _ROWS = 20_000  # window rows of a batch
-_BLOCK = 2 << 20
+_BLOCK = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 NO_ID = -(1 << 63)
 
@@ -83,8 +83,8 @@ def segments(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarr
     return of[first], h[place[first]].view(np.int64), first, last
 
 
-def _scan(docs: DataFrame, length: int) -> DataFrame:
-    """Per row: place key (doc_id), text key (SHA-256), size, and its segments as arrays."""
+def _scan(docs: DataFrame, length: int, form: Callable[[bytes | None], bytes]) -> DataFrame:
+    """Per row: place key (doc_id), text key (SHA-256), size, and its segments as arrays, of the text's form."""
     kinds = {"anchor": pa.int64(), "same": pa.int64(), "first": pa.int32(), "last": pa.int32()}
     fields = [("at", pa.int64()), ("key", pa.binary()), ("size", pa.int64())]
     fields += [(name, pa.list_(kind)) for name, kind in kinds.items()]
@@ -124,7 +124,7 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or b"" for t in batch.column(1).to_pylist()]
+            ids, texts = batch.column(0).to_pylist(), [form(t.as_py()) for t in batch.column(1)]
             at = 0
             while at < len(texts):
                 end, size = at, 0
@@ -190,18 +190,23 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
     return left.join(right.hint("merge"), on, how)
 
 
-def _once(texts: DataFrame) -> DataFrame:
-    """at, key and text; rows that repeat all of it within a task go only once, so that none is hot."""
+def _plain(text: bytes | None) -> bytes:
+    return text or b""
+
+
+def _once(texts: DataFrame, form: Callable[[bytes | None], bytes] = _plain) -> DataFrame:
+    """at, key and the text's form; rows that repeat all of it within a task go only once, so that none is hot."""
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            keys = [hashlib.sha256(t or b"").digest() for t in batch.column(1).to_pylist()]
+            shown = [form(t.as_py()) for t in batch.column(1)]
+            keys = [hashlib.sha256(t).digest() for t in shown]
             new = []
             for pair in zip(batch.column(0).to_pylist(), keys):
                 new.append(pair not in seen)
                 seen.add(pair)
-            some = pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1)], names=["at", "key", "text"])
+            some = pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(shown, pa.binary())], names=["at", "key", "text"])
             yield some.filter(pa.array(new, pa.bool_()))
 
     return texts.mapInArrow(once, "at long, key binary, text binary")
@@ -216,7 +221,7 @@ def _among(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.withColumn("h", F.xxhash64("at", "key")).join(F.broadcast(hashes), "h", "left_semi").drop("h")
 
 
-def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _fetch(texts: DataFrame, wanted: DataFrame, length: int, form: Callable[[bytes | None], bytes]) -> DataFrame:
     """Texts of wanted segments (owner, at, key, list of anchor, first, last)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +235,7 @@ def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     [pa.array(v, t) for v, t in zip(some, [pa.int64()] * 4 + [pa.binary()])],
                     names=["anchor", "owner", "at", "first", "bytes"])
 
-    joined = _join(_among(_once(texts), wanted), wanted, ["at", "key"])
+    joined = _join(_among(_once(texts, form), wanted), wanted, ["at", "key"])
     return joined.select("text", "owner", "at", "parts").mapInArrow(cut, _FETCHED)
 
 
@@ -341,10 +346,12 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, length: int = 400, keep_first: bool = True, scratch: Scratch | None = None, step: int = 1
-) -> tuple[DataFrame, DataFrame]:
+    docs: DataFrame, length: int = 400, keep_first: bool = True, scratch: Scratch | None = None, step: int = 1,
+    form: Callable[[bytes | None], bytes] = _plain,
+) -> tuple[DataFrame, DataFrame]:
     """Bytes of ``docs`` (doc_id, text) covered by a string of ``length`` bytes that repeats. Where a string
-    matters only at multiples of ``step`` bytes, others may be left out.
+    matters only at multiples of ``step`` bytes, others may be left out. ``form`` makes of a text the bytes
+    that are looked at.
 
     Returns two tables. Different texts with something to remove: ``at`` (their smallest doc_id, null as
     NO_ID), ``key`` (SHA-256), ``copies``, ``spans`` (maximal runs of bytes, begin and end). And all
@@ -357,7 +364,7 @@ def repeated_spans(
     _anchor_bytes(length)  # refuses windows that are too short
     scratch = scratch or Scratch(docs.sparkSession)
     texts = _texts(docs)
-    rows = scratch.table(_scan(texts, length))
+    rows = scratch.table(_scan(texts, length, form))
     lists = ["anchor", "same", "first", "last"]
     owners = scratch.table(
         rows.filter(F.col("size") >= length).groupBy("key")
@@ -385,7 +392,7 @@ def repeated_spans(
 
     def fetched(some: DataFrame) -> DataFrame:
         listed = some.groupBy("owner").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("parts"))
-        return _fetch(texts, scratch.table(_join(listed, owners.select("owner", "at", "key"), ["owner"])), length)
+        return _fetch(texts, scratch.table(_join(listed, owners.select("owner", "at", "key"), ["owner"])), length, form)
 
     if most:
         few = fetched(compared.filter(F.col("kinds") <= FEW_SEGMENTS))
@@ -503,18 +510,6 @@ def _codes(text: bytes | None) -> bytes:
     return np.array([digest(w) for w in (text or b"").split()], dtype="<u4").tobytes()
 
 
-def _coded(docs: DataFrame) -> DataFrame:
-    """doc_id and ``text`` as codes of the words."""
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = [_codes(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "text"])
-
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return texts.mapInArrow(code, "doc_id long, text binary")
-
-
 _WORD = re.compile(rb"\S+")
 
 
@@ -537,7 +532,7 @@ def remove_repeated_words(docs: DataFrame, words: int = 51, least_left: int = 1,
     whatever white space is between them."""
     scratch = scratch or Scratch(docs.sparkSession)
     length = words * CODE
-    found, judged = repeated_spans(_coded(docs), length, True, scratch, CODE)
+    found, judged = repeated_spans(docs, length, True, scratch, CODE, _codes)
     gone = judged.filter("copy").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), "key")
     everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.lit(-1).cast("long").alias("end")))
     changed = scratch.table(
