@@ -35,7 +35,7 @@ class Encoder:
     memory and cannot change a result. Words over 64 bytes are not remembered.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._remembered = remembered
