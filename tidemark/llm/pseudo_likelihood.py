@@ -113,9 +113,9 @@ class WindowNetwork:
         d_first /= len(targets)
         d_second /= len(targets)
         d_sum = (d_first @ self.first.T + d_second @ self.second.T) * (1 - h * h)
-        each = [(k * (NOTHING + 1) + at, g) for k, (at, g) in enumerate(_row_sums(c, d_sum) for c in context)]
-        embedded = tuple(np.concatenate(x) for x in zip(*each))
-        return [embedded, (None, h.T @ d_first), (None, h.T @ d_second), (None, d_first.sum(axis=0)), _row_sums(a, d_second)]
+        # one sort over all offsets, whose tables lie one after another
+        at = (context + (np.arange(len(context)) * (NOTHING + 1))[:, None]).ravel()
+        return [_row_sums(at, d_sum), (None, h.T @ d_first), (None, h.T @ d_second), (None, d_first.sum(axis=0)), _row_sums(a, d_second)]
 
     def gradients(self, targets: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
         """As ``touched_gradients``, of all rows."""
@@ -130,20 +130,25 @@ class WindowNetwork:
 
 
 def _row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different places, and for each the sum of its rows of ``values``."""
-    order = np.argsort(at, kind="stable")
-    places, begins = np.unique(at[order], return_index=True)
-    return places, np.add.reduceat(values[order], begins, axis=0)
+    """Different places, and for each the sum of its rows of ``values``, which are used again from the first
+    where there are more places than rows. Places are below 65,536: their sort is by digits."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    at = at[order]
+    begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
+    return at[begins], np.add.reduceat(values[order % len(values)], begins, axis=0)
 
 
 def _log_softmax(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1, keepdims=True)
-    return x[np.arange(len(x)), chosen] - top[:, 0] - np.log(np.exp(x - top).sum(axis=1))
+    x = x - x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(x)), chosen]
+    return found - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = x - x.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    e /= e.sum(axis=1, keepdims=True)
+    return e
 
 
 def contexts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
