@@ -54,7 +54,7 @@ def test_merge_lists_only_changed_partitions(spark, tmp_path, scratch):
     table.overwrite(spark.createDataFrame(rows, "k int, day string, v double"), "b1", ["day"])
     source = spark.createDataFrame([(0, "d0", 2.0), (61, "d1", 2.0)], "k int, day string, v double")
     located = upsert.located_keys(table.read(), source, ["k"], ["day"], None, scratch)
-    assert [tuple(r) for r in located.collect()] == [(0, "d0", 1, 0)]
+    assert [tuple(r) for r in located.collect()] == [(0, "d0", 1, 0, 1)]
     touched = located.select("day").union(source.select("day")).distinct().withColumn(upsert._SEEN, F.lit(1))
     touched = scratch.table(touched)
     near = upsert.in_partitions(table.read(), touched, ["day"])

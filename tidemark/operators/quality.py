@@ -39,12 +39,13 @@ def fails(rule: Rule) -> Column:
 
 
 def mark_repeated(
-    df: DataFrame, keys: list[str], into: str, scratch: Scratch, alive: Column | None = None
+    df: DataFrame, keys: list[str], into: str, scratch: Scratch, alive: Column | None = None, *, write_many: bool = True
 ) -> DataFrame:
     """Add boolean ``into``: the row is alive and shares its key with another alive row.
 
     The repeated keys are computed first, from the key columns alone, and written down. None: no join
-    at all. Few: a broadcast join, the rows do not move. Many: a shuffle join beside the hot keys.
+    at all. Few: a broadcast join, the rows do not move. Many: a shuffle join beside the hot keys, whose
+    result is written down, unless the caller does that.
     """
     alive = F.lit(True) if alive is None else alive
     keyed = scratch.table(repeated_keys(df.filter(alive), keys))
@@ -58,16 +59,18 @@ def mark_repeated(
         top = keyed.filter(F.col("n") >= hot_rows(df.sparkSession)).orderBy(F.desc("n"))
         hot = [r[0] for r in top.limit(MAX_HOT_KEYS).select(F.xxhash64(*keys)).collect()]
         joined = lookup_join(df, lookup, keys, hot=hot, null_safe=True)
-        # written once, because clean rows, quarantined rows and counts all read it
-        joined = scratch.table(joined)
+        if write_many:  # once, because clean rows, quarantined rows and counts all read it
+            joined = scratch.table(joined)
     return joined.withColumn(into, alive & F.col(_MARK).isNotNull()).drop(_MARK)
 
 
 def tag_violations(
-    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, *, write: bool = False
 ) -> DataFrame:
     """Add ``failed_rule`` (first failed QUARANTINE rule or null) and ``warned_rules`` (WARN and
-    FAIL_PIPELINE rules that a row violates while no earlier QUARANTINE rule has removed it)."""
+    FAIL_PIPELINE rules that a row violates while no earlier QUARANTINE rule has removed it). With ``write``
+    the tagged rows are written down if tagging them takes a join, so that it is made once for all who
+    read them; rows without a failed rule lie apart."""
     if len({r.rule_id for r in rules}) < len(rules):
         raise ConfigError("rule ids repeat")
     scratch = scratch or Scratch(df.sparkSession)
@@ -86,7 +89,7 @@ def tag_violations(
             tagged = settle(tagged)
             mark = f"__mark_{i}"
             marks.append(mark)
-            tagged = mark_repeated(tagged, rule.columns, mark, scratch, F.col(_AT).isNull())
+            tagged = mark_repeated(tagged, rule.columns, mark, scratch, F.col(_AT).isNull(), write_many=not write)
             failed = F.col(mark)
         else:
             failed = fails(rule)
@@ -102,7 +105,8 @@ def tag_violations(
     warned_col = F.array_compact(F.array(*warned)) if warned else F.array().cast("array<string>")
     # get(), not element_at(): with a literal array, element_at() returns a value for a null index
     failed_rule = F.get(ids, F.col(_AT))
-    return tagged.withColumns({FAILED_RULE: failed_rule, WARNED: warned_col}).drop(_AT, *marks)
+    tagged = tagged.withColumns({FAILED_RULE: failed_rule, WARNED: warned_col}).drop(_AT, *marks)
+    return scratch.table(tagged, [FAILED_RULE]) if write and marks else tagged
 
 
 def clean_rows(tagged: DataFrame) -> DataFrame:

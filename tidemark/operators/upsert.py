@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.keys import dedup_latest, repeated_keys
 from tidemark.operators.skew import fits_broadcast, lookup_join
-from tidemark.scratch import Scratch, measure
+from tidemark.scratch import Scratch, bytes_of, measure
 from tidemark.sources.tables import VersionedTable, align
 
 _NEW = "__new"
@@ -64,20 +64,19 @@ def _not_older(new: Column, old: Column) -> Column:
 
 
 _BEFORE = "__before"
+_TIMES = "__times"
 
 
 def located_keys(
     target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], newer_than: str | None, scratch: Scratch
 ) -> DataFrame:
     """One written row per key that occurs on both sides and partition that holds it: the ``parts``, how
-    many target rows it has there (``n``), and how many of these are newer than the source's (``newer``).
+    many target rows it has there (``n``), how many of these are newer than the source's (``newer``), and how
+    many source rows (``times``).
     Of the target only these columns are read, once; a small source is broadcast so that it does not
     move, otherwise it is grouped before it meets the source's keys."""
-    wanted = source.filter(_has_keys(keys))
-    if newer_than:
-        wanted = wanted.groupBy(*keys).agg(F.max(newer_than).alias(_NEW))
-    else:
-        wanted = wanted.select(*keys).distinct().withColumn(_NEW, F.lit(0))
+    latest = F.max(newer_than) if newer_than else F.lit(0)
+    wanted = source.filter(_has_keys(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_TIMES), latest.alias(_NEW))
     wanted = scratch.table(wanted)
     places = [*keys, *(p for p in parts if p not in keys)]
     old = F.col(newer_than) if newer_than else F.lit(0)
@@ -88,26 +87,24 @@ def located_keys(
     else:
         met = held.groupBy(*places, _SEEN).agg(F.count(F.lit(1)).alias("n")).join(wanted, keys)
     newer = F.when(~_not_older(F.col(_NEW), F.col(_SEEN)), F.col("n")).otherwise(0)
-    return scratch.table(met.groupBy(*places).agg(F.sum("n").alias("n"), F.sum(newer).alias("newer")))
+    counts = [F.sum("n").alias("n"), F.sum(newer).alias("newer"), F.max(_TIMES).alias("times")]
+    return scratch.table(met.groupBy(*places).agg(*counts))
 
 
 def located_rows(
     target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], columns: list[str], newer_than: str | None, scratch: Scratch
 ) -> tuple[DataFrame, DataFrame]:
     """As ``located_keys``, and the target rows themselves with their keys, written in the same pass."""
-    wanted = scratch.table(source.select(*keys).filter(_has_keys(keys)).distinct())
+    latest = F.max(newer_than) if newer_than else F.lit(0)
+    wanted = source.filter(_has_keys(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_TIMES), latest.alias(_NEW))
+    wanted = scratch.table(wanted)
     places = [*keys, *(p for p in parts if p not in keys)]
     held = target.select(*places, F.struct(*columns).alias(_BEFORE))
-    rows = scratch.table(lookup_join(held, wanted, keys, "left_semi", size=measure(wanted)))
-    newer = F.lit(0)
-    if newer_than:
-        latest = source.filter(_has_keys(keys)).groupBy(*keys).agg(F.max(newer_than).alias(_NEW))
-        old = F.col(f"{_BEFORE}.{newer_than}")
-        located, newer = rows.join(latest, keys), F.when(~_not_older(F.col(_NEW), old), 1).otherwise(0)
-    else:
-        located = rows
-    counted = located.groupBy(*places).agg(F.count(F.lit(1)).alias("n"), F.sum(newer).cast("long").alias("newer"))
-    return scratch.table(counted), rows
+    rows = scratch.table(lookup_join(held, wanted, keys, "inner", size=measure(wanted)))
+    old = F.col(f"{_BEFORE}.{newer_than}") if newer_than else F.lit(0)
+    newer = F.when(~_not_older(F.col(_NEW), old), 1).otherwise(0)
+    counts = [F.count(F.lit(1)).alias("n"), F.sum(newer).cast("long").alias("newer"), F.max(_TIMES).alias("times")]
+    return scratch.table(rows.groupBy(*places).agg(*counts)), rows.select(*places, _BEFORE)
 
 
 def change_rows(
@@ -199,12 +196,13 @@ def _merge_parts(
     latest_by: list[str] | None = None,
     newer_than: str | None = None,
     null_keys: str = "insert",
+    size: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame, bool]:
     """Target rows after the update, rows to add, and whether the target rows stayed in place."""
     source = align(source, target.schema)
     if null_keys == "reject" and source.filter(~_has_keys(keys)).take(1):
         raise ValueError(f"merge source has null values in the keys {keys}")
-    size = measure(matched)
+    size = size or measure(matched)
     source = _one_row_per_key(source, matched, keys, on_duplicate, latest_by)
     if size[0] == 0:
         return target, source, True
@@ -291,8 +289,13 @@ def merge_into(
         located, images = located_rows(target, source, keys, folders, layout.schema.names, newer_than, scratch)
     else:
         located = located_keys(target, source, keys, folders, newer_than, scratch)
-    met, newer = located.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("newer"), F.lit(0))).first()
+    found = [F.sum("n"), F.sum("newer"), F.max("times"), F.count(F.lit(1)), F.sum(bytes_of(located.select(*keys)))]
+    met, newer, times, *size = (x or 0 for x in located.agg(*found).first())
     matched = located.select(*keys).distinct()
+    on_duplicate = options.get("on_duplicate", "matched")
+    if on_duplicate == "matched" and times < 2:
+        on_duplicate = "trust"  # no key that the target holds is repeated
+    options |= {"on_duplicate": on_duplicate, "size": tuple(size)}
     if folders and not follows:
         losing = located.select(*folders).distinct().withColumn(_SEEN, F.lit(1))
         touched = scratch.table(touched.union(losing).distinct())

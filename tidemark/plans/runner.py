@@ -98,7 +98,7 @@ def check_batch(
     rows: DataFrame, rules: Sequence[Rule], scratch: Scratch, watermark_col: str | None
 ) -> Batch:
     """Tag staged rows and take every count of the run in one aggregate."""
-    tagged = tag_violations(rows, rules, scratch)
+    tagged = tag_violations(rows, rules, scratch, write=True)
     ok = F.col(FAILED_RULE).isNull()
     aggs = [F.count(F.lit(1)).alias("read"), F.count_if(ok).alias("clean")]
     aggs += [failure_count(r).alias(f"rule_{i}") for i, r in enumerate(rules)]
@@ -178,7 +178,7 @@ def load_batch(clean: DataFrame, target: Table, segment: str, scratch: Scratch,
         partition_cols=list(target.partition_cols),
         **merge,
     )
-    stored = table.written
+    stored = getattr(table, "written", None) or Written()
     if merge and existed and options.on_duplicate == "latest":
         keyed = clean.select(*keys).dropna()
         later = keyed.count() - keyed.distinct().count()

@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,18 +39,20 @@ class Scratch:
         self._n = 0
         storage.make_temporary(spark, self.path)
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def table(self, df: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
+        """``df``, written down; rows of other values in ``partition_cols`` (few) need not be read together."""
         self._n += 1
         path = f"{self.path}/{self._n}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        writer = df.write.partitionBy(*partition_cols) if partition_cols else df.write
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
     def drop(self) -> None:
         storage.delete(self.spark, self.path)
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Exact row count and an upper estimate of the in-memory bytes, in one pass."""
+def bytes_of(df: DataFrame) -> Column:
+    """Upper estimate of the in-memory bytes of a row."""
     size = F.lit(16)
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -60,7 +62,12 @@ def measure(df: DataFrame) -> tuple[int, int]:
             size += F.coalesce(F.octet_length(text), F.lit(0)) * 2 + 32
         else:
             size += 16
-    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return size.cast("long")
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Exact row count and an upper estimate of the in-memory bytes, in one pass."""
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_of(df)), F.lit(0))).first()
     return row[0], row[1]
 
 
