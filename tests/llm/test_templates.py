@@ -62,3 +62,17 @@ def test_recurring_subtrees_go_copies_do_not_count(spark):
     assert got[301] == "article 1\n\na passage that many articles of this host quote"
     assert got[400] == got[401] == "" and got[402] == "x"
     assert templates.extract(pages.limit(0)).collect() == []
+
+
+def test_names_inside_the_article_have_to_be_whole_words():
+    inner = '<p class="share-price">It rose.</p><section id="related-work"><p>Others did.</p></section>'
+    page = f'<article><div class="notice-period">Three months.</div>{inner}<div class="share">Tweet</div></article>'
+    assert Page(page).text() == "Three months.\n\nIt rose.\n\nOthers did."
+    assert Page('<body><div class="share-buttons">Tweet</div><p>Text.</p></body>').text() == "Text."
+
+
+def test_short_articles_beside_the_main_one_are_cards():
+    page = "<article><h2>Card</h2></article><main><article><p>The whole story.</p></article></main><article>Another</article>"
+    assert Page(page).text() == "The whole story."
+    nested = "<article><p>A story.</p><article>quoted inside</article></article>"
+    assert Page(nested).text() == "A story.\n\nquoted inside"

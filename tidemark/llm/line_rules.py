@@ -107,7 +107,7 @@ def apply_rules(
     A line goes when more than ``more_than_docs`` different texts of its host hold it and these are
     more than the share ``more_than_share`` of the host's texts. ``base_failed``: under 10 words, or
     over 20 % of the words in repeated windows. ``depleted``: less than ``least_left`` of the words
-    are left. ``kept``: neither. Null text is empty (base_failed), a null host is a host of its own;
+    are left. ``kept``: neither. Null text is empty (base_failed), a null host counts as the empty one;
     repeated rows each give their own row; other columns are dropped.
     """
     scratch = scratch or Scratch(docs.sparkSession)

@@ -168,10 +168,10 @@ def fit(
 
 def grade(docs: DataFrame, model: SeverityModel) -> DataFrame:
     """``docs`` with p_toxic (P(grade > 0)) and expected_severity (0 to 3) added; null text is empty and has
-    no features. Columns of these names are replaced."""
-    rest = [c for c in docs.columns if c not in ("p_toxic", "expected_severity")]
-    source = docs.select(*rest)
-    text = rest.index("text")
+    no features. Columns of these names, in any case, are replaced."""
+    rest = [c for c in docs.columns if c.lower() not in ("p_toxic", "expected_severity")]
+    source = docs.select(*[F.col(f"`{c}`") for c in rest])
+    text = [c.lower() for c in rest].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

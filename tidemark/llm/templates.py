@@ -74,8 +74,10 @@ def _named_out(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "role" and value in _ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "main", "article") and _NAMES.search(value):
-            return True
+        if name in ("class", "id") and tag not in ("body", "html", "main", "article"):
+            # within the article a name has to be the whole word: a share price is no share button
+            if any(map(_NAMES.fullmatch, value.split())) if inside else _NAMES.search(value):
+                return True
         if name in ("class", "id") and tag == "article" and "comment" in value:
             return True
     return False
@@ -169,10 +171,13 @@ class Page:
             self.pieces.append(_BREAK)
 
     def text(self) -> str:
-        """Blocks of the articles, or of what is left of the page if it marks none."""
+        """Blocks of the article, or of what is left of the page if it marks none. Of several articles those of
+        less than half the text of the longest are cards of other pages, and left out."""
         pieces = self.pieces
         if self.articles:
-            pieces = [x for a, b in self.articles for x in (_BREAK, *self.pieces[a:b])]
+            sizes = [sum(len(x) for x in pieces[a:b] if x is not _BREAK) for a, b in self.articles]
+            long = [r for r, n in zip(self.articles, sizes) if 2 * n >= max(sizes)]
+            pieces = [x for a, b in long for x in (_BREAK, *self.pieces[a:b])]
         blocks, words = [], []
         for piece in [*pieces, _BREAK]:
             if piece is not _BREAK:
