@@ -221,8 +221,11 @@ def _among(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.withColumn("h", F.xxhash64("at", "key")).join(F.broadcast(hashes), "h", "left_semi").drop("h")
 
 
-def _fetch(texts: DataFrame, wanted: DataFrame, length: int, form: Callable[[bytes | None], bytes]) -> DataFrame:
-    """Texts of wanted segments (owner, at, key, list of anchor, first, last)."""
+def _fetch(
+    texts: DataFrame, wanted: DataFrame, length: int, form: Callable[[bytes | None], bytes], then=None, schema: str = _FETCHED
+) -> DataFrame:
+    """Texts of wanted segments (owner, at, key, list of anchor, first, last), or what ``then`` makes of them: in
+    one function, for a second one would keep as many Python workers again."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +239,8 @@ def _fetch(texts: DataFrame, wanted: DataFrame, length: int, form: Callable[[byt
                     names=["anchor", "owner", "at", "first", "bytes"])
 
     joined = _join(_among(_once(texts, form), wanted), wanted, ["at", "key"])
-    return joined.select("text", "owner", "at", "parts").mapInArrow(cut, _FETCHED)
+    run = (lambda batches: then(cut(batches))) if then else cut
+    return joined.select("text", "owner", "at", "parts").mapInArrow(run, schema)
 
 
 def _ordered_spans(fetched: DataFrame, length: int, later_only: bool) -> DataFrame:
@@ -271,8 +275,11 @@ def _ordered_spans(fetched: DataFrame, length: int, later_only: bool) -> DataFra
     return by_anchor.mapInArrow(run, "owner long, begin long, end long")
 
 
-def _window_spans(fetched: DataFrame, length: int, later_only: bool, scratch: Scratch, step: int) -> DataFrame:
-    """Spans from single windows, grouped by a hash of their bytes."""
+_WINDOWS = "h1 long, h2 long, at long, owner long, first long, begin long"
+
+
+def _windows_of(length: int, step: int):
+    """Function that makes of batches of segments one row for each window, in small batches."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,6 +298,12 @@ def _window_spans(fetched: DataFrame, length: int, later_only: bool, scratch: Sc
                         names=["h1", "h2", "at", "owner", "first", "begin"],
                     )
 
+    return windows
+
+
+def _window_spans(windows: DataFrame, length: int, later_only: bool, scratch: Scratch) -> DataFrame:
+    """Spans from single windows, grouped by a hash of their bytes."""
+
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [
@@ -300,9 +313,7 @@ def _window_spans(fetched: DataFrame, length: int, later_only: bool, scratch: Sc
             ]
             yield _triples(out)
 
-    found = scratch.table(
-        fetched.mapInArrow(windows, "h1 long, h2 long, at long, owner long, first long, begin long").distinct()
-    )
+    found = scratch.table(windows.distinct())
     place = F.struct("at", "owner", "begin")
     groups = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).filter("n > 1")
     hit = found.join(groups, ["h1", "h2"])
@@ -390,16 +401,16 @@ def repeated_spans(
     most = mixed.agg(F.max("kinds")).first()[0] or 0
     compared = _join(kinds, mixed, ["anchor"]).select("anchor", "kinds", "least.*")
 
-    def fetched(some: DataFrame) -> DataFrame:
+    def fetched(some: DataFrame, *made) -> DataFrame:
         listed = some.groupBy("owner").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("parts"))
-        return _fetch(texts, scratch.table(_join(listed, owners.select("owner", "at", "key"), ["owner"])), length, form)
+        return _fetch(texts, scratch.table(_join(listed, owners.select("owner", "at", "key"), ["owner"])), length, form, *made)
 
     if most:
         few = fetched(compared.filter(F.col("kinds") <= FEW_SEGMENTS))
         spans = spans.union(_ordered_spans(few, length, keep_first))
     if most > FEW_SEGMENTS:
-        many = fetched(compared.filter(F.col("kinds") > FEW_SEGMENTS))
-        spans = spans.union(_window_spans(many, length, keep_first, scratch, step))
+        many = fetched(compared.filter(F.col("kinds") > FEW_SEGMENTS), _windows_of(length, step), _WINDOWS)
+        spans = spans.union(_window_spans(many, length, keep_first, scratch))
     by_owner = spans.groupBy("owner").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     found = scratch.table(
         _join(by_owner, owners.select("owner", "at", "key", "copies"), ["owner"])
