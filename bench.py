@@ -57,7 +57,7 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
     names = list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # start the engine before the clock
     times = {}
