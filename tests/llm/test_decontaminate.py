@@ -28,8 +28,16 @@ def least_edits(pattern, text):
 
 
 def windows_of(text):
-    n, w, s = len(text), decontaminate.WINDOW, decontaminate.STRIDE
-    return [text[a : a + w] for a in ([0] if n <= w else sorted({*range(0, n - w, s), n - w}))] if n >= decontaminate.Q else []
+    n = len(text)
+    w = min(n, 128, max(36, n * 3 // 8))
+    return [text[a : a + w] for a in sorted({*range(0, n - w, max(w // 4, 1)), n - w})] if n >= decontaminate.Q else []
+
+
+def budget_of(window):
+    """Most edits, up to 7 %, at which the q-gram lemma asks for a quarter of the window's bytes; 0 if none."""
+    n = len(window)
+    allowed = [e for e in range(int(n * decontaminate.EDITS) + 1) if n + 1 - decontaminate.Q * (e + 1) >= n // 4]
+    return max(allowed, default=0)
 
 
 def brute(docs, items):
@@ -38,8 +46,7 @@ def brute(docs, items):
         for item_id, item in items:
             n = 0
             for w in windows_of(plain(item)):
-                budget = min(int(len(w) * decontaminate.EDITS), len(w) // decontaminate.Q - 1)
-                n += least_edits(w, plain(text)) <= budget
+                n += least_edits(w, plain(text)) <= budget_of(w)
             if n:
                 found.add((doc_id, item_id, n))
     return found
@@ -98,7 +105,7 @@ def test_bands_lose_no_alignment():
             k = rng.randrange(len(part))
             part[k : k + rng.choice([0, 1, 1, 2])] = rng.choice([b"", b"z", b"zz"])
         text = bytes(rng.choices(b"abcdefgh ", k=rng.randint(0, 200))) + bytes(part) + bytes(rng.choices(b"abcdefgh ", k=50))
-        n = sum(least_edits(w, text) <= min(int(len(w) * 0.07), len(w) // 12 - 1) for w in windows_of(item))
+        n = sum(least_edits(w, text) <= budget_of(w) for w in windows_of(item))
         assert sum(m[2] for m in found.matches([b"", text])) == n
 
 
@@ -110,3 +117,27 @@ def test_long_text_and_nothing(spark):
     assert decontaminate.contaminated(rows, benchmark.limit(0)).collect() == []
     assert decontaminate.contaminated(rows.limit(0), benchmark).collect() == []
     assert decontaminate.drop_contaminated(rows, benchmark.limit(0)).count() == 2
+
+
+def test_halves_are_found():
+    rng = random.Random(4)
+    words = lambda n: bytes(" ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(n)), "ascii")
+    items = [(i, words(rng.randint(17, 120))) for i in range(60)]
+    found = Windows(items)
+    for i, item in items:
+        for begin in (0, len(item) // 4, len(item) // 2):
+            text = words(40) + b" " + item[begin : begin + len(item) // 2] + b" " + words(40)
+            if len(item) >= 88:
+                assert [m[1] for m in found.matches([text])] == [i]
+        long = item[50 : 50 + 160]
+        if len(long) == 160:
+            assert [m[1] for m in found.matches([words(9) + long + words(9)])] == [i]
+    assert found.matches([words(3000)]) == []
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "x " * 5, "a", 1), (2, None, None, None)], "doc_id long, text string, Normalised string, windows long")
+    items = spark.createDataFrame([(1, "seven words of an item that is long enough to tell")], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.schema == docs.schema and kept.count() == 2
+    assert decontaminate.contaminated(docs, items).columns == ["doc_id", "item_id", "windows", "begin", "end", "edits"]

@@ -1,7 +1,9 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Texts are compared without case and punctuation. Benchmark items are cut into windows of 128 bytes that
-overlap by half (short items are one window), each with an edit budget of 7 %. If a document holds a
+Texts are compared without case and punctuation. Benchmark items are cut into windows of three eighths of
+the item, of 36 to 128 bytes, one every quarter of a window: each half of an item of 88 bytes or more, and each
+quote of 160 bytes, holds a whole window (items of up to 36 bytes are one window). A window has an edit budget
+of 7 %, or less where that would leave under a quarter of it to be shared. If a document holds a
 window within e edits, at least n + 1 - q(e + 1) of the window's n + 1 - q q-grams occur in the
 document on diagonals that differ by at most e. Shared q-grams are counted in diagonal bands that
 overlap by e, and only bands that meet the bound are aligned, within the band.
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import free_name
 
 Q = 12
-WINDOW, STRIDE = 128, 64
+LEAST, WINDOW = 36, 128  # bytes of a window
 EDITS = 0.07
 DIAGONALS = 16  # new diagonals of each band
 BLOCK_BYTES = 256 << 10  # of items that a pass over the documents looks for
@@ -41,20 +43,32 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def window_places(n: int) -> tuple[int, list[int]]:
+    """Size and starts of the windows of an item of ``n`` bytes."""
+    size = min(n, WINDOW, max(LEAST, 3 * n // 8))
+    return size, [*range(0, n - size, max(size // 4, 1)), n - size]
+
+
+def edit_budget(size: int | np.ndarray, edits: float = EDITS) -> np.ndarray:
+    """Edits at which a window of ``size`` bytes still shares a quarter of that many q-grams, if possible, and
+    at most the share ``edits`` of its bytes."""
+    kept = (size + 1 - size // 4) // Q - 1
+    return np.maximum(np.minimum(np.floor(size * edits).astype(np.int64), kept), 0)
+
+
 class Windows:
     """The windows of a block of items and an index of their q-grams."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], edits: float = EDITS):
         self.item, self.shift, self.text = [], [], []
         for item_id, text in items:
-            n = len(text)
-            starts = [0] if n <= WINDOW else [*range(0, n - WINDOW, STRIDE), n - WINDOW]
-            for a in starts if n >= Q else []:
+            size, starts = window_places(len(text))
+            for a in starts if size >= Q else []:
                 self.item.append(item_id)
                 self.shift.append(a)
-                self.text.append(text[a : a + WINDOW])
+                self.text.append(text[a : a + size])
         self.size = np.array([len(t) for t in self.text], dtype=np.int64)
-        self.budget = np.minimum((self.size * edits).astype(np.int64), self.size // Q - 1)
+        self.budget = edit_budget(self.size, edits)
         self.needed = self.size + 1 - Q * (self.budget + 1)
         grams = [_hashes(np.frombuffer(t, np.uint8)) for t in self.text]
         keys = np.concatenate([*grams, np.empty(0, np.uint64)])
