@@ -9,26 +9,32 @@ from tidemark.llm import pseudo_likelihood as pl
 DOCS = "doc_id long, text string, buckets string, n_words string, log_prob string"
 
 
-def network(seed=1):
+W = pl.LEAST
+IDS = W**4
+
+
+def network(seed=1, scale=0.5, w=W):
     rng = np.random.default_rng(seed)
-    counts = rng.integers(0, 50, pl.BUCKETS)
+    counts = rng.integers(0, 50, pl.BUCKETS_PER_ID * w**4)
     start = pl.WindowNetwork.start(counts, seed)
-    return start.with_flat(rng.normal(0, 0.5, len(start.flat())))
+    return start.with_flat(rng.normal(0, scale, len(start.flat())))
 
 
-def plain_score(net, buckets):
-    """Log probability of each word from the definition, with explicit loops."""
-    ids = [int(net.ids[b]) for b in buckets]
+def plain_score(net, words):
+    """Log probability of each word's id from the definition, with explicit loops."""
+    ids = [int(net.ids[w % len(net.ids)]) for w in words]
     out = []
     for t, target in enumerate(ids):
         total = np.zeros(pl.WIDTH)
         for k, offset in enumerate(pl.OFFSETS):
-            near = ids[t + offset] if 0 <= t + offset < len(ids) else pl.NOTHING
+            near = ids[t + offset] if 0 <= t + offset < len(ids) else IDS
             total += net.embeddings[k][near]
-        h = np.tanh(total)
-        a, b = divmod(target, pl.DIGIT)
-        x, y = h @ net.first + net.first_bias, h @ net.second + net.second_bias[a]
-        out.append(x[a] - np.log(np.exp(x).sum()) + y[b] - np.log(np.exp(y).sum()))
+        x = np.tanh(total) @ net.weights
+        rest, c = divmod(target, W)
+        a, b = divmod(rest, W)
+        for values, bias, digit in ((x[: W * W], net.first, a), (x[W * W : -W], net.second[a], b), (x[-W:], net.third[rest], c)):
+            y = values + bias
+            out.append(y[digit] - y.max() - np.log(np.exp(y - y.max()).sum()))
     return sum(out)
 
 
@@ -39,30 +45,47 @@ def frame(spark, texts):
 def test_scores_equal_the_definition(spark):
     rng = random.Random(3)
     texts = [" ".join(f"W{rng.randrange(900)}" for _ in range(rng.randint(0, 40))) for _ in range(30)]
-    texts += [None, "", " \n", "one", "a b", texts[4], texts[4], "long " * 40_000]
-    docs = frame(spark, texts)
-    net = network()
-    buckets = pl.word_buckets(docs)
-    got = sorted(pl.score(buckets, net).collect(), key=lambda r: (r.n_words, r.log_prob))
-    expected = sorted((len(b), float(plain_score(net, b))) for b in (r.buckets for r in buckets.collect()))
-    assert len(got) == len(texts)
-    for r, (n, log_prob) in zip(got, expected):
-        assert r.n_words == n and abs(r.log_prob - log_prob) < 1e-3 * max(1, abs(log_prob))
-        assert r.mean_log_prob is None if n == 0 else abs(r.mean_log_prob - r.log_prob / n) < 1e-9
+    texts += [None, "", " \n", "one", "a b", texts[4], texts[4], "long " * 20_000]
+    rows = pl.word_hashes(frame(spark, texts)).collect()
+    assert len(rows) == len(texts)
+    sizes = np.array([len(r.words) for r in rows])
+    words = np.array([w for r in rows for w in r.words])
+    for net in (network(), network(scale=30)):  # exponentials of the second leave the range of floats
+        got = net.text_scores(net.ids_of(words), sizes)
+        for r, log_prob in zip(rows, got):
+            expected = plain_score(net, r.words)
+            assert abs(log_prob - expected) < 1e-3 * max(1, abs(expected))
 
 
 def test_probabilities_sum_to_one():
     net = network()
-    context = np.array([[3], [9], [pl.NOTHING], [70]]).repeat(pl.NOTHING, axis=1)
-    total = np.exp(net.log_probabilities(np.arange(pl.NOTHING), context).astype(np.float64)).sum()
+    context = np.array([[3], [9], [IDS], [70]]).repeat(IDS, axis=1)
+    total = np.exp(net.log_probabilities(np.arange(IDS), context).astype(np.float64)).sum()
     assert abs(total - 1) < 1e-3
 
 
+def test_ids_grow_with_the_corpus():
+    sizes = [pl.values_of_digit(n) for n in (0, 10**6, 10**8, 10**10, 10**20)]
+    assert sizes == [8, 8, 10, 18, 22]
+    ids = pl.ids_by_frequency(np.arange(1_000), 64)
+    assert sorted(ids[-60:]) == list(range(60)) and set(ids[:-60]) == {60, 61, 62, 63}
+
+
+def test_row_sums_of_many_places():
+    rng = np.random.default_rng(3)
+    at = np.concatenate([rng.integers(0, 900_000, 300), rng.integers(0, 5, 300), rng.integers(65_530, 65_545, 300)])
+    values = rng.normal(size=(300, 4))
+    places, sums = pl._row_sums(at, values)
+    assert np.array_equal(places, np.unique(at))
+    for place, row in zip(places, sums):
+        assert np.allclose(row, values[np.flatnonzero(at == place) % 300].sum(axis=0))
+
+
 def test_gradients_against_differences():
     net = network()
     net = pl.WindowNetwork(net.ids, *(p.astype(np.float64) for p in net.parameters()))
     rng = np.random.default_rng(2)
-    targets, context = rng.integers(0, pl.NOTHING, 20), rng.integers(0, pl.NOTHING + 1, (4, 20))
+    targets, context = rng.integers(0, IDS, 20), rng.integers(0, IDS + 1, (4, 20))
     grads = net.gradients(targets, context)
     for p, g in zip(net.parameters(), grads):
         for place in rng.choice(np.flatnonzero(g.ravel()), 5):
@@ -88,17 +111,19 @@ def test_training_beats_word_shares_on_held_out_text(spark):
         return " ".join(out)
 
     docs, held = frame(spark, [text(400) for _ in range(120)]), frame(spark, [text(300) for _ in range(10)])
-    buckets = pl.word_buckets(docs)
-    net = pl.fit(buckets, every=1, batch=256)
-    start = pl.WindowNetwork.start(pl._count(buckets))
-    flat = pl.WindowNetwork(start.ids, *(p * (k >= 3) for k, p in enumerate(start.parameters())))  # biases only
-    score = lambda n: pl.score(pl.word_buckets(held), n).agg({"log_prob": "sum"}).first()[0]
+    hashes = pl.word_hashes(docs)
+    counts = pl.count_buckets(pl.count_words(hashes))
+    net = pl.fit(hashes, counts, batch=256)
+    start = pl.WindowNetwork.start(counts)
+    flat = pl.WindowNetwork(start.ids, *(p * (k >= 2) for k, p in enumerate(start.parameters())))  # biases only
+    rows = [np.array(r.words) for r in pl.word_hashes(held).collect()]
+    score = lambda n: n.text_scores(n.ids_of(np.concatenate(rows)), np.array(list(map(len, rows)))).sum()
     assert score(net) > score(flat) + 1000
 
 
 def test_counts_cover_all_words_and_nothing(spark):
     docs = frame(spark, ["a A b", "b", None, ""])
-    counts = pl._count(pl.word_buckets(docs))
+    counts = pl.count_buckets(pl.count_words(pl.word_hashes(docs)))
     assert sorted(counts[counts > 0]) == [2, 2]
     empty = docs.limit(0)
     assert pl.score_documents(empty).collect() == []

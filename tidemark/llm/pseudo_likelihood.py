@@ -1,18 +1,21 @@
 """Language-model scores by masked pseudo-likelihood.
 
 A small network predicts every word of a text from the two words on either side; the sum of the log
-probabilities of all words given their neighbours scores the text. Words are hashed to 65,536 buckets,
-of which the corpus's most frequent have an id of their own and the rest share some. An id is predicted
-as two digits, the first (a class of ids of similar frequency) from the neighbours and the second from the
-neighbours and the first, so that no output is wider than 64. Documents are scored by words: the share of a word in
+probabilities of all words given their neighbours scores the text. Words are hashed to buckets, of which the
+corpus's most frequent have an id of their own and the rest share some. An id is predicted
+as three digits: the first (a class of ids of similar frequency) from the neighbours, the others from the
+neighbours and the digits before. Documents are scored by words: the share of a word in
 the count of its id is added to the probability of the id.
 
-Counts come from all words, and every word of every document is a training target. Each partition trains from the same start, and the average of the results, weighted by targets, is the
-model: what is gathered grows with the number of partitions, and thus with the corpus.
+Counts come from all words, and every word of every document is a training target. The number of ids (and
+with it of buckets, classes and parameters) grows with the square root of the words of the corpus, up to
+what a task can hold. Each partition trains from the same start, and the average of the results, weighted by
+targets, is the model.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
@@ -24,59 +27,65 @@ from pyspark.sql import functions as F
 from tidemark.llm.line_rules import words_of
 from tidemark.scratch import Scratch
 
-BUCKETS = 1 << 16
-DIGIT = 64
-OWN, SHARED = 3_840, 256  # ids of frequent buckets and of all others; together DIGIT * DIGIT
+LEAST, MOST = 8, 22  # values of a later digit: 4,096 ids at least, 234,256 (60 MB of embeddings) at most
+BUCKETS_PER_ID = 16
+SHARED = 16  # one of so many ids is shared by infrequent buckets
 OFFSETS = (-2, -1, 1, 2)
 WIDTH = 16
-NOTHING = DIGIT * DIGIT  # id beyond either end of a text
-_TOKENS = 32_768
-FREQUENT = 1 << 16  # words whose counts are sent to all tasks
+_TOKENS = 4_096
+FREQUENT = 1 << 18  # words whose counts are sent to all tasks
 
 
-def word_buckets(docs: DataFrame) -> DataFrame:
-    """doc_id and the bucket of each word (lower-cased, split at ASCII white space) of every row."""
-    words = words_of(F.lower(F.coalesce("text", F.lit(""))))
-    return docs.select(
-        F.col("doc_id").cast("long"),
-        F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).alias("buckets"),
-    )
+def values_of_digit(words: int) -> int:
+    """Values of the second and third digit, for a corpus of ``words``; the first has their square, so that
+    ids are about the square root of the words."""
+    return min(max(math.ceil(words**0.125), LEAST), MOST)
 
 
-def ids_by_frequency(counts: np.ndarray) -> np.ndarray:
+def ids_by_frequency(counts: np.ndarray, n_ids: int) -> np.ndarray:
     """Id of each bucket: its rank for the most frequent (ties by bucket), a shared one for the rest."""
-    ids = (OWN + np.arange(BUCKETS) % SHARED).astype(np.int64)
-    best = np.lexsort([np.arange(BUCKETS), -counts])[:OWN]
-    ids[best] = np.arange(OWN)
+    shared = n_ids // SHARED
+    own = n_ids - shared
+    ids = (own + np.arange(len(counts)) % shared).astype(np.int64)
+    best = np.lexsort([np.arange(len(counts)), -counts])[:own]
+    ids[best] = np.arange(len(best))
     return ids
 
 
 @dataclass
 class WindowNetwork:
-    """Parameters; ``ids`` maps buckets to ids."""
+    """Parameters; ``ids`` maps buckets to ids. The id beyond either end of a text comes after all others."""
 
     ids: np.ndarray
     embeddings: np.ndarray  # offset, id, width
-    first: np.ndarray  # width, digit
-    second: np.ndarray
-    first_bias: np.ndarray
-    second_bias: np.ndarray  # first digit, second digit
+    weights: np.ndarray  # width, values of all three digits
+    first: np.ndarray  # biases of the first digit
+    second: np.ndarray  # first digit, second digit
+    third: np.ndarray  # first two digits, third digit
 
     @classmethod
     def start(cls, counts: np.ndarray, seed: int = 7) -> WindowNetwork:
-        """Random embeddings, and biases that give each id its share in the corpus."""
-        ids = ids_by_frequency(counts)
+        """Random embeddings, and biases that give each id its share in the corpus; ``counts`` by bucket."""
+        n_ids = len(counts) // BUCKETS_PER_ID
+        w = round(n_ids**0.25)
+        ids = ids_by_frequency(counts, n_ids)
         rng = np.random.default_rng(seed)
-        share = np.bincount(ids, weights=counts, minlength=NOTHING).reshape(DIGIT, DIGIT) + 0.5
+        share = np.bincount(ids, weights=counts, minlength=n_ids).reshape(w * w, w, w) + 0.5
+        pairs = share.sum(axis=2)
+        classes = pairs.sum(axis=1)
         return cls(
             ids,
-            rng.normal(0, 0.1, (len(OFFSETS), NOTHING + 1, WIDTH)).astype(np.float32),
-            rng.normal(0, 0.1, (WIDTH, DIGIT)).astype(np.float32),
-            rng.normal(0, 0.1, (WIDTH, DIGIT)).astype(np.float32),
-            np.log(share.sum(axis=1) / share.sum()).astype(np.float32),
-            np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32),
+            rng.normal(0, 0.1, (len(OFFSETS), n_ids + 1, WIDTH)).astype(np.float32),
+            rng.normal(0, 0.1, (WIDTH, w * w + 2 * w)).astype(np.float32),
+            np.log(classes / classes.sum()).astype(np.float32),
+            np.log(pairs / classes[:, None]).astype(np.float32),
+            np.log(share / pairs[:, :, None]).reshape(-1, w).astype(np.float32),
         )
 
+    @property
+    def nothing(self) -> int:
+        return self.embeddings.shape[1] - 1
+
     def parameters(self) -> list[np.ndarray]:
         return [getattr(self, f.name) for f in fields(self)[1:]]
 
@@ -88,34 +97,65 @@ class WindowNetwork:
         parts = np.split(values.astype(np.float32), np.cumsum(sizes)[:-1])
         return WindowNetwork(self.ids, *(v.reshape(p.shape) for v, p in zip(parts, self.parameters())))
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
+    def ids_of(self, words: np.ndarray) -> np.ndarray:
+        return self.ids[words % len(self.ids)]
+
+    def _digits(self, targets: np.ndarray) -> list[np.ndarray]:
+        w = self.second.shape[1]
+        return [targets // (w * w), targets // w % w, targets % w]
+
+    def _parts(self) -> list[slice]:
+        """Where each digit's values are."""
+        ends = np.cumsum([0, len(self.first), self.second.shape[1], self.third.shape[1]])
+        return [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]
+
+    def _forward(self, targets: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values (target, width) and unnormalised log probabilities (value of a digit, target)."""
         total = self.embeddings[0][context[0]]
         for k in range(1, len(OFFSETS)):
-            total = total + self.embeddings[k][context[k]]
-        return np.tanh(total)
+            total += self.embeddings[k][context[k]]
+        h = np.tanh(total, out=total)
+        x = self.weights.T @ h.T
+        one, two, three = self._parts()
+        w = len(self.third[0])
+        x[one] += self.first[:, None]
+        x[two] += self.second[targets // (w * w)].T
+        x[three] += self.third[targets // w].T
+        return h, x
 
     def log_probabilities(self, targets: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Log probability of each target id given its context (offset, target)."""
-        h = self.hidden(context)
-        a, b = targets // DIGIT, targets % DIGIT
-        return _log_softmax(h @ self.first + self.first_bias, a) + _log_softmax(h @ self.second + self.second_bias[a], b)
+        _, x = self._forward(targets, context)
+        rows, parts = np.arange(len(targets)), self._parts()
+        _shift(x, parts)
+        found = sum(x[part][digit, rows] for part, digit in zip(parts, self._digits(targets)))
+        np.exp(x, out=x)
+        for part in parts:
+            found -= np.log(_sums(x[part]))
+        return found
 
     def touched_gradients(self, targets: np.ndarray, context: np.ndarray) -> list[tuple]:
         """Of the mean negative log probability, in the order of ``parameters``: rows (of the parameter as
         a table; None for all of it) and their gradients. Those of other rows are zero."""
-        h = self.hidden(context)
-        a, b = targets // DIGIT, targets % DIGIT
-        rows = np.arange(len(targets))
-        d_first = _softmax(h @ self.first + self.first_bias)
-        d_first[rows, a] -= 1
-        d_second = _softmax(h @ self.second + self.second_bias[a])
-        d_second[rows, b] -= 1
-        d_first /= len(targets)
-        d_second /= len(targets)
-        d_sum = (d_first @ self.first.T + d_second @ self.second.T) * (1 - h * h)
+        h, d = self._forward(targets, context)
+        parts = self._parts()
+        rows, each = np.arange(len(targets)), d.dtype.type(1 / len(targets))
+        _shift(d, parts)
+        np.exp(d, out=d)
+        for part, digit in zip(parts, self._digits(targets)):
+            p = d[part]
+            p *= each / _sums(p)
+            p[digit, rows] -= each
+        d_sum = d.T @ self.weights.T
+        d_sum *= 1 - h * h
+        one, two, three = parts
+        w = len(self.third[0])
         # one sort over all offsets, whose tables lie one after another
-        at = (context + (np.arange(len(context)) * (NOTHING + 1))[:, None]).ravel()
-        return [_row_sums(at, d_sum), (None, h.T @ d_first), (None, h.T @ d_second), (None, d_first.sum(axis=0)), _row_sums(a, d_second)]
+        at = (context + (np.arange(len(context)) * (self.nothing + 1))[:, None]).ravel()
+        return [
+            _row_sums(at, d_sum), (None, (d @ h).T), (None, d[one].sum(axis=1)),
+            _row_sums(targets // (w * w), d[two].T.copy()), _row_sums(targets // w, d[three].T.copy()),
+        ]
 
     def gradients(self, targets: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
         """As ``touched_gradients``, of all rows."""
@@ -128,38 +168,58 @@ class WindowNetwork:
             out.append(g)
         return out
 
+    def text_scores(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Sum of the log probabilities of the ids of each text; texts lie one after another."""
+        around = contexts(ids, sizes, self.nothing)
+        each = np.zeros(len(ids))
+        for at in range(0, len(ids), _TOKENS):
+            part = slice(at, at + _TOKENS)
+            each[part] = self.log_probabilities(ids[part], around[:, part])
+        return _text_sums(each, sizes)
 
-def _row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different places, and for each the sum of its rows of ``values``, which are used again from the first
-    where there are more places than rows. Places are below 65,536: their sort is by digits."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    at = at[order]
-    begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
-    return at[begins], np.add.reduceat(values[order % len(values)], begins, axis=0)
+
+def _shift(x: np.ndarray, parts: list[slice]) -> None:
+    """Subtract from the values of each digit their maximum, if exponentials could leave the range of floats."""
+    if x.size and (x.max() > 60 or x.min() < -60):
+        for part in parts:
+            x[part] -= x[part].max(axis=0)
 
 
-def _log_softmax(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    found = x[np.arange(len(x)), chosen]
-    return found - np.log(np.exp(x, out=x).sum(axis=1))
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), x.dtype) @ x
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    e = x - x.max(axis=1, keepdims=True)
-    np.exp(e, out=e)
-    e /= e.sum(axis=1, keepdims=True)
-    return e
+def _text_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=values, minlength=len(sizes)).astype(float)
 
 
-def contexts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Ids around each word (offset, word) of texts that lie one after another."""
+def _row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different places, and for each the sum of its rows of ``values``, which are used again from the first
+    where there are more places than rows. Places are sorted by digits of 16 bits."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    if len(at) and at.max() >> 16:
+        order = order[np.argsort((at[order] >> 16).astype(np.uint16), kind="stable")]
+    at = at[order]
+    begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
+    sizes = np.diff(begins, append=len(at))
+    order %= max(len(values), 1)
+    out = values[order[begins]]
+    several = sizes > 1  # most places have one row, which is its sum
+    if several.any():
+        some = sizes[several]
+        out[several] = np.add.reduceat(values[order[np.repeat(several, sizes)]], np.cumsum(some) - some, axis=0)
+    return at[begins], out
+
+
+def contexts(ids: np.ndarray, sizes: np.ndarray, nothing: int) -> np.ndarray:
+    """Ids around each word (offset, word) of texts that lie one after another; ``nothing`` beyond their ends."""
     of = np.repeat(np.arange(len(sizes)), sizes)
-    out = np.full((len(OFFSETS), len(ids)), NOTHING, dtype=np.int64)
+    out = np.full((len(OFFSETS), len(ids)), nothing, dtype=np.int64)
     for k, offset in enumerate(OFFSETS):
         n = len(ids) - abs(offset)
         if n > 0:
             here, there = (slice(-offset, None), slice(0, n)) if offset < 0 else (slice(0, n), slice(offset, None))
-            out[k, here] = np.where(of[here] == of[there], ids[there], NOTHING)
+            out[k, here] = np.where(of[here] == of[there], ids[there], nothing)
     return out
 
 
@@ -168,26 +228,31 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
 
 
-def _count(buckets: DataFrame) -> np.ndarray:
-    """Words per bucket in the whole corpus; one row a bucket reaches the driver."""
+def word_hashes(docs: DataFrame) -> DataFrame:
+    """A number for each row, its doc_id and the 64-bit hashes of its words (lower-cased, split at ASCII white
+    space)."""
+    words = words_of(F.lower(F.coalesce("text", F.lit(""))))
+    hashes = F.transform(words, lambda w: F.xxhash64(w)).alias("words")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), hashes)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            total += np.bincount(_lists(batch.column(0))[0], minlength=BUCKETS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
 
-    found = buckets.select("buckets").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    rows = found.toPandas()
-    counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return counts
+def count_words(hashes: DataFrame) -> DataFrame:
+    """word (hash) and its count ``n`` over all rows."""
+    return hashes.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_buckets(counts: DataFrame) -> np.ndarray:
+    """Words per bucket in the whole corpus; one row a bucket, of 3.7 million at most, reaches the driver."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = np.zeros(BUCKETS_PER_ID * values_of_digit(total) ** 4, dtype=np.int64)
+    by_bucket = counts.groupBy(F.pmod("word", F.lit(len(out))).alias("bucket")).agg(F.sum("n").alias("n")).toPandas()
+    out[by_bucket["bucket"].to_numpy(np.int64)] = by_bucket["n"].to_numpy()
+    return out
 
 
 def train(network: WindowNetwork, ids: np.ndarray, sizes: np.ndarray, state: list[np.ndarray], every: int, rate: float, size: int, seed: int) -> int:
     """One pass over every ``every``-th word of the texts, in place; returns the number of targets."""
-    around = contexts(ids, sizes)
+    around = contexts(ids, sizes, network.nothing)
     begins = np.cumsum(sizes) - sizes
     inside = np.arange(len(ids)) - np.repeat(begins, sizes)
     chosen = np.flatnonzero((inside + np.repeat(sizes, sizes)) % every == 0)
@@ -197,28 +262,35 @@ def train(network: WindowNetwork, ids: np.ndarray, sizes: np.ndarray, state: lis
         for p, (at_rows, g), s in zip(network.parameters(), network.touched_gradients(ids[some], around[:, some]), state):
             if at_rows is None:
                 s += g * g
-                p -= rate * g / (np.sqrt(s) + 1e-8)
+                p -= rate * g / np.sqrt(s)
                 continue
             p, s = (x.reshape(-1, x.shape[-1]) for x in (p, s))  # views
-            so_far = s[at_rows] + g * g
+            so_far = s[at_rows]
+            so_far += g * g
             s[at_rows] = so_far
-            p[at_rows] -= rate * g / (np.sqrt(so_far) + 1e-8)
+            g /= np.sqrt(so_far, out=so_far)
+            g *= rate
+            p[at_rows] -= g
     return len(chosen)
 
 
-def fit(buckets: DataFrame, every: int = 1, rate: float = 0.1, batch: int = 4_096, seed: int = 7) -> WindowNetwork:
-    """Train on all documents of ``buckets`` (from ``word_buckets``); without words, the start."""
-    begin = WindowNetwork.start(_count(buckets), seed)
+def fit(hashes: DataFrame, counts: np.ndarray, every: int = 1, rate: float = 0.1, batch: int = 4_096, seed: int = 7) -> WindowNetwork:
+    """Train on all rows of ``hashes`` (from ``word_hashes``), with ``counts`` by bucket; without words, the
+    start. A partition returns how far each group of parameters that it changed has moved."""
+    begin = WindowNetwork.start(counts, seed)
+    sent = hashes.sparkSession.sparkContext.broadcast(begin)  # bounded by MOST
+    columns = [f"v{k}" for k in range(WIDTH)]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = begin.with_flat(begin.flat())
+        start = sent.value
+        network = start.with_flat(start.flat())
         state = [np.full_like(p, 1e-6) for p in network.parameters()]
         targets, held, sizes = 0, [], []
 
         def flush() -> int:
             if not held:
                 return 0
-            return train(network, network.ids[np.concatenate(held)], np.concatenate(sizes), state, every, rate, batch, seed + targets)
+            return train(network, network.ids_of(np.concatenate(held)), np.concatenate(sizes), state, every, rate, batch, seed + targets)
 
         for some in batches:
             values, n = _lists(some.column(0))
@@ -229,92 +301,63 @@ def fit(buckets: DataFrame, every: int = 1, rate: float = 0.1, batch: int = 4_09
                 held, sizes = [], []
         targets += flush()
         if targets:
-            values = network.flat().astype(np.float64)
-            for at in range(0, len(values), 100_000):
-                part = values[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(at, at + len(part))), pa.array(part * targets), pa.array(np.full(len(part), targets))],
-                    names=["place", "value", "weight"],
-                )
-
-    trained = buckets.select("buckets").mapInArrow(local, "place long, value double, weight long")
-    mean = trained.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas()
+            moved = _groups(network.flat() - start.flat())
+            changed = np.flatnonzero(moved.any(axis=1))
+            for some in (np.array([-1]), *np.array_split(changed, len(changed) // 10_000 + 1)):  # -1: the targets
+                arrays = [pa.array(some), pa.array(np.full(len(some), targets)), *(pa.array(v) for v in moved[some].T)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["place", "weight", *columns])
+
+    trained = hashes.select("words").mapInArrow(local, "place long, weight long, " + ", ".join(f"{c} float" for c in columns))
+    sums = [F.sum(F.col(c).cast("double") * F.col("weight")).alias(c) for c in columns]
+    found = trained.groupBy("place").agg(F.sum("weight").alias("weight"), *sums).toPandas()
     flat = begin.flat()
-    flat[mean["place"].to_numpy()] = mean["value"].to_numpy()
-    return begin.with_flat(flat)
+    moved = _groups(np.zeros(len(flat)))
+    rows = found[found["place"] >= 0]
+    if len(rows):
+        moved[rows["place"].to_numpy()] = rows[columns].to_numpy() / int(found.loc[found["place"] < 0, "weight"].iloc[0])
+    sent.destroy()
+    return begin.with_flat(flat + moved.ravel()[: len(flat)])
 
 
-def score(buckets: DataFrame, network: WindowNetwork) -> DataFrame:
-    """doc_id, n_words, log_prob (sum over all words), mean_log_prob (null without words)."""
-    shared = buckets.sparkSession.sparkContext.broadcast(network)  # of fixed size, about 2 MB
+def _groups(values: np.ndarray) -> np.ndarray:
+    """``values`` in rows of WIDTH, the last one filled up with zeros."""
+    return np.concatenate([values, np.zeros(-len(values) % WIDTH, values.dtype)]).reshape(-1, WIDTH)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
-        for batch in batches:
-            values, sizes = _lists(batch.column(1))
-            ids = net.ids[values]
-            around = contexts(ids, sizes)
-            each = np.zeros(len(ids))
-            for at in range(0, len(ids), _TOKENS):
-                part = slice(at, at + _TOKENS)
-                each[part] = net.log_probabilities(ids[part], around[:, part])
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            total = np.bincount(of, weights=each, minlength=len(sizes)).astype(float)
-            mean = pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(total), mean],
-                names=["doc_id", "n_words", "log_prob", "mean_log_prob"],
-            )
 
-    return buckets.mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+def score_words(hashes: DataFrame, counts: DataFrame, network: WindowNetwork, of_bucket: np.ndarray, scratch: Scratch) -> DataFrame:
+    """row, doc_id, n_words and log_prob: the sum over the words of a row of their log probabilities, which are
+    those of their ids and log(count of the word / count of all words of its id).
 
-
-def word_hashes(docs: DataFrame) -> DataFrame:
-    """A number for each row, its doc_id and the 64-bit hashes of its words, from which ``word_buckets`` has
-    the buckets."""
-    words = words_of(F.lower(F.coalesce("text", F.lit(""))))
-    hashes = F.transform(words, lambda w: F.xxhash64(w)).alias("words")
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), hashes)
-
-
-def word_shares(hashes: DataFrame, ids: np.ndarray, scratch: Scratch) -> DataFrame:
-    """``row`` and the sum over its words of log(count of the word / count of all words of its id), which
-    makes probabilities of ids ones of words; ``hashes`` as ``word_hashes`` gives them.
-
-    Counts of words are a Spark table. The most frequent are sent to all tasks, so that no word is a hot key.
+    Counts of words are a Spark table. The most frequent are sent to all tasks, so that no word is a hot key;
+    the others are joined.
     """
-    counts = scratch.table(hashes.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    of_bucket = np.zeros(BUCKETS)
-    by_bucket = counts.groupBy(F.pmod("word", F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).toPandas()
-    of_bucket[by_bucket["bucket"].to_numpy(np.int64)] = by_bucket["n"].to_numpy()
-    log_ids = np.log(np.maximum(np.bincount(ids, weights=of_bucket, minlength=NOTHING), 1))
+    log_ids = np.log(np.maximum(np.bincount(network.ids, weights=of_bucket, minlength=network.nothing), 1))
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
     sent = hashes.sparkSession.sparkContext.broadcast(
-        (top["word"].to_numpy(np.int64), np.log(top["n"].to_numpy(float)), ids, log_ids)
+        (network, log_ids, top["word"].to_numpy(np.int64), np.log(top["n"].to_numpy(float)))
     )
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The part of each row that needs no other count, and a row for each word that does."""
-        frequent, logs, of, total = sent.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, total, frequent, logs = sent.value
         for batch in batches:
-            words, sizes = _lists(batch.column(1))
-            rows = np.repeat(batch.column(0).to_numpy(), sizes)
-            part = -total[of[words % BUCKETS]]
+            words, sizes = _lists(batch.column(2))
+            ids = net.ids_of(words)
+            part = -total[ids]
             place = np.minimum(np.searchsorted(frequent, words), max(len(frequent) - 1, 0))
             found = frequent[place] == words if len(words) else np.zeros(0, bool)
             part[found] += logs[place[found]]
-            where = np.repeat(np.arange(len(sizes)), sizes)
-            sums = np.bincount(where, weights=part, minlength=len(sizes)).astype(float)
-            rest = words[~found]
-            columns = [pa.concat_arrays([batch.column(0), pa.array(rows[~found], pa.int64())]),
-                       pa.concat_arrays([pa.nulls(len(sizes), pa.int64()), pa.array(rest, pa.int64())]),
-                       pa.array(np.concatenate([sums, np.zeros(len(rest))]))]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "word", "part"])
+            ends = np.concatenate([[0], np.cumsum(_text_sums(~found, sizes))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(net.text_scores(ids, sizes) + _text_sums(part, sizes)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(words[~found], pa.int64()))],
+                names=["row", "doc_id", "n_words", "part", "rare"])
 
-    parts = hashes.select("row", "words").mapInArrow(known, "row long, word long, part double")
-    rare = parts.filter("word IS NOT NULL").join(counts, "word").select("row", F.log("n").alias("part"))
-    every = parts.filter("word IS NULL").select("row", "part").union(rare)
-    return every.groupBy("row").agg(F.sum("part").alias("share"))
+    table = scratch.table(hashes.mapInArrow(run, "row long, doc_id long, n_words long, part double, rare array<long>"))
+    rare = table.select("row", F.explode("rare").alias("word")).join(counts, "word")
+    none = F.lit(None).cast("long")
+    parts = table.drop("rare").union(rare.select("row", none, none, F.log("n")))
+    return parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("part").alias("log_prob"))
 
 
 def score_documents(docs: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
@@ -322,14 +365,9 @@ def score_documents(docs: DataFrame, scratch: Scratch | None = None, **options)
     no words: log_prob 0. Repeated rows each train and score; other columns are dropped."""
     scratch = scratch or Scratch(docs.sparkSession)
     hashes = scratch.table(word_hashes(docs))
-    buckets = hashes.select(
-        F.col("row").alias("doc_id"),
-        F.transform("words", lambda w: F.pmod(w, F.lit(BUCKETS)).cast("int")).alias("buckets"),
-    )
-    network = fit(buckets, **options)
-    scored = score(buckets, network).withColumnRenamed("doc_id", "row")
-    total = F.when(F.col("n_words") == 0, 0.0).otherwise(F.col("log_prob") + F.col("share"))
-    joined = scored.join(word_shares(hashes, network.ids, scratch), "row").join(hashes.select("row", "doc_id"), "row")
-    return joined.select(
-        "doc_id", "n_words", total.alias("log_prob"),
-        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob"))
+    counts = scratch.table(count_words(hashes))
+    of_bucket = count_buckets(counts)
+    network = fit(hashes, of_bucket, **options)
+    scored = score_words(hashes, counts, network, of_bucket, scratch)
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return scored.select("doc_id", "n_words", "log_prob", mean.alias("mean_log_prob"))
