@@ -99,5 +99,5 @@ def test_queries_are_registered():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert set(contract.oracle_sql()) <= set(names)

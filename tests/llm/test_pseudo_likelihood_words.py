@@ -52,3 +52,13 @@ def test_scores_are_over_words(spark, monkeypatch):
     whole = pl.score_documents(docs).collect()
     assert len(whole) == len(texts) and abs(sum(r.log_prob for r in whole) - sum(x for _, _, x in expected.values())) < 0.01
     assert all(r.mean_log_prob is None if not r.n_words else abs(r.mean_log_prob * r.n_words - r.log_prob) < 1e-9 for r in whole)
+
+
+def test_frequent_words_are_all_above_a_count(spark, monkeypatch):
+    counts = spark.createDataFrame([(k, 1 + k // 3) for k in range(300)], "word long, n long")
+    for most in (0, 3, 100, 299, 300):
+        monkeypatch.setattr(pl, "FREQUENT", most)
+        got = sorted(r.word for r in pl.frequent_words(counts).collect())
+        assert len(got) <= most and got == list(range(300 - len(got), 300))
+        assert len(got) >= most * 0.8 - 3
+    assert pl.frequent_words(counts.limit(0)).count() == 0

@@ -33,7 +33,7 @@ SHARED = 16  # one of so many ids is shared by infrequent buckets
 OFFSETS = (-2, -1, 1, 2)
 WIDTH = 16
 _TOKENS = 4_096
-FREQUENT = 1 << 18  # words whose counts are sent to all tasks
+FREQUENT = 1 << 18  # words at most whose counts are sent to all tasks
 
 
 def values_of_digit(words: int) -> int:
@@ -324,6 +324,18 @@ def _groups(values: np.ndarray) -> np.ndarray:
     return np.concatenate([values, np.zeros(-len(values) % WIDTH, values.dtype)]).reshape(-1, WIDTH)
 
 
+def frequent_words(counts: DataFrame) -> DataFrame:
+    """The rows of ``counts`` above a count, at most FREQUENT, and as many as eight counts in an octave allow."""
+    step = F.floor(F.log2("n") * 8)
+    cut, total = 1 << 10, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # 8 * 63 rows at most
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        cut = row["step"]
+    return counts.filter(step >= cut)
+
+
 def score_words(hashes: DataFrame, counts: DataFrame, network: WindowNetwork, of_bucket: np.ndarray, scratch: Scratch) -> DataFrame:
     """row, doc_id, n_words and log_prob: the sum over the words of a row of their log probabilities, which are
     those of their ids and log(count of the word / count of all words of its id).
@@ -332,7 +344,7 @@ def score_words(hashes: DataFrame, counts: DataFrame, network: WindowNetwork, of
     the others are joined.
     """
     log_ids = np.log(np.maximum(np.bincount(network.ids, weights=of_bucket, minlength=network.nothing), 1))
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
+    top = frequent_words(counts).toPandas().sort_values("word")
     sent = hashes.sparkSession.sparkContext.broadcast(
         (network, log_ids, top["word"].to_numpy(np.int64), np.log(top["n"].to_numpy(float)))
     )
