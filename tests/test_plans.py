@@ -134,3 +134,24 @@ def test_wide_rows_of_hot_keys_are_salted(spark, scratch, conf, monkeypatch, how
         got = skew.lookup_join(big, lookup, ["k"], how, null_safe=null_safe)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(lookup, "k", how).collect())) if how != "left" else True
         assert got.count() == big.join(lookup, "k", how).count()
+
+
+@pytest.mark.parametrize("name", ["dq_clean_rows", "dq_warn_counts", "schema_rules", "dq_all_failures"])
+def test_rows_read_once_are_not_written_beside(spark, tmp_path, conf, monkeypatch, name):
+    from workload.queries import QUERIES
+
+    conf(spark__tidemark__broadcastBytes=0)
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    line += ", l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    values = ["if(id < 20, id % 7, id)", "id", "id", "1", "id % 50", "1", "0.01", "0.02", "'A'", "'F'", "timestamp_ntz'2000-01-01'"]
+    rows = spark.range(40).selectExpr(*(f"CAST({v} AS {c.split()[1]}) AS {c.split()[0]}" for v, c in zip(values, line.split(", "))))
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    table, written = Scratch.table, []
+
+    def noted(self, df, *more):
+        written.append(df.columns)
+        return table(self, df, *more)
+
+    monkeypatch.setattr(Scratch, "table", noted)
+    assert QUERIES[name](spark, str(tmp_path)).collect()
+    assert written and all(set(columns) == {"l_orderkey", "l_linenumber", "n"} for columns in written)

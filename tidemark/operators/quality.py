@@ -45,7 +45,7 @@ def mark_repeated(
 
     The repeated keys are computed first, from the key columns alone, and written down. None: no join
     at all. Few: a broadcast join, the rows do not move. Many: a shuffle join beside the hot keys, whose
-    result is written down, unless the caller does that.
+    result is written down, unless the caller does that or reads it only once.
     """
     alive = F.lit(True) if alive is None else alive
     keyed = scratch.table(repeated_keys(df.filter(alive), keys))
@@ -64,16 +64,22 @@ def mark_repeated(
     return joined.withColumn(into, alive & F.col(_MARK).isNotNull()).drop(_MARK)
 
 
+def _last_unique(rules: Sequence[Rule]) -> int | None:
+    return max((i for i, r in enumerate(rules) if r.rule_type == "UNIQUE"), default=None)
+
+
 def tag_violations(
-    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, *, write: bool = False
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, *, write: bool = False, read_once: bool = False
 ) -> DataFrame:
     """Add ``failed_rule`` (first failed QUARANTINE rule or null) and ``warned_rules`` (WARN and
     FAIL_PIPELINE rules that a row violates while no earlier QUARANTINE rule has removed it). With ``write``
     the tagged rows are written down if tagging them takes a join, so that it is made once for all who
-    read them; rows without a failed rule lie apart."""
+    read them; rows without a failed rule lie apart. With ``read_once`` the last join is not written, so that
+    only the columns that the one reader wants take part in it."""
     if len({r.rule_id for r in rules}) < len(rules):
         raise ConfigError("rule ids repeat")
     scratch = scratch or Scratch(df.sparkSession)
+    last = _last_unique(rules)
     tagged = df.withColumn(_AT, F.lit(None).cast("int"))
     pending: list[Column] = []
     flags: list[tuple[int, Rule, Column]] = []
@@ -89,7 +95,8 @@ def tag_violations(
             tagged = settle(tagged)
             mark = f"__mark_{i}"
             marks.append(mark)
-            tagged = mark_repeated(tagged, rule.columns, mark, scratch, F.col(_AT).isNull(), write_many=not write)
+            many = not write and not (read_once and i == last)  # the next key is looked for in this result
+            tagged = mark_repeated(tagged, rule.columns, mark, scratch, F.col(_AT).isNull(), write_many=many)
             failed = F.col(mark)
         else:
             failed = fails(rule)
@@ -169,16 +176,18 @@ def quality_metrics(tagged: DataFrame) -> DataFrame:
 
 
 def failed_rules(
-    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, into: str = "failed_rules"
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, into: str = "failed_rules", *, read_once: bool = False
 ) -> DataFrame:
-    """Add the array of all rules a row violates, each judged on the whole input."""
+    """Add the array of all rules a row violates, each judged on the whole input. ``read_once`` as in
+    ``tag_violations``."""
     scratch = scratch or Scratch(df.sparkSession)
+    last = _last_unique(rules)
     tests: list[Column] = []
     marks: list[str] = []
     for i, rule in enumerate(rules):
         if rule.rule_type == "UNIQUE":
             marks.append(f"__mark_{i}")
-            df = mark_repeated(df, rule.columns, marks[-1], scratch)
+            df = mark_repeated(df, rule.columns, marks[-1], scratch, write_many=not (read_once and i == last))
             tests.append(F.when(F.col(marks[-1]), F.lit(rule.rule_id)))
         else:
             tests.append(F.when(fails(rule), F.lit(rule.rule_id)))
@@ -186,18 +195,18 @@ def failed_rules(
 
 
 def all_failures(
-    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, *, read_once: bool = False
 ) -> DataFrame:
     """One row per (row, violated rule): rules are independent and a row may fail several."""
-    every = failed_rules(df, rules, scratch, "__every")
+    every = failed_rules(df, rules, scratch, "__every", read_once=read_once)
     return every.withColumn(FAILED_RULE, F.explode("__every")).drop("__every")
 
 
 def independent_clean(
-    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch | None = None, *, read_once: bool = False
 ) -> DataFrame:
     """Rows that no QUARANTINE rule rejects when every rule is judged on the whole input."""
     acting = [r for r in rules if r.action_on_fail == "QUARANTINE"]
     if not acting:
         return df
-    return failed_rules(df, acting, scratch, "__every").filter(F.size("__every") == 0).drop("__every")
+    return failed_rules(df, acting, scratch, "__every", read_once=read_once).filter(F.size("__every") == 0).drop("__every")

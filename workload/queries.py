@@ -170,7 +170,7 @@ def next_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- data quality -------------------------------------------------------------------------------
 def _failing(df: DataFrame, rule: Rule, *columns: str) -> DataFrame:
-    tagged = quality.tag_violations(df, [rule])
+    tagged = quality.tag_violations(df, [rule], read_once=True)
     return quality.quarantine_rows(tagged, "run-1").select(*columns, "failed_rule", "execution_id")
 
 
@@ -210,7 +210,7 @@ def dq_unique_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.tag_violations(table(spark, sf_dir, "lineitem"), LINE_RULES)
+    return quality.tag_violations(table(spark, sf_dir, "lineitem"), LINE_RULES, read_once=True)
 
 
 LINE = [*PAIR, "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
@@ -248,19 +248,19 @@ def dq_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARN and FAIL_PIPELINE rules see the rows that earlier QUARANTINE rules left."""
-    tagged = quality.tag_violations(table(spark, sf_dir, "lineitem"), WARN_RULES)
+    tagged = quality.tag_violations(table(spark, sf_dir, "lineitem"), WARN_RULES, read_once=True)
     return quality.rule_outcomes(tagged, WARN_RULES)
 
 
 @query
 def dq_all_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = quality.all_failures(table(spark, sf_dir, "lineitem"), EXPRESSION_RULES)
+    every = quality.all_failures(table(spark, sf_dir, "lineitem"), EXPRESSION_RULES, read_once=True)
     return every.select(*LINE, "failed_rule")
 
 
 @query
 def dq_independent_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = quality.independent_clean(table(spark, sf_dir, "lineitem"), EXPRESSION_RULES)
+    clean = quality.independent_clean(table(spark, sf_dir, "lineitem"), EXPRESSION_RULES, read_once=True)
     return clean.select(*LINE)
 
 
@@ -292,7 +292,7 @@ def schema_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         [ColumnSpec(c, "bigint", False, True) for c in PAIR] + [ColumnSpec("l_tax", "double", False)]
     )
     lines = table(spark, sf_dir, "lineitem").withColumn("l_tax", F.nullif("l_tax", F.lit(0.0)))
-    return quality.rule_outcomes(quality.tag_violations(lines, rules), rules)
+    return quality.rule_outcomes(quality.tag_violations(lines, rules, read_once=True), rules)
 
 
 # -- keyed changes and loads --------------------------------------------------------------------
