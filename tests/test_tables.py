@@ -186,3 +186,18 @@ def test_file_formats(spark, tmp_path):
     assert read_source(spark, str(tmp_path / "orc"), "orc", formats=None).count() == 1
     VersionedTable(spark, str(tmp_path / "t")).overwrite(one, "b1")
     assert read_source(spark, str(tmp_path / "t"), "table").count() == 1
+
+
+def test_one_task_sorts_few_rows_by_folder(spark, tmp_path, monkeypatch):
+    """However much there is of one folder, it is read and written in parts of bounded size."""
+    from tidemark import scratch as settings
+
+    spark.range(200_000).selectExpr("id", "'a' AS day").repartition(8).write.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(settings, "SORTED_BYTES", 64 << 10, raising=False)
+    monkeypatch.setattr(settings, "SORTED_BYTES_READ", 128 << 10, raising=False)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.append(spark.read.parquet(str(tmp_path / "rows")), "one", ["day"]) == 200_000
+    files = list((tmp_path / "t").glob("v=*/seg=one/day=a/*.parquet"))
+    assert len(files) > 3
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from datetime import datetime
 from urllib.parse import quote, unquote
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import as_utc
 from tidemark.operators.skew import lookup_join
-from tidemark.scratch import measure
+from tidemark.scratch import measure, small_sorts
 from tidemark.sources import storage
 
 MERGED = "base-merged"  # segment of partitions that were replaced
@@ -192,7 +193,8 @@ class VersionedTable:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if folders:
             writer = writer.partitionBy(*folders)
-        writer.parquet(path)
+        with small_sorts(self.spark) if folders else nullcontext():
+            writer.parquet(path)
         if not storage.exists(self.spark, f"{path}/_SUCCESS"):
             raise RuntimeError(
                 "no _SUCCESS file after the write: tables need"
