@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -129,3 +130,47 @@ def test_counts_cover_all_words_and_nothing(spark):
     assert pl.score_documents(empty).collect() == []
     blank = pl.score_documents(frame(spark, [None, ""])).collect()
     assert [(r.n_words, r.log_prob, r.mean_log_prob) for r in blank] == [(0, 0.0, None)] * 2
+
+
+def test_working_memory_does_not_grow_with_the_targets():
+    net, rng = network(w=16), np.random.default_rng(4)
+    targets, context = rng.integers(0, 16**4, 16_384), rng.integers(0, 16**4 + 1, (4, 16_384))
+    tracemalloc.start()
+    whole = net.log_probabilities(targets, context)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6e6  # values of digits of all targets at once: 19 MB
+    parts = [net.log_probabilities(targets[k : k + 100], context[:, k : k + 100]) for k in range(0, 16_384, 100)]
+    assert np.allclose(whole, np.concatenate(parts), atol=1e-4)
+
+
+def test_gradients_do_not_depend_on_blocks(monkeypatch):
+    for net in (network(), network(scale=30)):
+        rng = np.random.default_rng(5)
+        targets, context = rng.integers(0, IDS, 1_000), rng.integers(0, IDS + 1, (4, 1_000))
+        found = []
+        for cells in (1, 1 << 20):
+            monkeypatch.setattr(pl, "_CELLS", cells)
+            found.append(net.gradients(targets, context))
+        for one, other in zip(*found):
+            assert np.isfinite(one).all() and np.allclose(one, other, atol=1e-5)
+
+
+def test_row_sums_of_odd_rows_and_none():
+    at, values = np.array([7, 2, 7, 2, 9, 7]), np.arange(18, dtype=np.float32).reshape(6, 3)
+    places, sums = pl._row_sums(at, values)
+    assert places.tolist() == [2, 7, 9] and sums.tolist() == [[12, 14, 16], [21, 24, 27], [12, 13, 14]]
+    assert [len(x) for x in pl._row_sums(at[:0], values[:0])] == [0, 0]
+
+
+def test_frequent_words_are_found():
+    rng = np.random.default_rng(6)
+    ends = np.array([-(1 << 63), -1, 0, 1, (1 << 63) - 1])
+    near = np.arange(200) * 3  # all of one slot
+    known = np.unique(np.concatenate([rng.integers(-(1 << 63), (1 << 63) - 1, 5_000), ends, near]))
+    words = np.concatenate([rng.choice(known, 3_000), near + 1, ends, rng.integers(-(1 << 63), (1 << 63) - 1, 3_000)])
+    got = pl.find_words(words, known, pl.slot_starts(known))
+    expected = np.where(np.isin(words, known), np.searchsorted(known, words), -1)
+    assert np.array_equal(got, expected)
+    assert pl.find_words(words, known[:0], pl.slot_starts(known[:0])).tolist() == [-1] * len(words)
+    assert len(pl.find_words(words[:0], known, pl.slot_starts(known))) == 0

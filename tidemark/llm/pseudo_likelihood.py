@@ -32,7 +32,8 @@ BUCKETS_PER_ID = 16
 SHARED = 16  # one of so many ids is shared by infrequent buckets
 OFFSETS = (-2, -1, 1, 2)
 WIDTH = 16
-_TOKENS = 4_096
+_CELLS = 1 << 17  # values of digits that are worked on at once: 512 KB, which stay in a core's cache
+_SLOT_BITS = 20
 FREQUENT = 1 << 18  # words at most whose counts are sent to all tasks
 
 
@@ -100,61 +101,97 @@ class WindowNetwork:
     def ids_of(self, words: np.ndarray) -> np.ndarray:
         return self.ids[words % len(self.ids)]
 
-    def _digits(self, targets: np.ndarray) -> list[np.ndarray]:
+    def _digits(self, targets: np.ndarray) -> np.ndarray:
+        """The value of each digit (digit, target), counted from the first value of the first digit."""
         w = self.second.shape[1]
-        return [targets // (w * w), targets // w % w, targets % w]
+        pairs = targets // w
+        first = targets // (w * w)
+        return np.stack([first, pairs - first * w + len(self.first), targets - pairs * w + len(self.first) + w])
 
     def _parts(self) -> list[slice]:
         """Where each digit's values are."""
         ends = np.cumsum([0, len(self.first), self.second.shape[1], self.third.shape[1]])
         return [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]
 
-    def _forward(self, targets: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values (target, width) and unnormalised log probabilities (value of a digit, target)."""
-        total = self.embeddings[0][context[0]]
-        for k in range(1, len(OFFSETS)):
-            total += self.embeddings[k][context[k]]
-        h = np.tanh(total, out=total)
-        x = self.weights.T @ h.T
-        one, two, three = self._parts()
+    def _blocks(self, n: int) -> list[slice]:
+        """Blocks of ``n`` targets whose values of digits are few enough to stay in the cache."""
+        size = max(_CELLS // self.weights.shape[1], 64)
+        return [slice(at, min(at + size, n)) for at in range(0, n, size)]
+
+    def _places(self, context: np.ndarray) -> np.ndarray:
+        """Rows of the contexts (offset, target) in the embeddings of all offsets, which lie one after another."""
+        return context + (np.arange(len(context)) * (self.nothing + 1))[:, None]
+
+    def _output(self) -> np.ndarray:
+        """Weights and, as those of a hidden value that is always one, the biases of the first digit."""
+        biases = np.concatenate([self.first, np.zeros(self.weights.shape[1] - len(self.first), self.first.dtype)])
+        return np.vstack([self.weights, biases]).T.copy()
+
+    def _farthest(self) -> float:
+        """No unnormalised log probability is farther from zero, for hidden values lie between -1 and 1."""
+        biases = max(max(b.max(), -b.min()) for b in (self.first, self.second, self.third))
+        return np.abs(self.weights).sum(axis=0).max() + biases
+
+    def _forward(self, targets: np.ndarray, places: np.ndarray, output: np.ndarray, far: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and a one (target, width + 1) and unnormalised log probabilities (value of a digit,
+        target), whose exponentials stay in the range of floats; ``far``: they may have to be shifted."""
+        around = self.embeddings.reshape(-1, self.embeddings.shape[-1])
+        total = around.take(places[0], axis=0)
+        for some in places[1:]:
+            total += around.take(some, axis=0)
+        h = np.ones((len(targets), output.shape[1]), output.dtype)
+        np.tanh(total, out=h[:, :-1])
+        x = output @ h.T
+        _, two, three = parts = self._parts()
         w = len(self.third[0])
-        x[one] += self.first[:, None]
-        x[two] += self.second[targets // (w * w)].T
-        x[three] += self.third[targets // w].T
+        pairs = targets // w
+        x[two] += self.second.take(pairs // w, axis=0).T
+        x[three] += self.third.take(pairs, axis=0).T
+        if far:
+            _shift(x, parts)
         return h, x
 
     def log_probabilities(self, targets: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Log probability of each target id given its context (offset, target)."""
-        _, x = self._forward(targets, context)
-        rows, parts = np.arange(len(targets)), self._parts()
-        _shift(x, parts)
-        found = sum(x[part][digit, rows] for part, digit in zip(parts, self._digits(targets)))
-        np.exp(x, out=x)
-        for part in parts:
-            found -= np.log(_sums(x[part]))
-        return found
+        out = np.empty(len(targets), self.weights.dtype)
+        places, digits, parts, output, far = self._places(context), self._digits(targets), self._parts(), self._output(), self._farthest() > 60
+        for block in self._blocks(len(targets)):
+            some = targets[block]
+            _, x = self._forward(some, places[:, block], output, far)
+            found = x.ravel().take(digits[:, block] * len(some) + np.arange(len(some))).sum(axis=0)
+            np.exp(x, out=x)
+            for part in parts:
+                found -= np.log(_sums(x[part]))
+            out[block] = found
+        return out
 
     def touched_gradients(self, targets: np.ndarray, context: np.ndarray) -> list[tuple]:
         """Of the mean negative log probability, in the order of ``parameters``: rows (of the parameter as
         a table; None for all of it) and their gradients. Those of other rows are zero."""
-        h, d = self._forward(targets, context)
-        parts = self._parts()
-        rows, each = np.arange(len(targets)), d.dtype.type(1 / len(targets))
-        _shift(d, parts)
-        np.exp(d, out=d)
-        for part, digit in zip(parts, self._digits(targets)):
-            p = d[part]
-            p *= each / _sums(p)
-            p[digit, rows] -= each
-        d_sum = d.T @ self.weights.T
-        d_sum *= 1 - h * h
+        n, w, dtype = len(targets), self.second.shape[1], self.weights.dtype
+        places, digits, parts, output, far = self._places(context), self._digits(targets), self._parts(), self._output(), self._farthest() > 60
         one, two, three = parts
-        w = len(self.third[0])
-        # one sort over all offsets, whose tables lie one after another
-        at = (context + (np.arange(len(context)) * (self.nothing + 1))[:, None]).ravel()
+        each = dtype.type(1 / n)
+        d_sum, d_second, d_third = (np.empty((n, k), dtype) for k in (self.weights.shape[0], w, w))
+        d_output = np.zeros_like(output)
+        for block in self._blocks(n):
+            some = targets[block]
+            h, d = self._forward(some, places[:, block], output, far)
+            np.exp(d, out=d)
+            for part in parts:
+                p = d[part]
+                p *= each / _sums(p)
+            at, flat = digits[:, block] * len(some) + np.arange(len(some)), d.ravel()
+            flat[at] = flat.take(at) - each
+            d_output += d @ h
+            d_second[block], d_third[block] = d[two].T, d[three].T
+            into = np.matmul(d.T, self.weights.T, out=d_sum[block])
+            h *= h
+            into *= np.subtract(1, h, out=h)[:, :-1]
+        pairs = targets // w
         return [
-            _row_sums(at, d_sum), (None, (d @ h).T), (None, d[one].sum(axis=1)),
-            _row_sums(targets // (w * w), d[two].T.copy()), _row_sums(targets // w, d[three].T.copy()),
+            _row_sums(places.ravel(), d_sum), (None, d_output[:, :-1].T), (None, d_output[one, -1]),
+            _row_sums(pairs // w, d_second), _row_sums(pairs, d_third),
         ]
 
     def gradients(self, targets: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
@@ -171,11 +208,7 @@ class WindowNetwork:
     def text_scores(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Sum of the log probabilities of the ids of each text; texts lie one after another."""
         around = contexts(ids, sizes, self.nothing)
-        each = np.zeros(len(ids))
-        for at in range(0, len(ids), _TOKENS):
-            part = slice(at, at + _TOKENS)
-            each[part] = self.log_probabilities(ids[part], around[:, part])
-        return _text_sums(each, sizes)
+        return _text_sums(self.log_probabilities(ids, around), sizes)
 
 
 def _shift(x: np.ndarray, parts: list[slice]) -> None:
@@ -195,20 +228,26 @@ def _text_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different places, and for each the sum of its rows of ``values``, which are used again from the first
-    where there are more places than rows. Places are sorted by digits of 16 bits."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    if len(at) and at.max() >> 16:
-        order = order[np.argsort((at[order] >> 16).astype(np.uint16), kind="stable")]
-    at = at[order]
-    begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
-    sizes = np.diff(begins, append=len(at))
-    order %= max(len(values), 1)
-    out = values[order[begins]]
-    several = sizes > 1  # most places have one row, which is its sum
-    if several.any():
-        some = sizes[several]
-        out[several] = np.add.reduceat(values[order[np.repeat(several, sizes)]], np.cumsum(some) - some, axis=0)
-    return at[begins], out
+    where there are more places than rows. Two numbers are added at a time where rows allow, as one complex."""
+    seen = np.zeros(at.max() + 1 if len(at) else 0, bool)
+    seen[at] = True
+    places = np.flatnonzero(seen)
+    number = np.empty(len(seen), np.int64)
+    number[places] = np.arange(len(places))
+    out = np.zeros((len(places), values.shape[1]), values.dtype)
+    pairs = np.dtype(f"c{2 * values.itemsize}") if values.shape[1] % 2 == 0 else values.dtype
+    into, items = out.view(pairs), np.ascontiguousarray(values).view(pairs)
+    width = into.shape[1]
+    for first in range(0, len(at), max(len(values), 1)):
+        some = number.take(at[first : first + len(values)]) * width
+        np.add.at(into.reshape(-1), np.add.outer(some, np.arange(width)).ravel(), items[: len(some)].reshape(-1))
+    return places, out
+
+
+def _put_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``table[at] = rows``, each row as one item, which takes a third of the time."""
+    item = f"V{table.shape[1] * table.itemsize}"
+    np.put(table.view(item), at, np.ascontiguousarray(rows).view(item))
 
 
 def contexts(ids: np.ndarray, sizes: np.ndarray, nothing: int) -> np.ndarray:
@@ -252,25 +291,25 @@ def count_buckets(counts: DataFrame) -> np.ndarray:
 
 def train(network: WindowNetwork, ids: np.ndarray, sizes: np.ndarray, state: list[np.ndarray], every: int, rate: float, size: int, seed: int) -> int:
     """One pass over every ``every``-th word of the texts, in place; returns the number of targets."""
-    around = contexts(ids, sizes, network.nothing)
+    around = np.ascontiguousarray(contexts(ids, sizes, network.nothing).T)  # those of a word side by side
     begins = np.cumsum(sizes) - sizes
     inside = np.arange(len(ids)) - np.repeat(begins, sizes)
     chosen = np.flatnonzero((inside + np.repeat(sizes, sizes)) % every == 0)
     np.random.default_rng(seed).shuffle(chosen)
     for at in range(0, len(chosen), size):
         some = chosen[at : at + size]
-        for p, (at_rows, g), s in zip(network.parameters(), network.touched_gradients(ids[some], around[:, some]), state):
+        for p, (at_rows, g), s in zip(network.parameters(), network.touched_gradients(ids[some], around.take(some, axis=0).T), state):
             if at_rows is None:
                 s += g * g
                 p -= rate * g / np.sqrt(s)
                 continue
             p, s = (x.reshape(-1, x.shape[-1]) for x in (p, s))  # views
-            so_far = s[at_rows]
+            so_far = s.take(at_rows, axis=0)
             so_far += g * g
-            s[at_rows] = so_far
+            _put_rows(s, at_rows, so_far)
             g /= np.sqrt(so_far, out=so_far)
             g *= rate
-            p[at_rows] -= g
+            _put_rows(p, at_rows, p.take(at_rows, axis=0) - g)
     return len(chosen)
 
 
@@ -336,6 +375,28 @@ def frequent_words(counts: DataFrame) -> DataFrame:
     return counts.filter(step >= cut)
 
 
+def _slots(words: np.ndarray) -> np.ndarray:
+    return (words >> (64 - _SLOT_BITS)) + (1 << _SLOT_BITS - 1)
+
+
+def slot_starts(known: np.ndarray) -> np.ndarray:
+    """Where the words of each slot (the high bits of a hash) begin among the sorted hashes ``known``."""
+    return np.concatenate([[0], np.cumsum(np.bincount(_slots(known), minlength=1 << _SLOT_BITS))]).astype(np.int32)
+
+
+def find_words(words: np.ndarray, known: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Place of each word in ``known``, -1 if it is not there. Only words of slots with several others are searched for."""
+    if not len(known):
+        return np.full(len(words), -1)
+    slots = _slots(words)
+    first = starts.take(slots)
+    place = np.where(known.take(first, mode="clip") == words, first, -1)
+    rest = np.flatnonzero((place < 0) & (starts.take(slots + 1) - first > 1))
+    found = np.searchsorted(known, words[rest])
+    place[rest] = np.where(known.take(found, mode="clip") == words[rest], found, -1)
+    return place
+
+
 def score_words(hashes: DataFrame, counts: DataFrame, network: WindowNetwork, of_bucket: np.ndarray, scratch: Scratch) -> DataFrame:
     """row, doc_id, n_words and log_prob: the sum over the words of a row of their log probabilities, which are
     those of their ids and log(count of the word / count of all words of its id).
@@ -351,12 +412,13 @@ def score_words(hashes: DataFrame, counts: DataFrame, network: WindowNetwork, of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, total, frequent, logs = sent.value
+        starts = slot_starts(frequent)
         for batch in batches:
             words, sizes = _lists(batch.column(2))
             ids = net.ids_of(words)
             part = -total[ids]
-            place = np.minimum(np.searchsorted(frequent, words), max(len(frequent) - 1, 0))
-            found = frequent[place] == words if len(words) else np.zeros(0, bool)
+            place = find_words(words, frequent, starts)
+            found = place >= 0
             part[found] += logs[place[found]]
             ends = np.concatenate([[0], np.cumsum(_text_sums(~found, sizes))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
