@@ -72,6 +72,15 @@ def test_against_brute_force(spark, monkeypatch, keep_first, few):
         assert left == r.kept_sha256 or 0 < len(r.text.encode()) - (r.n_bytes - r.n_removed) <= 6 * r.n_spans
 
 
+@pytest.mark.parametrize("few", [2_000, 1])
+def test_later_places_are_told_from_first_ones(spark, monkeypatch, few):
+    monkeypatch.setattr(repeats, "FEW_SEGMENTS", few)
+    rows = corpus(4)
+    got = repeats.digests(frame(spark, rows), 48).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_later) for r in got), key=repr) == sorted((e[:3] for e in expected(rows, 48, True)), key=repr)
+    assert any(0 < r.n_later < r.n_removed for r in got) and any(r.n_later == 0 < r.n_removed for r in got)
+
+
 def test_texts_longer_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 500)
     rows = corpus(8, 30) + [(9000, corpus(9)[0][1] * 40), (9001, "é" * 900)]
