@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tidemark.llm import repeats
+from tidemark.llm import queries, repeats
 
 SCHEMA = "doc_id long, text string, key string, at string, size string, n_chars int"
 
@@ -81,6 +81,44 @@ def test_later_places_are_told_from_first_ones(spark, monkeypatch, few):
     assert any(0 < r.n_later < r.n_removed for r in got) and any(r.n_later == 0 < r.n_removed for r in got)
 
 
+def whole_characters_left(text, gone):
+    """The text without the characters of which all bytes go."""
+    out, at = [], 0
+    for c in text or "":
+        size = len(c.encode())
+        if not set(range(at, at + size)) <= gone:
+            out.append(c)
+        at += size
+    return "".join(out)
+
+
+@pytest.mark.parametrize("few", [2_000, 1])
+def test_deduplicated_text_keeps_the_first_place(spark, monkeypatch, few):
+    monkeypatch.setattr(repeats, "FEW_SEGMENTS", few)
+    rows = corpus(5)
+    inner = corpus(6)[0][1] + "é" * 60  # a text with copies that repeats a string of its own and an earlier one
+    rows += [(8000, inner + " " + inner + rows[0][1]), (8001, inner + " " + inner + rows[0][1])]
+    got = repeats.digests(frame(spark, rows), 48).collect()
+    for keep_first, column in [(True, "deduplicated"), (False, "text")]:
+        left = [(r[0], whole_characters_left(r[1], gone)) for r, gone in zip(rows, brute(rows, 48, keep_first)[1])]
+        assert sorted(((r.doc_id, r[column]) for r in got), key=repr) == sorted(left, key=repr)
+    assert any(r.n_removed > 0 and r.deduplicated != r.text for r in got) and any(0 < r.n_later < r.n_removed == r.n_bytes for r in got)
+
+
+def test_query_leaves_first_holders_of_passages_alone(spark, tmp_path):
+    rng = random.Random(7)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(6, 9))) for _ in range(n))
+    passage, alone, copied = words(70), words(90), words(80)
+    rows = [(1, words(9) + " " + passage), (2, alone), (3, f"{words(5)}# {passage} #{words(6)}"), (4, copied), (5, copied), (6, None)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.QUERIES["op7_suffix_repeats"](spark, str(tmp_path)).collect()}
+    assert [got[k].text for k in (1, 2, 4)] == [rows[0][1], alone, copied]
+    assert passage not in got[3].text and rows[2][1].startswith(got[3].text.split("#")[0]) and got[5].text == got[6].text == ""
+    assert passage not in got[1].left and got[4].left == "" and got[2].left == alone
+    for r in got.values():  # the digest columns are of what is left without all places
+        assert hashlib.sha256(r.left.encode()).hexdigest() == r.kept_sha256 and len(r.left) == r.n_bytes - r.n_removed
+
+
 def test_texts_longer_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 500)
     rows = corpus(8, 30) + [(9000, corpus(9)[0][1] * 40), (9001, "é" * 900)]
